@@ -21,17 +21,7 @@ from pyspark.sql import types as T
 from lotwise.functions import numbers
 from lotwise.functions.flags import DETAIL_NO, DETAIL_YES, to_bool
 from lotwise.functions.specs import column_values, mapped_rows
-from lotwise.functions.variants import (
-    at,
-    filled,
-    has_kind,
-    is_number,
-    is_object,
-    is_text,
-    items,
-    last_per_name,
-    text,
-)
+from lotwise.functions.variants import Field, at, items, last_per_name, members, probe, text, type_is
 
 # How the data script is marked, and which members identify the listing.
 SCRIPT = r'(?s)<script[^>]*data-nuxt-data="nuxt-app"[^>]*id="__NUXT_DATA__">(.*?)</script>'
@@ -48,30 +38,37 @@ def embedded_table(html: Column) -> Column:
 def follow(table: Column, value: Column) -> Column:
     """The entry ``value`` refers to, or ``value`` itself when it is no reference."""
     index = F.try_variant_get(value, "$", "int")
-    points = has_kind(value, "INTEGER") & (index >= 0) & (index < F.size(table))
+    # the cheap range test comes first; the type test keeps numeric text from being followed
+    points = (index >= 0) & (index < F.size(table)) & (F.schema_of_variant(value) == "BIGINT")
     return F.when(points, F.get(table, index)).otherwise(value)
 
 
 def _unwrapped(table: Column, value: Column) -> Column:
-    """Content of a ``["Tag", x]`` wrapper, other values unchanged; a cycle mark is null."""
+    """Content of a ``["Tag", x]`` wrapper, other values unchanged."""
     wrapper = items(value)
-    tagged = is_text(F.get(wrapper, F.lit(0))) & (F.size(wrapper) > 1)
-    inner = F.when(tagged, follow(table, F.get(wrapper, F.lit(1)))).otherwise(value)
-    return F.when(F.coalesce(text(inner) != CYCLE, F.lit(False)), inner)
+    tagged = (F.size(wrapper) > 1) & type_is(F.get(wrapper, F.lit(0)), "STRING")
+    return F.when(tagged, follow(table, F.get(wrapper, F.lit(1)))).otherwise(value)
 
 
-def _flag(value: Column) -> Column:
+def _flag(field: Field) -> Column:
     return (
-        F.when(has_kind(value, "BOOLEAN"), text(value).try_cast("boolean"))
-        .when(is_number(value), text(value).try_cast("double") != 0)
-        .when(is_text(value), to_bool(text(value), DETAIL_YES, DETAIL_NO))
+        F.when(field.is_flag, field.text.try_cast("boolean"))
+        .when(field.is_number, field.text.try_cast("double") != 0)
+        .when(field.is_text, to_bool(field.text, DETAIL_YES, DETAIL_NO))
     )
 
 
-def _likes(value: Column) -> Column:
-    return F.when(is_number(value), F.coalesce(numbers.truncated(text(value).try_cast("double")).try_cast("int"), F.lit(0))).when(
-        is_text(value), numbers.like_count(text(value))
-    ).otherwise(F.lit(0))
+def _likes(field: Field) -> Column:
+    number = numbers.truncated(field.text.try_cast("double")).try_cast("int")
+    return (
+        F.when(field.is_number, F.coalesce(number, F.lit(0)))
+        .when(field.is_text, numbers.like_count(field.text))
+        .otherwise(F.lit(0))
+    )
+
+
+def _not_cycle(field: Field) -> Column:
+    return F.nullif(field.text, F.lit(CYCLE))
 
 
 def extract_details(pages: DataFrame, decode_receipt: bool = False) -> DataFrame:
@@ -81,87 +78,82 @@ def extract_details(pages: DataFrame, decode_receipt: bool = False) -> DataFrame
     it by the listing object with all references resolved, through a vectorised Python
     function; everything else is native.
     """
-    table, post = F.col("_table"), F.col("_post")
-    located = pages.select("listing_id", embedded_table(F.col("html")).alias("_table")).withColumn(
-        "_post",
-        F.get(
-            F.filter(
-                table,
-                lambda entry: (at(entry, LISTING_MEMBERS[0]).isNotNull())
-                & (at(entry, LISTING_MEMBERS[1]).isNotNull())
-                & (at(entry, LISTING_MEMBERS[2]).isNotNull()),
-            ),
-            F.lit(0),
-        ),
-    )
+    table, post, rows = F.col("_table"), F.col("_post"), F.col("_spec_rows")
+    first, *others = LISTING_MEMBERS
 
-    def field(name: str) -> Column:
-        return follow(table, at(post, name))
+    def looks_like_listing(entry: Column) -> Column:
+        found = at(entry, first).isNotNull()
+        for name in others:
+            found = found & at(entry, name).isNotNull()
+        return found
 
-    def spec_field(row: Column, name: str) -> Column:
-        return follow(table, at(row, name))
+    def spec_field(entry: Column, name: str) -> Column:
+        return follow(table, at(entry, name))
 
-    names = ("description", "total_like", "is_like", "is_saved", "available", "status")
+    unwrapped = ("description", "total_like", "is_like", "is_saved", "available", "status")
     prices = ("sale_price", "original_price", "amount_saved")
-    resolved = located.withColumns(
-        {
-            **{f"_{name}": _unwrapped(table, field(name)) for name in names},
-            "_discount": field("discount"),
-            "_spec_objects": F.filter(
-                F.transform(items(field("specs")), lambda entry: follow(table, entry)), is_object
+    spec_names = ("field", "title", "display_value", "value", "value_slug")
+    located = pages.select("listing_id", embedded_table(F.col("html")).alias("_table")).withColumn(
+        "_post", F.get(F.filter(table, looks_like_listing), F.lit(0))
+    )
+    followed = located.withColumns(
+        {f"_f_{name}": follow(table, at(post, name)) for name in (*unwrapped, *prices, "discount", "specs")}
+    ).withColumn("_spec_objects", F.transform(items(F.col("_f_specs")), lambda entry: follow(table, entry)))
+    resolved = probe(
+        followed.withColumn(
+            "_spec_rows",
+            F.transform(
+                F.filter(F.col("_spec_objects"), lambda entry: members(entry).isNotNull()),
+                lambda entry: F.struct(*[spec_field(entry, name).alias(name) for name in spec_names]),
             ),
-        }
-    ).withColumns(
+        ),
+        {name: _unwrapped(table, F.col(f"_f_{name}")) for name in unwrapped},
+    )
+    as_text = F.transform(rows, lambda row: F.struct(*[text(row[name]).alias(name) for name in spec_names]))
+    shown = F.transform(
+        rows,
+        lambda row: F.struct(
+            text(row["field"]).alias("name"),
+            F.when(_is_filled(row["display_value"]), row["display_value"]).otherwise(row["value"]).alias("value"),
+        ),
+    )
+    final = resolved.withColumns(
         {
+            "_texts": as_text,
+            "_shown": F.filter(shown, lambda pair: pair["name"].isNotNull()),
             **{
-                f"_{name}": F.coalesce(text(follow(table, at(F.col("_discount"), name))), text(field(name)))
+                f"_p_{name}": F.coalesce(
+                    text(follow(table, at(F.col("_f_discount"), name))), text(F.col(f"_f_{name}"))
+                )
                 for name in prices
             },
-            "_spec_rows": F.transform(
-                F.col("_spec_objects"),
-                lambda row: F.struct(
-                    *[
-                        text(spec_field(row, name)).alias(name)
-                        for name in ("field", "title", "display_value", "value", "value_slug")
-                    ]
-                ),
-            ),
-            "_spec_values": F.filter(
-                F.transform(
-                    F.col("_spec_objects"),
-                    lambda row: F.struct(
-                        text(spec_field(row, "field")).alias("name"),
-                        F.when(filled(spec_field(row, "display_value")), spec_field(row, "display_value"))
-                        .otherwise(spec_field(row, "value"))
-                        .alias("value"),
-                    ),
-                ),
-                lambda pair: pair["name"].isNotNull(),
-            ),
         }
-    ).withColumn("_mapped", mapped_rows(F.col("_spec_rows")))
+    ).withColumn("_mapped", mapped_rows(F.col("_texts")))
 
-    receipt = F.when(post.isNotNull(), F.to_variant_object(table))
-    if decode_receipt:
-        receipt = F.when(post.isNotNull(), F.try_parse_json(resolve_listing(F.to_json(F.to_variant_object(table)))))
-    return resolved.select(
+    matched = post.isNotNull()
+    whole_table = F.to_variant_object(table)
+    receipt = F.try_parse_json(resolve_listing(F.to_json(whole_table))) if decode_receipt else whole_table
+    return final.select(
         "listing_id",
-        post.isNotNull().alias("matched"),
-        text(F.col("_description")).alias("description"),
-        F.when(post.isNotNull(), _likes(F.col("_total_like"))).alias("likes_count"),
-        _flag(F.col("_is_like")).alias("is_like"),
-        _flag(F.col("_is_saved")).alias("is_saved"),
-        _flag(F.col("_available")).alias("listing_available"),
-        text(F.col("_status")).alias("listing_status"),
-        F.when(F.size("_spec_values") > 0, F.to_variant_object(last_per_name(F.col("_spec_values")))).alias(
-            "detail_specs"
-        ),
-        receipt.alias("raw_detail_payload"),
-        *[numbers.amount(F.col(f"_{name}")).alias(name) for name in prices],
+        matched.alias("matched"),
+        _not_cycle(Field("description")).alias("description"),
+        F.when(matched, _likes(Field("total_like"))).alias("likes_count"),
+        _flag(Field("is_like")).alias("is_like"),
+        _flag(Field("is_saved")).alias("is_saved"),
+        _flag(Field("available")).alias("listing_available"),
+        _not_cycle(Field("status")).alias("listing_status"),
+        F.when(F.size("_shown") > 0, F.to_variant_object(last_per_name(F.col("_shown")))).alias("detail_specs"),
+        F.when(matched, receipt).alias("raw_detail_payload"),
+        *[numbers.amount(F.col(f"_p_{name}")).alias(name) for name in prices],
         *[value.alias(name) for name, value in column_values(F.col("_mapped")).items()],
     )
 
 
+def _is_filled(value: Column) -> Column:
+    shown = text(value)
+    return F.coalesce(~shown.isin("", "0", "false", "[]", "{}") | ((shown != "") & type_is(value, "STRING")), F.lit(False))
+
+
 def resolve_table(table: list) -> list:
     """All references of a data array resolved, to any depth.
 
