@@ -1,4 +1,7 @@
-"""Market aggregates over clean listings."""
+"""Market aggregates over clean listings.
+
+Most of them read their input more than once, so they expect a stored table.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +12,7 @@ from pyspark.sql import functions as F
 
 from lotwise.contract import STALE_AFTER_DAYS
 from lotwise.functions.times import age_in_days
-from lotwise.operators.quantiles import count_values, exact_quantiles
-
-
-def _weighted_mean(value: str) -> Column:
-    return F.sum(F.col(value) * F.col("weight")) / F.sum("weight")
+from lotwise.operators.quantiles import exact_quantiles, usable
 
 
 def frequencies(df: DataFrame, key: str, count: str = "n") -> DataFrame:
@@ -39,27 +38,22 @@ def top_with_median(df: DataFrame, key: str, value: str, limit: int) -> DataFram
     Every row counts for the ranking; rows without a value are left out of the median.
     """
     leaders = top_values(df, key, limit, count="listings")
-    middle = exact_quantiles(
-        count_values(df.join(F.broadcast(leaders.select(key)), key, "left_semi"), [key], value),
-        [key],
-        value,
-        {"median_price": 0.5},
-        "_valued",
-    ).drop("_valued")
-    return F.broadcast(leaders).join(middle, key, "left").select(key, "listings", "median_price")
+    # at most ``limit`` keys are broadcast
+    of_leaders = df.join(F.broadcast(leaders.select(key)), key, "left_semi")
+    middle = exact_quantiles(of_leaders, [key], value, {"median_price": 0.5}, "_valued")
+    return leaders.join(middle, key, "left").select(key, "listings", "median_price")
 
 
 def group_medians(df: DataFrame, key: str, value: str) -> DataFrame:
     """Exact median and size per group, highest median first."""
-    counts = count_values(df, [key], value)
-    return exact_quantiles(counts, [key], value, {"median_price": 0.5}).orderBy(F.desc("median_price"), F.asc(key))
+    middle = exact_quantiles(df, [key], value, {"median_price": 0.5})
+    return middle.orderBy(F.desc("median_price"), F.asc(key))
 
 
 def by_year(df: DataFrame, year: str, value: str) -> DataFrame:
     """Count, exact median and mean of ``value`` per model year."""
-    counts = count_values(df, [year], value)
-    middle = exact_quantiles(counts, [year], value, {"median_price": 0.5}, "listings")
-    means = counts.groupBy(year).agg(_weighted_mean(value).alias("mean_price"))
+    middle = exact_quantiles(df, [year], value, {"median_price": 0.5}, "listings")
+    means = df.filter(usable(F.col(value))).groupBy(year).agg(F.avg(value).alias("mean_price"))
     return middle.join(means, year).select(year, "listings", "median_price", "mean_price")
 
 
@@ -86,11 +80,10 @@ def freshness(df: DataFrame, moment: Column, as_of: Column, stale_after: int = S
 
 def price_summary(df: DataFrame, value: str = "price") -> DataFrame:
     """One row: priced listings, median, mean (2 decimals), min and max; nulls when empty."""
-    counts = count_values(df, [], value)
-    middle = exact_quantiles(counts, [], value, {"median_price": 0.5}, "_n")
-    basics = counts.agg(
-        F.coalesce(F.sum("weight"), F.lit(0)).alias("total_listings"),
-        _weighted_mean(value).alias("_mean"),
+    middle = exact_quantiles(df, [], value, {"median_price": 0.5}, "_n")
+    basics = df.filter(usable(F.col(value))).agg(
+        F.count(F.lit(1)).alias("total_listings"),
+        F.avg(value).alias("_mean"),
         F.min(value).alias("min_price"),
         F.max(value).alias("max_price"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lotwise.contract import GATE_PRICED, GATE_ROWS
 from lotwise.operators.joins import salted_lookup
-from lotwise.operators.quantiles import count_values, exact_quantiles, usable
+from lotwise.operators.quantiles import exact_quantiles, usable
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -113,12 +113,12 @@ def describe(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     extremes = [F.min(value).alias("min"), F.max(value).alias("max")]
     if keys:
         summary = present.groupBy(*keys).agg(*moments, *extremes)
-        quartiles = exact_quantiles(count_values(present, keys, value), keys, value, QUARTILES, "count")
+        quartiles = exact_quantiles(present, keys, value, QUARTILES, "count")
         joined = summary.join(quartiles, list(keys))
     else:
         # both sides are a single row
         summary = present.agg(*moments, *extremes, F.lit(0).alias("_one"))
-        quartiles = exact_quantiles(count_values(present, keys, value), keys, value, QUARTILES, "count")
+        quartiles = exact_quantiles(present, keys, value, QUARTILES, "count")
         joined = summary.join(quartiles.withColumn("_one", F.lit(0)), "_one", "left")
     return joined.select(
         *keys, F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q1", "median", "q3", "max"
@@ -196,11 +196,11 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def box_stats(df: DataFrame, key: str, value: str, reach: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers within ``reach``·IQR, outliers."""
-    counts = count_values(df, [key], value)
-    boxes = exact_quantiles(counts, [key], value, QUARTILES)
+    rows = df.filter(usable(F.col(value))).select(key, F.col(value).cast("double").alias(value))
+    boxes = exact_quantiles(rows, [key], value, QUARTILES)
     spread = F.col("q3") - F.col("q1")
     fences = boxes.withColumns({"_low": F.col("q1") - reach * spread, "_high": F.col("q3") + reach * spread})
-    fenced = salted_lookup(counts, fences, [key], spread_by=value)
+    fenced = salted_lookup(rows, fences, [key], spread_by=value)
     inside = F.col(value).between(F.col("_low"), F.col("_high"))
     same = ["n", "q1", "median", "q3"]
     return (
@@ -209,7 +209,7 @@ def box_stats(df: DataFrame, key: str, value: str, reach: float = 1.5) -> DataFr
             *[F.first(name).alias(name) for name in same],
             F.min(F.when(inside, F.col(value))).alias("_least"),
             F.max(F.when(inside, F.col(value))).alias("_most"),
-            F.coalesce(F.sum(F.when(~inside, F.col("weight"))), F.lit(0)).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
         .select(
             key,

@@ -4,14 +4,14 @@
 aggregation buffer, so one group with a third of all rows ends up in one task.
 Here the work is spread by value instead:
 
-1. rows are counted per (group, value), which a hot group shares out over all tasks;
-2. values are cut into slices by magnitude (relative width 1/512, at most a few
-   hundred thousand slices for the whole double range) and slice sizes are added up,
-   which tells in which slice each wanted rank lies;
-3. only the values of those slices are ranked.
+1. values are cut into slices by magnitude (relative width 1/512, at most a few
+   hundred thousand slices for the whole double range) and counted per (group, slice).
+   Every task sends one row per slice it has seen, whatever the number of rows;
+2. the running total of the slices tells in which slice each wanted rank lies;
+3. only the rows of those slices are looked at again, counted per value and ranked.
 
 The result equals linear interpolation between the two neighbouring order
-statistics.
+statistics. The input is read twice, so it should be a table or a cheap plan.
 """
 
 from __future__ import annotations
@@ -26,9 +26,13 @@ _ONE = "_all"
 
 
 def value_slice(value: Column) -> Column:
-    """Order-preserving slice number of a double."""
+    """Order-preserving slice number of a double that is not null.
+
+    Declared non-null: a null check inferred for one branch only would keep Spark from
+    sharing the counted values between the branches that use them.
+    """
     magnitude = F.log1p(F.abs(value)) * _SLICES_PER_E
-    return F.when(value < 0, -F.floor(magnitude) - 1).otherwise(F.floor(magnitude)).cast("int")
+    return F.coalesce(F.when(value < 0, -F.floor(magnitude) - 1).otherwise(F.floor(magnitude)).cast("int"), F.lit(0))
 
 
 def usable(value: Column) -> Column:
@@ -36,34 +40,51 @@ def usable(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 
 
-def count_values(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
-    """(keys, value, weight): how often each value occurs; missing values and keys are left out."""
-    number = F.col(value).cast("double")
-    present = df.filter(usable(number))
+def _present(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    rows = df.filter(usable(F.col(value).cast("double")))
     for key in keys:
-        present = present.filter(F.col(key).isNotNull())
+        rows = rows.filter(F.col(key).isNotNull())
+    return rows
+
+
+def count_values(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
+    """(keys, value, weight): how often each value occurs; missing values and keys are left out.
+
+    Worth doing before :func:`exact_quantiles` when there are very many groups.
+    """
     times = F.sum(weight) if weight else F.count(F.lit(1))
     # + 0.0 folds -0.0 into 0.0
-    return present.groupBy(*keys, (number + F.lit(0.0)).alias(value)).agg(times.alias("weight"))
+    number = (F.col(value).cast("double") + F.lit(0.0)).alias(value)
+    return _present(df, keys, value).groupBy(*keys, number).agg(times.alias("weight"))
 
 
 def exact_quantiles(
-    counts: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float], size: str = "n"
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probabilities: dict[str, float],
+    size: str = "n",
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group: ``keys``, number of rows ``size`` and one column per probability.
 
-    ``counts`` comes from :func:`count_values`. Without keys the result is one row, or
-    none when there are no values.
+    Rows with a missing value or key are left out; ``weight`` names a column that says how
+    many rows a row stands for. Without keys the result is one row, or none when there
+    are no values.
     """
     by = list(keys) or [_ONE]
-    sliced = counts if keys else counts.withColumn(_ONE, F.lit(0))
-    sliced = sliced.select(*by, value, "weight", value_slice(F.col(value)).alias("_slice"))
+    sliced = _present(rows, keys, value).select(
+        *(keys or [F.lit(0).alias(_ONE)]),
+        (F.col(value).cast("double") + F.lit(0.0)).alias("_value"),
+        (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_weight"),
+        value_slice(F.col(value).cast("double")).alias("_slice"),
+    )
 
     group = Window.partitionBy(*by)
     running = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     located = (
         sliced.groupBy(*by, "_slice")
-        .agg(F.sum("weight").alias("_here"))
+        .agg(F.sum("_weight").alias("_here"))
         .withColumn("_through", F.sum("_here").over(running))
         .withColumn("_n", F.sum("_here").over(group))
         .withColumn("_before", F.col("_through") - F.col("_here"))
@@ -87,17 +108,19 @@ def exact_quantiles(
     targets = located.filter(needed).select(*by, "_slice", F.col("_before").alias("_base"), "_n")
 
     in_slice = (
-        Window.partitionBy(*by, "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*by, "_slice").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
         sliced.join(targets, [*by, "_slice"])
-        .withColumn("_through", F.col("_base") + F.sum("weight").over(in_slice))
-        .withColumn("_before", F.col("_through") - F.col("weight"))
+        .groupBy(*by, "_slice", "_base", "_n", "_value")
+        .agg(F.sum("_weight").alias("_here"))
+        .withColumn("_through", F.col("_base") + F.sum("_here").over(in_slice))
+        .withColumn("_before", F.col("_through") - F.col("_here"))
     )
     ends = [F.first("_n").alias("_n")]
     for name, probability in probabilities.items():
-        ends.append(F.max(F.when(covers(below(probability)), F.col(value))).alias(f"_lo_{name}"))
-        ends.append(F.max(F.when(covers(above(probability)), F.col(value))).alias(f"_hi_{name}"))
+        ends.append(F.max(F.when(covers(below(probability)), F.col("_value"))).alias(f"_lo_{name}"))
+        ends.append(F.max(F.when(covers(above(probability)), F.col("_value"))).alias(f"_hi_{name}"))
     found = ranked.groupBy(*by).agg(*ends)
     return found.select(
         *keys,
@@ -110,8 +133,3 @@ def exact_quantiles(
             for name, probability in probabilities.items()
         ],
     )
-
-
-def medians(df: DataFrame, keys: Sequence[str], value: str, name: str = "median", size: str = "n") -> DataFrame:
-    """Exact median and row count per group."""
-    return exact_quantiles(count_values(df, keys, value), keys, value, {name: 0.5}, size)

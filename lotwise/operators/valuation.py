@@ -6,9 +6,11 @@ year, (3) same brand; otherwise a market prior. The price is the set's median, m
 along the depreciation curve for (2) and (3), then adjusted for condition, tax status and
 mileage.
 
-Plan: the market is counted per (brand, model, year, price) once. Set sizes come from
-the much smaller (brand, model, year) counts, so the medians are only computed for the
-sets that some request really uses, once per distinct set, by value-sliced exact quantiles.
+Plan: the market is counted per (brand, model, year, price) once (:func:`market_index`).
+Set sizes come from the much smaller (brand, model, year) counts, so the medians are only
+computed for the sets that some request really uses, once per distinct set, by value-sliced
+exact quantiles. The two results that many branches start from, the index and the chosen
+sets, go through scratch tables.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from lotwise.contract import PRICE_MAX, PRICE_MIN
 from lotwise.functions.text import strip, stripped_or_null
 from lotwise.operators.joins import contains_join, salted_lookup
 from lotwise.operators.quantiles import count_values, exact_quantiles, usable
+from lotwise.session import through_table
 
 # Model constants.
 PRIOR_PRICE = 22_500.0
@@ -40,8 +43,11 @@ PRIOR_BASIS = "general_cambodia_market_prior"
 _SET = ["_tier", "_b", "_m", "_y"]
 
 
-def _brand_counts(market: DataFrame) -> DataFrame:
-    """(brand, model, year, price) -> number of listings, names in lower case."""
+def market_index(market: DataFrame) -> DataFrame:
+    """(brand, model, year, price) -> number of listings, names in lower case.
+
+    All that estimates need to know of the market; may be stored and used for many batches.
+    """
     return (
         market.filter(usable(F.col("price")) & F.col("vehicle_brand").isNotNull())
         .groupBy(
@@ -93,7 +99,7 @@ def _set_medians(sets: DataFrame, counts: DataFrame, slices: DataFrame, matches:
     """Median price, median year and size of each set."""
 
     def rows(members: DataFrame, what: str, value: Column) -> DataFrame:
-        return members.select(*_SET, F.lit(what).alias("_what"), value.cast("double").alias("_value"), "weight")
+        return members.select(*_SET, F.lit(what).alias("_what"), value.cast("double").alias("_amount"), "weight")
 
     named = {tier: sets.filter(F.col("_tier") == tier) for tier in (1, 2, 3)}
     exact = named[1].join(matches, ["_b", "_m"]).withColumn("_year", F.col("_y")).join(counts, ["_b", "_text", "_year"])
@@ -109,8 +115,8 @@ def _set_medians(sets: DataFrame, counts: DataFrame, slices: DataFrame, matches:
         rows(named[3].join(brand_years, "_b"), "year", year),
     ]
     keys = [*_SET, "_what"]
-    members = count_values(reduce(DataFrame.unionByName, parts), keys, "_value", "weight")
-    middle = exact_quantiles(members, keys, "_value", {"_mid": 0.5}, "_n")
+    members = count_values(reduce(DataFrame.unionByName, parts), keys, "_amount", "weight")
+    middle = exact_quantiles(members, keys, "_amount", {"_mid": 0.5}, "_n", "weight")
     is_price = F.col("_what") == "price"
     return middle.groupBy(*_SET).agg(
         F.max(F.when(is_price, F.col("_mid"))).alias("_median"),
@@ -119,15 +125,19 @@ def _set_medians(sets: DataFrame, counts: DataFrame, slices: DataFrame, matches:
     )
 
 
-def comparables(asked: DataFrame, market: DataFrame) -> DataFrame:
+def comparables(asked: DataFrame, counts: DataFrame) -> DataFrame:
     """Tier, size, median price and median year for distinct (``_b``, ``_m``, ``_y``)."""
-    counts = _brand_counts(market)
     slices = counts.groupBy("_b", "_text", "_year").agg(F.sum("weight").alias("weight"))
     wanted = asked.select("_b", "_m").filter("_b is not null and _m is not null").distinct()
     texts = slices.select("_b", "_text").distinct()
     matches = contains_join(wanted, texts, "_b", "_m", "_text")
     chosen = _choose_sets(asked.filter("_b is not null"), slices, matches).filter("_tier > 0")
-    keyed = chosen.select(F.col("_m").alias("_asked_m"), F.col("_y").alias("_asked_y"), *_set_key(F.col("_m"), F.col("_y")))
+    keyed = through_table(
+        chosen.select(
+            F.col("_m").alias("_asked_m"), F.col("_y").alias("_asked_y"), *_set_key(F.col("_m"), F.col("_y"))
+        ),
+        "chosen-sets",
+    )
     stats = _set_medians(keyed.select(*_SET).distinct(), counts, slices, matches)
     # one brand's set can serve a large share of what was asked
     return salted_lookup(keyed, stats, _SET, spread_by="_asked_m").select(
@@ -144,9 +154,14 @@ def _bounded(value: Column) -> Column:
     return F.greatest(F.lit(PRICE_MIN), F.least(F.lit(PRICE_MAX), value))
 
 
-def value_requests(requests: DataFrame, market: DataFrame, as_of_year: int) -> DataFrame:
+def value_requests(
+    requests: DataFrame, market: DataFrame, as_of_year: int, index: DataFrame | None = None
+) -> DataFrame:
     """Estimate a price for every request row; all request columns are kept.
 
+    ``index`` is a stored :func:`market_index` of ``market``, if there is one. The scratch
+    tables are written while this is called.
+
     Requests need ``vehicle_brand``, ``vehicle_model``, ``vehicle_model_year``,
     ``vehicle_condition``, ``vehicle_tax_type`` and ``vehicle_mileage_km``. Where a set has
     no model year at all, the reference year is ``as_of_year - 5``.
@@ -159,7 +174,8 @@ def value_requests(requests: DataFrame, market: DataFrame, as_of_year: int) -> D
             "_y": F.coalesce(F.nullif(F.col("vehicle_model_year"), F.lit(0)), F.lit(default_year)).cast("int"),
         }
     )
-    found = comparables(keyed.select("_b", "_m", "_y").distinct(), market)
+    counts = index if index is not None else through_table(market_index(market), "market-index")
+    found = comparables(keyed.select("_b", "_m", "_y").distinct(), counts)
     # requests without a model still find their brand, hence the null-free join key
     model_key = F.coalesce("_m", F.lit("")).alias("_mk")
     stats = found.select("_b", model_key, "_y", "_tier", "_median", "_ref_year", "_size")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lotwise.contract import CLEAN_COLUMNS, RAW
 from lotwise.operators.cleaning import Rules, clean
 from lotwise.plans.registry import table
+from lotwise.session import through_table
 
 RULES = Rules(as_of_year=1999, price_min=2_000.0, price_max=100_000.0, year_min=1996)
 ORDER = ("scraped_at", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -78,6 +79,11 @@ def clean_listings(spark: SparkSession, folder: str, columns: Sequence[str] = CL
     return clean(listings(spark, folder, columns), RULES, ORDER, columns)
 
 
+def stored_clean(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+    """Cleaned listings written once and read back, for queries that read them repeatedly."""
+    return through_table(clean_listings(spark, folder, columns), "clean")
+
+
 LISTING_SQL = """
 listing AS (
   SELECT l_orderkey || '-' || l_linenumber AS listing_id,

@@ -9,7 +9,7 @@ from lotwise.contract import CLEAN_COLUMNS
 from lotwise.functions.text import contains_ignoring_case, equals_ignoring_case
 from lotwise.functions.times import instant
 from lotwise.operators import cleaning, market, profiling
-from lotwise.plans.listing_view import AS_OF_YEAR, CLEAN_SQL, LISTING_SQL, RULES, clean_listings, listings
+from lotwise.plans.listing_view import AS_OF_YEAR, CLEAN_SQL, LISTING_SQL, RULES, clean_listings, listings, stored_clean
 from lotwise.plans.registry import query, table
 from lotwise.sources.writers import encode_json_cells, head_rows, sample_rows
 
@@ -95,7 +95,7 @@ SELECT vehicle_brand, count(*) AS listings, round(median(price), 4) AS median_pr
 FROM clean GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8""",
 )
 def top_brands_median(spark, folder):
-    brands = clean_listings(spark, folder, ["vehicle_brand", "price"])
+    brands = stored_clean(spark, folder, ["vehicle_brand", "price"])
     return rounded(market.top_with_median(brands, "vehicle_brand", "price", 8), "median_price")
 
 
@@ -135,7 +135,7 @@ SELECT {_SUMMARY},
 FROM clean""",
 )
 def _market_summary(spark, folder):
-    rows = clean_listings(spark, folder, ["vehicle_brand", "province", "price", "scraped_at"])
+    rows = stored_clean(spark, folder, ["vehicle_brand", "province", "price", "scraped_at"])
     summary = market.market_summary(rows, instant(F.col("scraped_at")), F.lit(AS_OF).cast("timestamp"))
 
     def brand(entry):
@@ -165,7 +165,7 @@ SELECT b.*, s.* FROM b, s""",
 )
 def _processed_summary(spark, folder):
     return rounded(
-        market.processed_summary(clean_listings(spark, folder, ["vehicle_brand", "price"])), "median_price"
+        market.processed_summary(stored_clean(spark, folder, ["vehicle_brand", "price"])), "median_price"
     )
 
 
@@ -178,7 +178,7 @@ SELECT count(price) AS "count", round(avg(price), 4) AS mean, round(stddev_samp(
 FROM clean""",
 )
 def _price_describe(spark, folder):
-    described = profiling.describe(clean_listings(spark, folder, ["price"]), "price")
+    described = profiling.describe(stored_clean(spark, folder, ["price"]), "price")
     return rounded(described, "mean", "std", "q1", "median", "q3")
 
 
@@ -202,7 +202,7 @@ SELECT count(x) AS "count", round(avg(x), 6) AS mean, round(stddev_samp(x), 6) A
 FROM logs""",
 )
 def _log_price_stats(spark, folder):
-    logs = clean_listings(spark, folder, ["price"]).select(F.log1p("price").alias("log_price"))
+    logs = stored_clean(spark, folder, ["price"]).select(F.log1p("price").alias("log_price"))
     described = profiling.describe(logs, "log_price")
     return rounded(described, "mean", "std", "min", "q1", "median", "q3", "max", digits=6)
 
@@ -295,7 +295,7 @@ SELECT vehicle_model_year, count(price) AS listings, round(median(price), 4) AS
 FROM clean WHERE vehicle_model_year IS NOT NULL GROUP BY 1""",
 )
 def _year_depreciation(spark, folder):
-    rows = clean_listings(spark, folder, ["vehicle_model_year", "price"])
+    rows = stored_clean(spark, folder, ["vehicle_model_year", "price"])
     return rounded(market.by_year(rows, "vehicle_model_year", "price"), "median_price", "mean_price")
 
 
@@ -305,13 +305,13 @@ def _median_sql(key: str) -> str:
 
 @query("median_by_tax_type", _median_sql("vehicle_tax_type"))
 def _median_by_tax_type(spark, folder):
-    rows = clean_listings(spark, folder, ["vehicle_tax_type", "price"])
+    rows = stored_clean(spark, folder, ["vehicle_tax_type", "price"])
     return rounded(market.group_medians(rows, "vehicle_tax_type", "price"), "median_price")
 
 
 @query("median_by_condition", _median_sql("vehicle_condition"))
 def _median_by_condition(spark, folder):
-    rows = clean_listings(spark, folder, ["vehicle_condition", "price"])
+    rows = stored_clean(spark, folder, ["vehicle_condition", "price"])
     return rounded(market.group_medians(rows, "vehicle_condition", "price"), "median_price")
 
 
@@ -343,29 +343,29 @@ def _top_filter(key: str, limit: int) -> str:
 
 @query("box_stats_by_brand", _box_sql("vehicle_brand", _top_filter("vehicle_brand", 12)))
 def _box_stats_by_brand(spark, folder):
-    rows = clean_listings(spark, folder, ["vehicle_brand", "price"])
+    rows = stored_clean(spark, folder, ["vehicle_brand", "price"])
     return _boxes(market.only_top(rows, "vehicle_brand", 12, exclude=["unknown"]), "vehicle_brand")
 
 
 @query("box_stats_by_province", _box_sql("province", _top_filter("province", 6)))
 def _box_stats_by_province(spark, folder):
-    rows = clean_listings(spark, folder, ["province", "price"])
+    rows = stored_clean(spark, folder, ["province", "price"])
     return _boxes(market.only_top(rows, "province", 6), "province")
 
 
 @query("box_stats_by_tax_type", _box_sql("vehicle_tax_type"))
 def _box_stats_by_tax_type(spark, folder):
-    return _boxes(clean_listings(spark, folder, ["vehicle_tax_type", "price"]), "vehicle_tax_type")
+    return _boxes(stored_clean(spark, folder, ["vehicle_tax_type", "price"]), "vehicle_tax_type")
 
 
 @query("box_stats_by_condition", _box_sql("vehicle_condition"))
 def _box_stats_by_condition(spark, folder):
-    return _boxes(clean_listings(spark, folder, ["vehicle_condition", "price"]), "vehicle_condition")
+    return _boxes(stored_clean(spark, folder, ["vehicle_condition", "price"]), "vehicle_condition")
 
 
 @query("box_stats_by_seller_type", _box_sql("seller_type"))
 def _box_stats_by_seller_type(spark, folder):
-    return _boxes(clean_listings(spark, folder, ["seller_type", "price"]), "seller_type")
+    return _boxes(stored_clean(spark, folder, ["seller_type", "price"]), "seller_type")
 
 
 def _histogram_sql(value: str) -> str:
@@ -379,12 +379,12 @@ FROM (SELECT unnest(range(40)) AS i) CROSS JOIN r LEFT JOIN f ON b = i"""
 
 @query("price_histogram", _histogram_sql("price"))
 def _price_histogram(spark, folder):
-    return rounded(profiling.histogram(clean_listings(spark, folder, ["price"]), F.col("price")), "bin_start")
+    return rounded(profiling.histogram(stored_clean(spark, folder, ["price"]), F.col("price")), "bin_start")
 
 
 @query("log_price_histogram", _histogram_sql("ln(1 + price)"))
 def _log_price_histogram(spark, folder):
-    return rounded(profiling.histogram(clean_listings(spark, folder, ["price"]), F.log1p("price")), "bin_start")
+    return rounded(profiling.histogram(stored_clean(spark, folder, ["price"]), F.log1p("price")), "bin_start")
 
 
 _FEATURES = "price log_price vehicle_model_year car_age view_count is_new is_imported is_phnom_penh is_store".split()
@@ -470,7 +470,7 @@ GROUP BY 1""",
 )
 def _predicate_filters(spark, folder):
     needed = "vehicle_tax_type vehicle_brand vehicle_model vehicle_condition province".split()
-    rows = market.only_top(clean_listings(spark, folder, needed), "province", 10)
+    rows = market.only_top(stored_clean(spark, folder, needed), "province", 10)
     return (
         rows.filter(F.col("vehicle_condition") != "unknown")
         .groupBy("vehicle_tax_type")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution splits skewed join partitions (even when that costs one more
 # shuffle) and turns a join into a broadcast only after it has measured the side.
@@ -47,3 +47,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="lotwise-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def through_table(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a scratch table and read it back.
+
+    Cuts the plan where several later branches start from the same result: it is computed
+    once and survives the loss of an executor.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
