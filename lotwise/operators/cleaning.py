@@ -71,7 +71,7 @@ def clean(
     wanted = list(dict.fromkeys(["listing_id", *columns]))
     ordering = [F.col(name).alias(f"_order_{i}") for i, name in enumerate(order)]
     slim = standardise_categories(valid.select(*wanted, *ordering), rules.synonyms)
-    last = keep_last(slim, "listing_id", [f"_order_{i}" for i in range(len(order))])
+    last = keep_last(slim, "listing_id", [f"_order_{i}" for i in range(len(order))], wanted)
     return last.select(*columns)
 
 

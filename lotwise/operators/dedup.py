@@ -14,17 +14,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _one_per_key(df: DataFrame, key: str, order: Sequence[str], pick) -> DataFrame:
-    payload = [name for name in df.columns if name != key]
+def _one_per_key(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str] | None, pick) -> DataFrame:
+    wanted = list(columns or df.columns)
+    payload = [name for name in wanted if name != key]
     chosen = df.groupBy(key).agg(pick(F.struct(*payload), F.struct(*order)).alias("_row"))
-    return chosen.select(*[F.col(key) if name == key else F.col(f"_row.{name}") for name in df.columns])
+    return chosen.select(*[F.col(key) if name == key else F.col(f"_row.{name}") for name in wanted])
 
 
-def keep_last(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` for each ``key``."""
-    return _one_per_key(df, key, order, F.max_by)
+def keep_last(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """The row with the greatest ``order`` for each ``key``, narrowed to ``columns``."""
+    return _one_per_key(df, key, order, columns, F.max_by)
 
 
-def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The row with the smallest ``order`` for each ``key``."""
-    return _one_per_key(df, key, order, F.min_by)
+def keep_first(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """The row with the smallest ``order`` for each ``key``, narrowed to ``columns``."""
+    return _one_per_key(df, key, order, columns, F.min_by)

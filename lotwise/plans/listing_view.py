@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lotwise.contract import CLEAN_COLUMNS, RAW
 from lotwise.operators.cleaning import Rules, clean
 from lotwise.plans.registry import table
-from lotwise.session import through_table
+from lotwise.session import spread, through_table
 
 RULES = Rules(as_of_year=1999, price_min=2_000.0, price_max=100_000.0, year_min=1996)
 ORDER = ("scraped_at", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -54,7 +54,7 @@ def listings(spark: SparkSession, folder: str, columns: Sequence[str] = CLEAN_CO
     Only the dimensions that ``columns`` need are joined. Which sides are broadcast is left
     to the optimizer's size estimates and to adaptive execution.
     """
-    rows = table(spark, folder, "lineitem")
+    rows = spread(table(spark, folder, "lineitem"))
     if _FROM_PART & set(columns):
         rows = rows.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if "province" in columns:

@@ -11,6 +11,7 @@ from lotwise.functions import flags, numbers, phones, specs, text, times
 from lotwise.functions.titles import BRAND_ALIASES, BRANDS, MODELS, with_brand_model
 from lotwise.operators.cleaning import standardise_categories
 from lotwise.plans.registry import query, table
+from lotwise.session import spread
 
 
 def pick(index, *choices):
@@ -316,7 +317,7 @@ def _spec_map(spark, folder):
         row(F.when(F.col("l_linestatus") == "O", F.lit("color")), "none", value=" White "),
         row("transmission", display=F.when(F.col("l_returnflag") != "R", F.col("l_returnflag"))),
     )
-    mapped = table(spark, folder, "lineitem").select(
+    mapped = spread(table(spark, folder, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", specs.mapped_rows(rows).alias("mapped")
     )
     values = specs.column_values(F.col("mapped"))
