@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SALTS = 16
-_ANCHOR = 8
+_ANCHOR = 16
 
 
 def salted_lookup(
@@ -28,8 +28,9 @@ def contains_join(needles: DataFrame, texts: DataFrame, on: str, needle: str, te
     """Pairs (on, needle, text) with equal ``on`` where ``text`` contains ``needle``.
 
     Not all pairs of an ``on`` group are compared: a needle is looked up by its first
-    eight characters among the pieces of up to eight characters that occur in each text, an
-    equi-join. The containment check then removes chance hits. Exact for needles of any length.
+    16 characters among the pieces of up to 16 characters that occur in each text, an
+    equi-join. Needles of that length or less meet only texts that contain them; for longer
+    ones the containment check removes chance hits. Meant for short texts such as names.
     """
     anchored = needles.withColumn("_anchor", F.substring(needle, 1, _ANCHOR))
     starts = F.sequence(F.lit(1), F.length(text))

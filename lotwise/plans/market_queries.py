@@ -403,7 +403,7 @@ f AS (
     "feature_correlation",
     _FEATURE_SQL
     + " UNION ALL ".join(
-        f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 6) AS corr FROM f" for x in _FEATURES for y in _FEATURES
+        f"SELECT '{x}' AS x, '{y}' AS y, nullif(round(corr({x}, {y}), 6), CAST('nan' AS DOUBLE)) AS corr FROM f" for x in _FEATURES for y in _FEATURES
     ),
 )
 def _feature_correlation(spark, folder):

@@ -105,7 +105,7 @@ estimates AS (
          CAST(greatest(500, round_even(price * CAST(0.88 AS DOUBLE), -2)) AS DOUBLE) AS price_range_low_usd,
          CAST(least(300000, round_even(price * CAST(1.12 AS DOUBLE), -2)) AS DOUBLE) AS price_range_high_usd,
          CAST(market_sample_size AS BIGINT) AS market_sample_size, valuation_basis,
-         CAST(greatest(0, {AS_OF_YEAR} - y) AS BIGINT) AS estimated_age_years, 'USD' AS currency
+         CAST(greatest(0, {AS_OF_YEAR} - y) AS INTEGER) AS estimated_age_years, 'USD' AS currency
   FROM priced
 )
 """
