@@ -136,7 +136,7 @@ FROM clean""",
 )
 def _market_summary(spark, folder):
     rows = stored_clean(spark, folder, ["vehicle_brand", "province", "price", "scraped_at"])
-    summary = market.market_summary(rows, instant(F.col("scraped_at")), F.lit(AS_OF).cast("timestamp"))
+    summary = market.market_summary(rows, instant(F.col("scraped_at")), F.lit(f"{AS_OF}+00:00").cast("timestamp"))
 
     def brand(entry):
         cents = F.round(entry["median_price"] * 100).cast("bigint")
