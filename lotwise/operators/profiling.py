@@ -111,15 +111,13 @@ def describe(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
         present = present.filter(F.col(key).isNotNull())
     moments = [F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")]
     extremes = [F.min(value).alias("min"), F.max(value).alias("max")]
+    quartiles = exact_quantiles(present, keys, value, QUARTILES, "count")
+    names = ["count", *QUARTILES]
     if keys:
-        summary = present.groupBy(*keys).agg(*moments, *extremes)
-        quartiles = exact_quantiles(present, keys, value, QUARTILES, "count")
-        joined = summary.join(quartiles, list(keys))
+        joined = present.groupBy(*keys).agg(*moments, *extremes).join(quartiles, list(keys))
     else:
-        # both sides are a single row
-        summary = present.agg(*moments, *extremes, F.lit(0).alias("_one"))
-        quartiles = exact_quantiles(present, keys, value, QUARTILES, "count")
-        joined = summary.join(quartiles.withColumn("_one", F.lit(0)), "_one", "left")
+        row = quartiles.select(F.struct(*names).alias("row")).scalar()
+        joined = present.agg(*moments, *extremes).withColumn("_row", row).select("*", "_row.*")
     return joined.select(
         *keys, F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q1", "median", "q3", "max"
     )

@@ -1,0 +1,131 @@
+"""Plan shapes that have to hold when the data is large and skewed."""
+
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+from check_queries import TABLES, cell
+from lotwise.operators import merge
+from lotwise.operators.joins import salted_lookup
+from lotwise.plans.listing_view import listings
+from lotwise.plans.registry import table
+from lotwise.session import spread
+from lotwise.streaming.sync import few_ids
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def change(**options):
+        for name, value in options.items():
+            key = name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+NO_BROADCAST = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+}
+
+
+def executed(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df) -> str:
+    plan = executed(df)
+    return plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+
+
+@pytest.mark.parametrize(
+    "name",
+    "top_brands_median market_summary box_stats_by_brand price_describe upsert_merge enrich_update value_batch".split(),
+)
+def test_results_without_size_based_broadcasts(spark, conf, small_sf, name):
+    conf(**NO_BROADCAST)
+    duck = duckdb.connect()
+    for table_name in TABLES:
+        duck.execute(f"CREATE VIEW {table_name} AS SELECT * FROM '{small_sf}/{table_name}.parquet'")
+    df = entry_points.queries()[name](spark, small_sf)
+    plan = executed(df)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    names = sorted(df.columns)
+    result = duck.execute(entry_points.oracle_sql()[name])
+    columns = [d[0] for d in result.description]
+    want = [dict(zip(columns, row, strict=True)) for row in result.fetchall()]
+    got = sorted(tuple(cell(row[n]) for n in names) for row in df.collect())
+    assert got == sorted(tuple(cell(row[n]) for n in names) for row in want)
+
+
+@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - {"stream_sync", "stream_enrich"}))
+def test_no_query_compares_all_pairs_or_buffers_groups(spark, small_sf, name):
+    plan = executed(entry_points.queries()[name](spark, small_sf))
+    assert not re.search(r"CartesianProduct|NestedLoop|percentile|BatchEvalPython|SampleExec", plan)
+    if name != "market_summary":  # its lists hold the top eight and top five
+        assert "collect_list" not in plan
+
+
+def test_hot_keys_are_split_by_adaptive_execution(spark, conf):
+    conf(
+        **NO_BROADCAST,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__shuffle__partitions="16",
+    )
+    rows = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("string").alias("listing_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("description"),
+    )
+    details = spark.range(0, 60000, 7, 8).select(
+        F.col("id").cast("string").alias("listing_id"), F.lit(True).alias("matched"), F.lit("new").alias("description")
+    )
+    out = merge.apply_details(rows, details)
+    assert out.filter("description = 'new'").count() == 20000 + len([i for i in range(0, 60000, 7) if i % 3])
+    out.collect()
+    assert "skew=true" in final_plan(out)
+
+
+def test_salts_spread_a_hot_group(spark, conf):
+    conf(**NO_BROADCAST, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="16")
+    rows = spark.range(16000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    groups = spark.createDataFrame([("hot", 1)], "k string, w int")
+    sizes = [r["count"] for r in salted_lookup(rows, groups, ["k"], "v").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 16000 and max(sizes) < 16000 * 0.5
+
+
+def test_filters_and_columns_reach_the_scan(spark, small_sf):
+    df = listings(spark, small_sf, ["vehicle_brand", "price"]).filter("l_partkey > 10")
+    plan = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    lineitem = next(part for part in plan.split("Scan parquet") if "l_orderkey" in part and "ReadSchema" in part)
+    assert "GreaterThan(l_partkey,10)" in lineitem
+    read = lineitem.split("ReadSchema:")[1].splitlines()[0]
+    assert "l_tax" not in read and "l_quantity" not in read and "l_linestatus" not in read
+
+
+def test_only_needed_dimensions_are_joined(spark, small_sf):
+    plan = executed(listings(spark, small_sf, ["price"]))
+    assert "Join" not in plan
+
+
+def test_spread_leaves_large_scans_alone(spark, small_sf, conf):
+    scan = table(spark, small_sf, "lineitem")
+    assert "RoundRobin" in executed(spread(scan))
+    conf(spark__sql__files__maxPartitionBytes="4KB", spark__sql__files__openCostInBytes="1")
+    assert "RoundRobin" not in executed(spread(table(spark, small_sf, "lineitem")))
+
+
+def test_few_ids_counts_no_further_than_needed(spark):
+    assert few_ids(spark.range(5), 5) and not few_ids(spark.range(6), 5)
