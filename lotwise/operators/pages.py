@@ -12,8 +12,10 @@ taken.
 from __future__ import annotations
 
 import json
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -188,6 +190,10 @@ def resolve_table(table: list) -> list:
     return expand(table, 0)
 
 
+# the function travels with the job: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.StringType())
 def resolve_listing(tables: pd.Series) -> pd.Series:
     """Listing object of each JSON data array, references resolved, as JSON text."""
