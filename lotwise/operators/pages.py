@@ -70,7 +70,7 @@ def _likes(field: Field) -> Column:
 
 
 def _not_cycle(field: Field) -> Column:
-    return F.nullif(field.text, F.lit(CYCLE))
+    return F.nullif(text(field.value), F.lit(CYCLE))
 
 
 def extract_details(pages: DataFrame, decode_receipt: bool = False) -> DataFrame:
