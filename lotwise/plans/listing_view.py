@@ -54,7 +54,7 @@ def listings(spark: SparkSession, folder: str, columns: Sequence[str] = CLEAN_CO
     Only the dimensions that ``columns`` need are joined. Which sides are broadcast is left
     to the optimizer's size estimates and to adaptive execution.
     """
-    rows = spread(table(spark, folder, "lineitem"))
+    rows = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")
     if _FROM_PART & set(columns):
         rows = rows.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if "province" in columns:

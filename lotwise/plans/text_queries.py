@@ -317,7 +317,7 @@ def _spec_map(spark, folder):
         row(F.when(F.col("l_linestatus") == "O", F.lit("color")), "none", value=" White "),
         row("transmission", display=F.when(F.col("l_returnflag") != "R", F.col("l_returnflag"))),
     )
-    mapped = spread(table(spark, folder, "lineitem")).select(
+    mapped = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey").select(
         "l_orderkey", "l_linenumber", "l_partkey", specs.mapped_rows(rows).alias("mapped")
     )
     values = specs.column_values(F.col("mapped"))

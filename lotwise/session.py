@@ -60,11 +60,12 @@ def through_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan over all cores when its files give fewer splits than there are cores.
 
     For work that is heavy per row. A table that is large enough to fill the cluster is
-    returned unchanged, without a shuffle. ``scan`` must be a plain table read.
+    returned unchanged, without a shuffle. ``scan`` must be a plain table read; ``keys``
+    should together tell rows apart.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan

@@ -122,9 +122,9 @@ def test_only_needed_dimensions_are_joined(spark, small_sf):
 
 def test_spread_leaves_large_scans_alone(spark, small_sf, conf):
     scan = table(spark, small_sf, "lineitem")
-    assert "RoundRobin" in executed(spread(scan))
+    assert "REPARTITION_BY_NUM" in executed(spread(scan, "l_orderkey"))
     conf(spark__sql__files__maxPartitionBytes="4KB", spark__sql__files__openCostInBytes="1")
-    assert "RoundRobin" not in executed(spread(table(spark, small_sf, "lineitem")))
+    assert "REPARTITION_BY_NUM" not in executed(spread(table(spark, small_sf, "lineitem"), "l_orderkey"))
 
 
 def test_few_ids_counts_no_further_than_needed(spark):
