@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, langid, qda, toxicity
+from lotwise.llm import bpe, langid, mtree, qda, raking, token_counts, toxicity, vector_dedup
 from lotwise.llm.common import held_out, stored
 from lotwise.plans.registry import table
 
@@ -80,3 +80,42 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_vector_dedup")
+def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_dedup.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding", 0.9)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+@query("op8_top_k")
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = mtree.whole_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    return mtree.top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "n_words", "n_tokens")
+
+
+def with_topic(docs: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """Topic of a document: the cluster label of its vector, none without one."""
+    labels = embeddings.select(F.col("vec_id").alias("_vec"), F.col("label").alias("topic"))
+    labels = labels.groupBy("_vec").agg(F.min("topic").alias("topic"))
+    return docs.join(labels, F.col("doc_id") == F.col("_vec"), "left").drop("_vec")
+
+
+@query("op7_mixing")
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "source", "lang", raking.tokens(F.col("text")).alias("tokens")
+    )
+    docs = stored(with_topic(docs, table(spark, folder, "embeddings")), "mixing-documents")
+    return raking.sample(docs, ("source", "lang", "topic"), "tokens", "doc_id").select(
+        "doc_id", "source", "lang", "topic", "tokens", "probability", "sampled"
+    )
