@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -107,6 +108,20 @@ class Encoder:
         return self.reduce(piece) if whole is None else [whole]
 
 
+class _Pieces(dict):
+    """Packed token ids of the pieces met so far."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHED_PIECES:
+            self.clear()
+        found = self[piece] = np.array(self.encoder.encode(piece.encode()), np.int32).tobytes()
+        return found
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add ``ids array<int>``: the token ids of each whole text.
 
@@ -120,21 +135,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        encoder, cache = Encoder(ranks), {}
+        known = _Pieces(Encoder(ranks))
         matches = regex.compile(pattern).findall
         for batch in (part for whole in batches for part in slices(whole, text, BATCH_BYTES)):
-            flat: list[int] = []
-            ends = [0]
-            for value in texts(batch.column(text)):
-                for piece in matches(value):
-                    found = cache.get(piece)
-                    if found is None:
-                        if len(cache) >= CACHED_PIECES:
-                            cache.clear()
-                        found = cache[piece] = encoder.encode(piece.encode())
-                    flat += found
-                ends.append(len(flat))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            rows = [b"".join(map(known.__getitem__, matches(value))) for value in texts(batch.column(text))]
+            ends = np.cumsum([0, *map(len, rows)]) // 4
+            flat = np.frombuffer(b"".join(rows), np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, ids])
 
     return docs.select(*kept).mapInArrow(run, schema)

@@ -44,6 +44,7 @@ def texts(column: pa.Array) -> list[str]:
 def word_lists(column: pa.Array) -> pa.ListArray:
     """ASCII-lower-cased runs of ``[^\\x20\\x09-\\x0D]`` of each text; null has none."""
     filled = pc.fill_null(column.cast(pa.large_string()), "")
+    filled = pa.concat_arrays([filled, filled.slice(0, 0)])  # ascii_lower needs offsets that start at 0
     parts = pc.ascii_split_whitespace(pc.ascii_lower(filled))
     flat = parts.flatten()
     full = pc.not_equal(flat, "")

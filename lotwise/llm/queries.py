@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, langid, mtree, qda, raking, token_counts, toxicity, vector_dedup
+from lotwise.llm import bpe, jaccard_join, langid, mtree, qda, raking, token_counts, toxicity, vector_dedup
 from lotwise.llm.common import held_out, stored
 from lotwise.plans.registry import table
 
@@ -119,3 +119,9 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return raking.sample(docs, ("source", "lang", "topic"), "tokens", "doc_id").select(
         "doc_id", "source", "lang", "topic", "tokens", "probability", "sampled"
     )
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    classes = jaccard_join.jaccard_classes(table(spark, folder, "documents"), "doc_id", "text", 4, 85)
+    return classes.withColumnRenamed("id", "doc_id")

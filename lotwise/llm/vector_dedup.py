@@ -79,7 +79,7 @@ def _hashed(reps: DataFrame, bits: int, tables: int) -> DataFrame:
     return reps.mapInArrow(run, extended(reps, "dim int, codes array<int>"))
 
 
-def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, root) of a spanning forest of a symmetric boolean matrix."""
     root = np.full(len(linked), -1)
     for node in range(len(linked)):
@@ -111,7 +111,7 @@ def _compare(cosine: float):
         a, b = np.nonzero(np.triu(linked, 1))
         first = (codes[a, :table] == codes[b, :table]).any(1) if table else np.zeros(len(a), bool)
         linked[a[first], b[first]] = linked[b[first], a[first]] = False
-        child, root = _forest(linked)
+        child, root = forest(linked)
         links = linked @ copies
         own = np.flatnonzero(links)
         none = pa.nulls(len(own), pa.int64())
