@@ -116,7 +116,7 @@ def split_words(values: list[str], letters: np.ndarray) -> Words:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-scores (bucket x language) and allowed languages by script."""
+    """Log-scores (language x bucket) and allowed languages by script."""
 
     languages: tuple[str, ...]
     table: np.ndarray
@@ -127,7 +127,10 @@ class Model:
         """Log-likelihood of each word in each language; forbidden scripts score very low."""
         if len(words.start) == 0:
             return np.zeros((0, len(self.languages)))
-        scores = np.add.reduceat(self.table[words.grams], words.first[:-1], axis=0).astype(np.float64)
+        scores = np.empty((len(words.start), len(self.languages)))
+        for k, row in enumerate(self.table):
+            total = np.concatenate([[0.0], np.cumsum(row[words.grams], dtype=np.float64)])
+            scores[:, k] = np.diff(total[words.first])
         return scores + np.where(self.allowed[words.script], 0.0, FORBIDDEN)
 
     def path(self, scores: np.ndarray) -> np.ndarray:
@@ -138,19 +141,17 @@ class Model:
         gain = np.concatenate([[0.0], np.cumsum((scores - scores[:, [best]]).max(1))])
         if (gain - np.minimum.accumulate(gain)).max() <= self.switch:
             return np.full(len(scores), best)
-        n, k = scores.shape
-        back = np.empty((n, k), np.int16)
-        value, own = scores[0].copy(), np.arange(k)
-        for t in range(1, n):
-            top = int(value.argmax())
-            stay = value >= value[top] - self.switch
-            back[t] = np.where(stay, own, top)
-            value = np.where(stay, value, value[top] - self.switch) + scores[t]
-        path = np.empty(n, np.int64)
-        path[-1] = int(value.argmax())
-        for t in range(n - 1, 0, -1):
-            path[t - 1] = back[t, path[t]]
-        return path
+        rows = scores.tolist()
+        value, back = rows[0], []
+        for row in rows[1:]:
+            top = max(value)
+            place, floor = value.index(top), top - self.switch
+            back.append([k if v >= floor else place for k, v in enumerate(value)])
+            value = [(v if v >= floor else floor) + own for v, own in zip(value, row, strict=True)]
+        path = [value.index(max(value))]
+        for step in reversed(back):
+            path.append(step[path[-1]])
+        return np.array(path[::-1])
 
 
 def _gram_rows(languages: list[str], docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -188,16 +189,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, lang)
     languages = sorted(row[0] for row in labelled.select(lang).distinct().collect())
     if not languages:
-        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros((N_SCRIPTS, 0), bool))
+        return Model((), np.zeros((0, BUCKETS), np.float32), np.zeros((N_SCRIPTS, 0), bool))
     counts = np.zeros((len(languages), BUCKETS + N_SCRIPTS))
     table = _gram_rows(languages, labelled, text, lang).toPandas()
     counts[table.k.to_numpy(), table.bucket.to_numpy()] = table.n.to_numpy()
     grams = counts[:, :BUCKETS] + 0.5
-    table = np.log(grams / grams.sum(1, keepdims=True)).T.astype(np.float32)
+    table = np.log(grams / grams.sum(1, keepdims=True)).astype(np.float32)
     scripts = counts[:, BUCKETS:]
     allowed = (scripts >= LEAST_SHARE * np.maximum(scripts.sum(1, keepdims=True), 1)).T & (scripts.T > 0)
     allowed[~allowed.any(1)] = True  # a script never seen says nothing
-    return Model(tuple(languages), np.ascontiguousarray(table), allowed)
+    return Model(tuple(languages), table, allowed)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

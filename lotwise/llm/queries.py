@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, jaccard_join, langid, mtree, qda, raking, token_counts, toxicity, vector_dedup
+from lotwise.llm import bpe, jaccard_join, langid, mtree, ngram_lm, qda, raking, token_counts, toxicity, vector_dedup
 from lotwise.llm.common import held_out, stored
 from lotwise.plans.registry import table
 
@@ -125,3 +125,10 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     classes = jaccard_join.jaccard_classes(table(spark, folder, "documents"), "doc_id", "text", 4, 85)
     return classes.withColumnRenamed("id", "doc_id")
+
+
+@query("op1_ngram_lm")
+def op1_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = ngram_lm.score(docs, held_out(F.col("doc_id"), 10, 0), "doc_id", "text")
+    return scored.withColumnRenamed("id", "doc_id")
