@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lotwise.llm.common import extended, slices, texts
+from lotwise.llm.common import bound_batches, extended, slices, texts
 
 LEAF_BYTES = 24
 CACHED_PIECES = 1 << 17
@@ -129,6 +129,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     named ``ids``, which is replaced. Text travels through no shuffle; a task keeps at most
     ``CACHED_PIECES`` encoded pieces.
     """
+    docs = bound_batches(docs)
     kept = [c for c in docs.columns if c != ids]
     schema = extended(docs.select(*kept), f"`{ids}` array<int>")
 
@@ -149,6 +150,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
 def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add ``decoded binary``: the joined bytes of the token ids; null ids give no bytes."""
+    docs = bound_batches(docs)
     kept = [c for c in docs.columns if c != decoded]
     schema = extended(docs.select(*kept), f"`{decoded}` binary")
 

@@ -32,6 +32,17 @@ def extended(df: DataFrame, ddl: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
 
 
+def bound_batches(df: DataFrame, rows: int = 1024) -> DataFrame:
+    """Let tasks get at most ``rows`` rows at once from now on in this session.
+
+    Rows hold whole texts; Spark's own limit of 10,000 rows could be gigabytes of them.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

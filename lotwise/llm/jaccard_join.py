@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import mix64, shuffle_partitions, slices, stored, string_hashes, word_lists
+from lotwise.llm.common import bound_batches, mix64, shuffle_partitions, slices, stored, string_hashes, word_lists
 from lotwise.llm.components import components
 from lotwise.llm.vector_dedup import forest
 
@@ -68,7 +68,7 @@ def document_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame
     ``tokens`` holds the set once for each node and task, null on its other rows; an empty
     set has neither node nor tokens.
     """
-    source = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    source = bound_batches(docs).select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()

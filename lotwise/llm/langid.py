@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import extended, slices, texts
+from lotwise.llm.common import bound_batches, extended, slices, texts
 
 BUCKETS = 1 << 15
 BATCH_BYTES = 1 << 20
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     The driver receives the set of languages and one count per language and bucket, which
     does not grow with the documents.
     """
-    labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, lang)
+    labelled = bound_batches(docs).where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, lang)
     languages = sorted(row[0] for row in labelled.select(lang).distinct().collect())
     if not languages:
         return Model((), np.zeros((0, BUCKETS), np.float32), np.zeros((N_SCRIPTS, 0), bool))
@@ -210,6 +210,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     letter, and a model without languages give ``und``, no spans and score 0.
     """
     added = ("spans", "lang_pred", "lang_score")
+    docs = bound_batches(docs)
     kept = [c for c in docs.columns if c not in added]
     schema = extended(
         docs.select(*kept),

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import mix64, shuffle_partitions, slices, stored, string_hashes, word_lists
+from lotwise.llm.common import bound_batches, mix64, shuffle_partitions, slices, stored, string_hashes, word_lists
 from lotwise.llm.elias_fano import Trie, quantise, restore
 
 FREQUENT = 65_535
@@ -67,7 +67,7 @@ class Tokens:
 
 
 def _source(docs: DataFrame, key: str, text: str, held: Column) -> DataFrame:
-    return docs.select(
+    return bound_batches(docs).select(
         F.col(key).alias("id"),
         F.col(text).cast("string").alias("text"),
         held.alias("held"),

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import extended, texts
+from lotwise.llm.common import bound_batches, extended, texts
 
 STATISTICS = (
     "words",
@@ -79,7 +79,7 @@ def statistics(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "
 
     A null text counts as empty; an empty text has zeros. One row for each input row.
     """
-    source = docs.select(*keys, F.col(text).alias("_text") if text in keys else text)
+    source = bound_batches(docs).select(*keys, F.col(text).alias("_text") if text in keys else text)
     name = source.columns[-1]
     schema = extended(source.select(*keys), "x array<double>")
 
@@ -167,8 +167,8 @@ def fit(labelled: DataFrame, label: str, shrink: float = 0.2, ridge: float = 0.0
 
 
 def score(stats: DataFrame, model: Model) -> DataFrame:
-    """Replace ``x`` by ``score double``, the probability of label 1."""
-    kept = [c for c in stats.columns if c != "x"]
+    """Replace ``x`` (and a column ``score``) by ``score double``, the probability of label 1."""
+    kept = [c for c in stats.columns if c not in ("x", "score")]
     schema = extended(stats.select(*kept), "score double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lotwise.llm.common import extended, slices, texts
+from lotwise.llm.common import bound_batches, extended, slices, texts
 
 CACHED_WORDS = 1 << 17
 BATCH_BYTES = 8 << 20
@@ -109,6 +109,7 @@ def count_tokens(docs: DataFrame, vocabulary: Iterable[bytes], pattern: str, tex
     Columns named ``n_words`` or ``n_tokens`` are replaced, others pass unchanged.
     """
     added = ("n_words", "n_tokens")
+    docs = bound_batches(docs)
     kept = [c for c in docs.columns if c not in added]
     pieces = sorted(set(vocabulary))
 

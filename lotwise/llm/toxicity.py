@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import extended, slices, texts
+from lotwise.llm.common import bound_batches, extended, slices, texts
 
 WORD = re.compile(r"[^\W\d_]+(?:['’*@$0-9][^\W\d_]+)*")
 BEGINNINGS = (4, 5)
@@ -175,7 +175,7 @@ def learn_lexicon(
                     yield flush()
         yield flush()
 
-    labelled = docs.where(F.col(label).isin(0, 1)).select(text, label)
+    labelled = bound_batches(docs).where(F.col(label).isin(0, 1)).select(text, label)
     sizes = {row[0]: row[1] for row in labelled.groupBy(label).count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
@@ -231,6 +231,7 @@ def hits(docs: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "hit
 
     Kinds: 1 a lexicon term, 2 a stem, 3 a misspelled term. A null or empty text has none.
     """
+    docs = bound_batches(docs)
     kept = [c for c in docs.columns if c != name]
     schema = extended(
         docs.select(*kept), f"`{name}` array<struct<kind:int,start:int,end:int,quoted:boolean>>"
