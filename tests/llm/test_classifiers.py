@@ -1,0 +1,186 @@
+"""Quality, toxicity and language: method against plain versions, accuracy on held-out rows."""
+
+from __future__ import annotations
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lotwise.llm import langid, qda, toxicity
+from lotwise.llm.common import held_out
+
+
+def test_discriminant_equals_normal_densities():
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(2, 3, 3))
+    covariance = a @ a.transpose(0, 2, 1) + np.eye(3)
+    means = rng.normal(size=(2, 3))
+    factors = np.linalg.cholesky(covariance)
+    log_dets = np.array([2 * np.log(np.diag(f)).sum() for f in factors])
+    model = qda.Model(means, np.linalg.inv(factors), log_dets, 0.3)
+    x = rng.normal(size=(50, 3))
+    density = [
+        -0.5 * np.einsum("ij,jk,ik->i", x - means[k], np.linalg.inv(covariance[k]), x - means[k])
+        - 0.5 * np.linalg.slogdet(covariance[k])[1]
+        for k in (0, 1)
+    ]
+    assert np.allclose(model.score(x), 1 / (1 + np.exp(-(density[1] - density[0] + 0.3))))
+
+
+def test_moments_and_shrinkage(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, len(qda.STATISTICS)))
+    y = rng.integers(0, 2, 60)
+    rows = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, y, strict=True)], "x array<double>, y int")
+    model = qda.fit(rows.repartition(3), "y", shrink=0.25, ridge=0.1)
+    for k in (0, 1):
+        own = np.cov(x[y == k].T, bias=True)
+        pooled = sum(np.cov(x[y == c].T, bias=True) * (y == c).sum() for c in (0, 1)) / 60
+        want = 0.75 * own + 0.25 * pooled
+        want = 0.9 * want + 0.1 * np.trace(pooled) / len(want) * np.eye(len(want))
+        inverse = np.linalg.inv(model.whiten[k])
+        assert np.allclose(inverse @ inverse.T, want) and np.allclose(model.means[k], x[y == k].mean(0))
+
+
+def test_quality_of_odd_documents(odd_documents, no_documents):
+    stats = qda.statistics(odd_documents, ("doc_id", "score"))
+    model = qda.fit(stats.withColumn("y", F.lit(1)), "y")
+    rows = qda.score(stats, model).collect()
+    assert len(rows) == odd_documents.count() and all(0 <= r.score <= 1 for r in rows)
+    empty = qda.statistics(no_documents)
+    assert qda.score(empty, qda.fit(empty.withColumn("y", F.lit(0)), "y")).count() == 0
+
+
+def test_quality_on_held_out_documents(spark, small_sf):
+    docs = spark.read.parquet(f"{small_sf}/documents.parquet")
+    labels = spark.read.parquet(f"{small_sf}/labels.parquet")
+    stats = qda.statistics(docs).join(labels, "doc_id").cache()
+    fold = held_out(F.col("doc_id"), 3, 1)
+    model = qda.fit(stats.where(~fold), "quality")
+    rows = qda.score(stats.where(fold), model).collect()
+    assert np.mean([(r.score >= 0.5) == (r.quality == 1) for r in rows]) >= 0.9
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_automaton_equals_edit_distance():
+    random.seed(5)
+    terms = ["scoundrel", "rascal", "rascals", "cur", "villain", "viper"]
+    matcher = toxicity.Matcher(toxicity.Lexicon(tuple(terms)))
+
+    def mutated():
+        word = random.choice(terms)
+        for _ in range(random.randint(0, 2)):
+            at = random.randint(0, len(word))
+            word = word[:at] + random.choice(["", "a", "r", "x"]) + word[at + random.randint(0, 1) :]
+        return word
+
+    for word in {mutated() for _ in range(4000)} | {"", "r", "rascal"}:
+        exact = word in terms
+        near = any(len(t) >= 5 and word[:1] == t[0] and distance(word, t) <= 1 for t in terms)
+        assert matcher.match(word) == (1 if exact else 3 if near else 0), word
+
+
+def test_windows_tell_quotation():
+    lexicon = toxicity.Lexicon(("scoundrel",))
+    matcher = toxicity.Matcher(lexicon)
+
+    def quoted(text):
+        return [hit[3] for hit in toxicity._hits(text, matcher, {})]
+
+    assert quoted("you scoundrel") == [False]
+    assert quoted('the letter had "you scoundrel" in it') == [True]
+    assert quoted("they called him scoundrel") == [True]
+    assert quoted("a scoundreI or Scoundrel, scoundrels") == [False, False, False]
+
+
+def test_toxicity_learns_terms_stems_and_misspellings(spark):
+    clean = ["a calm sentence about ships", "the harbour was quiet", "ships sail home"] * 12
+    toxic = ["you scoundrel go home", "the scoundrel zorkish ships", "calm zorkful scoundrel"] * 12
+    rows = [(i, t, int(i >= len(clean))) for i, t in enumerate(clean + toxic)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, y int"), "y")
+    assert "scoundrel" in model.lexicon.terms and "zork" in model.lexicon.stems
+    probe = ["a scoundrell", "a scoundrel", "zorkless", "quiet ships", "a note, she wrote scoundrel", None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(probe)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert got[1] >= 0.7 and got[2] >= 0.7 and got[0] > 0.4
+    assert got[4] < got[1] and max(got[3], got[5], got[6]) < 0.1
+
+
+def test_toxicity_of_odd_documents(odd_documents, no_documents):
+    model = toxicity.fit(odd_documents.withColumn("y", F.lit(None).cast("int")), "y")
+    assert model.lexicon.terms == ()
+    assert all(0 <= r.score <= 1 for r in toxicity.score(odd_documents, model).collect())
+    assert toxicity.score(no_documents, model).count() == 0
+
+
+def test_path_is_the_best_of_all_paths():
+    rng = np.random.default_rng(4)
+    model = langid.Model(("a", "b", "c"), np.zeros((3, langid.BUCKETS)), np.ones((langid.N_SCRIPTS, 3), bool), 1.5)
+    for _ in range(60):
+        scores = rng.normal(size=(6, 3)) * 1.5
+
+        def value(path):
+            return sum(scores[t, k] for t, k in enumerate(path)) - 1.5 * sum(
+                a != b for a, b in itertools.pairwise(path)
+            )
+
+        best = max(itertools.product(range(3), repeat=6), key=value)
+        assert value(model.path(scores)) == pytest.approx(value(best))
+
+
+@pytest.fixture(scope="module")
+def languages(spark):
+    words = {"aa": "bal dor kim sul", "bb": "chet vosh zhin ptak", "gr": "λογος δημος"}
+    random.seed(6)
+    rows = []
+    for i in range(90):
+        lang = ("aa", "bb", "gr")[i % 3]
+        rows.append((i, " ".join(random.choices(words[lang].split(), k=30)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return docs, langid.fit(docs)
+
+
+def test_spans_of_mixed_text(spark, languages):
+    _, model = languages
+    text = "Bal dor kim sul bal dor, chet vosh zhin ptak chet vosh zhin. λογος δημος λογος"
+    row = langid.identify(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    assert [s.lang for s in row.spans] == ["aa", "bb", "gr"]
+    assert text[row.spans[1].start : row.spans[1].end] == "chet vosh zhin ptak chet vosh zhin"
+    assert row.lang_pred == "bb" and 0.3 < row.lang_score < 0.6
+
+
+def test_scripts_narrow_the_candidates(spark, languages):
+    _, model = languages
+    assert model.allowed[2].tolist() == [False, False, True] and model.allowed[1].tolist() == [True, True, False]
+
+
+def test_language_of_odd_documents(odd_documents, no_documents, languages):
+    _, model = languages
+    rows = langid.identify(odd_documents, model).collect()
+    assert len(rows) == odd_documents.count()
+    for row in rows:
+        if not any(c.isalpha() for c in row.text or ""):
+            assert (row.lang_pred, row.lang_score, row.spans) == ("und", 0.0, [])
+        else:
+            assert row.lang_pred in model.languages and 0 < row.lang_score <= 1
+    assert langid.identify(no_documents, model).count() == 0
+    nothing = langid.fit(no_documents)
+    assert {r.lang_pred for r in langid.identify(odd_documents, nothing).collect()} == {"und"}
+
+
+def test_language_on_held_out_documents(spark, small_sf):
+    docs = spark.read.parquet(f"{small_sf}/documents.parquet")
+    fold = held_out(F.col("doc_id"), 4, 2)
+    rows = langid.identify(docs.where(fold), langid.fit(docs.where(~fold))).collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) >= 0.95
