@@ -49,7 +49,7 @@ def vectors(count, dim, seed):
     return np.concatenate([base, near, copies, 3 * base[:5], rng.normal(size=(count // 4 - 5, dim))])
 
 
-ODD = [None, [], [0.0] * 8, [1.0, None, 0, 0, 0, 0, 0, 0], [float("nan")] + [1.0] * 7, [float("inf")] + [1.0] * 7]
+ODD = [None, [], [0.0] * 8, [1.0, None, *[0.0] * 6], [float("nan")] + [1.0] * 7, [float("inf")] + [1.0] * 7]
 
 
 @pytest.mark.parametrize("block", [1024, 16])
