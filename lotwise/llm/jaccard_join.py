@@ -8,7 +8,7 @@ but rarely under another. Candidates must meet under every order.
 
 Work never grows with the square of a group. Documents with equal sets are one node. Nodes
 that share a very common prefix token are linked to one of them instead of to each other.
-Candidates are joined to candidate groups, a node's set goes to the tasks of its group, and
+Candidates are joined to candidate groups, a node's text goes to the tasks of its group, and
 there blocks of sets are compared as matrices. Only a spanning forest of the true links
 comes back, which is all that the classes need.
 """
@@ -29,7 +29,6 @@ from lotwise.llm.components import components
 from lotwise.llm.vector_dedup import forest
 
 BATCH_BYTES = 4 << 20
-TOKEN_BYTES = 6  # sets are kept as 48-bit hashes; sizes are counted before they are cut
 SKETCH_BITS = 20
 CHUNK_BITS = 14
 SMALL_GROUP = 64
@@ -62,46 +61,15 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def document_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(id, size, node, tokens): documents with equal sets have the same node.
+def _node(tokens: np.ndarray) -> int:
+    """Number of a set: 64 bits of a digest of its tokens."""
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
-    ``tokens`` holds the set once for each node and task, null on its other rows; an empty
-    set has neither node nor tokens.
-    """
-    source = bound_batches(docs).select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
-        with np.errstate(over="ignore"):
-            for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
-                sizes, nodes, tokens = [], [], []
-                for found in shingle_sets(batch.column("text"), width):
-                    sizes.append(len(found))
-                    if not len(found):
-                        nodes.append(None)
-                        tokens.append(None)
-                        continue
-                    digest = hashlib.blake2b(found.tobytes(), digest_size=8).digest()
-                    nodes.append(int.from_bytes(digest, "little", signed=True))
-                    if nodes[-1] in met:
-                        tokens.append(None)
-                    else:
-                        met.add(nodes[-1])
-                        cut = found.view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]
-                        tokens.append(cut.tobytes())
-                arrays = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.binary())]
-                names = ["id", "size", "node", "tokens"]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], names)
-
-    id_type = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {id_type}, size long, node long, tokens binary")
-
-
-def unpack(tokens: bytes) -> np.ndarray:
-    cut = np.frombuffer(tokens, np.uint8).reshape(-1, TOKEN_BYTES)
-    whole = np.zeros((len(cut), 8), np.uint8)
-    whole[:, :TOKEN_BYTES] = cut
-    return whole.view(np.uint64).ravel()
+def _nodes(column: pa.Array, width: int) -> Iterator[tuple[int | None, np.ndarray]]:
+    with np.errstate(over="ignore"):
+        for tokens in shingle_sets(column, width):
+            yield (_node(tokens) if len(tokens) else None), tokens
 
 
 def _spot(tokens: np.ndarray) -> np.ndarray:
@@ -109,25 +77,47 @@ def _spot(tokens: np.ndarray) -> np.ndarray:
     return (tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
 
 
-def frequency_classes(sets: DataFrame) -> np.ndarray:
+def _scanned(source: DataFrame, width: int) -> DataFrame:
+    """(id, size, node) of each document, and rows (piece, counts) of the counting sketch of each task.
+
+    Documents with equal sets have the same node; an empty set has none.
+    """
+    kind = source.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SKETCH_BITS, np.uint32)
+        met: set[int] = set()
+        names = ["id", "size", "node", "piece", "counts"]
+        of = None
+        for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
+            of = batch.column("id").type
+            sizes, nodes = [], []
+            for node, tokens in _nodes(batch.column("text"), width):
+                sizes.append(len(tokens))
+                nodes.append(node)
+                if node is not None and node not in met:
+                    met.add(node)
+                    np.add.at(total, _spot(tokens), 1)
+            rest = [pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())]
+            arrays = [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *rest]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+        if met:
+            parts = [part.tobytes() for part in total.reshape(-1, 1 << CHUNK_BITS)]
+            empty = pa.nulls(len(parts), pa.int64())
+            arrays = [pa.nulls(len(parts), of), empty, empty, pa.array(range(len(parts)), pa.int32()), pa.array(parts)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return source.mapInArrow(run, f"id {kind}, size long, node long, piece int, counts binary")
+
+
+def frequency_classes(scanned: DataFrame) -> np.ndarray:
     """Class of each place of a counting sketch: 0 for up to twice the mean count, then by powers of two.
 
     The sketch has 2^20 counters whatever the corpus holds; partial sketches are added up in
-    Spark, piece by piece, and the driver receives one byte for each counter.
+    Spark, piece by piece, and the driver receives one number for each counter.
     """
     chunk = 1 << CHUNK_BITS
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
-            for tokens in batch.column("tokens"):
-                np.add.at(total, _spot(unpack(tokens.as_py())), 1)
-        if total.any():
-            parts = [part.astype(np.uint32).tobytes() for part in total.reshape(-1, chunk)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["piece", "counts"]
-            )
-
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(chunk, np.int64)
         for batch in batches:
@@ -137,21 +127,26 @@ def frequency_classes(sets: DataFrame) -> np.ndarray:
             [pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["piece", "counts"]
         )
 
-    parts = sets.select("tokens").mapInArrow(count, "piece int, counts binary")
     counts = np.zeros(1 << SKETCH_BITS)
+    parts = scanned.where("piece is not null").select("piece", "counts")
     for row in parts.groupBy("piece").applyInArrow(add, "piece int, counts binary").toLocalIterator():
         counts[row.piece * chunk : (row.piece + 1) * chunk] = np.frombuffer(row.counts, np.int64)
     return np.log2(np.maximum(counts / max(counts.mean(), 1e-9), 1.0)).astype(np.uint8)
 
 
-def _postings(sets: DataFrame, classes: np.ndarray, percent: int, orders: Sequence[int], shards: int) -> DataFrame:
-    """(shard, place, token, node, size): each set's prefix under each order."""
+def _postings(
+    source: DataFrame, classes: np.ndarray, width: int, percent: int, orders: Sequence[int], shards: int
+) -> DataFrame:
+    """(shard, place, token, node, size): each set's prefix under each order, once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        met: set[int] = set()
+        for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
             out: list[list[np.ndarray]] = [[], [], [], []]
-            for tokens, node, size in zip(*(batch.column(c).to_pylist() for c in ("tokens", "node", "size")), strict=True):
-                found = unpack(tokens)
+            for node, found in _nodes(batch.column("text"), width):
+                if node is None or node in met:
+                    continue
+                met.add(node)
                 late = classes[_spot(found)].astype(np.uint64) << np.uint64(58)
                 length = len(found) - -(-percent * len(found) // 100) + 1
                 for place, seed in enumerate(orders):
@@ -160,16 +155,14 @@ def _postings(sets: DataFrame, classes: np.ndarray, percent: int, orders: Sequen
                     out[0].append(np.full(length, place, np.int32))
                     out[1].append(first.view(np.int64))
                     out[2].append(np.full(length, node, np.int64))
-                    out[3].append(np.full(length, size, np.int64))
+                    out[3].append(np.full(length, len(found), np.int32))
             if out[0]:
                 place, token, node, size = (np.concatenate(part) for part in out)
                 shard = (mix64(token.view(np.uint64)) % np.uint64(shards)).astype(np.int32)
                 arrays = [pa.array(x) for x in (shard, place, token, node, size)]
                 yield pa.RecordBatch.from_arrays(arrays, ["shard", "place", "token", "node", "size"])
 
-    return sets.select("tokens", "node", "size").mapInArrow(
-        run, "shard int, place int, token long, node long, size long"
-    )
+    return source.select("text").mapInArrow(run, "shard int, place int, token long, node long, size int")
 
 
 def _meet(percent: int):
@@ -250,23 +243,26 @@ def overlaps(sets: Sequence[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _verify(percent: int):
+def _verify(width: int, percent: int):
     """Spanning forest of the links of each candidate group among the rows of a task."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         crossing = key[1].as_py() != key[2].as_py()
         node, group, block = (rows.column(c).to_numpy() for c in ("node", "grp", "block"))
-        _, first = np.unique(node, return_index=True)
+        sets = list(_nodes(rows.column("text").combine_chunks(), width))
+        own = np.flatnonzero([found == wanted for (found, _), wanted in zip(sets, node.tolist(), strict=True)])
+        _, first = np.unique(node[own], return_index=True)  # an id may have several texts, a text several rows
+        first = own[first]
         first = first[np.argsort(group[first], kind="stable")]
         node, group, block = node[first], group[first], block[first]
-        size = rows.column("size").to_numpy()[first]
-        tokens = rows.column("tokens").take(pa.array(first))
+        tokens = [sets[i][1] for i in first.tolist()]
+        size = np.array([len(t) for t in tokens], np.int64)
         cuts = np.flatnonzero(np.diff(group)) + 1
         out = []
         for start, stop in zip(np.append(0, cuts), np.append(cuts, len(group)), strict=True):
             if stop - start < 2:
                 continue
-            common = overlaps([unpack(t.as_py()) for t in tokens[int(start) : int(stop)]]).astype(np.int64)
+            common = overlaps(tokens[start:stop]).astype(np.int64)
             own = size[start:stop]
             linked = 100 * common >= percent * (own[:, None] + own[None, :] - common)
             np.fill_diagonal(linked, False)
@@ -280,23 +276,26 @@ def _verify(percent: int):
     return run
 
 
-def _node_filter(nodes: DataFrame):
-    """A bitmap of fixed size that lets all of ``nodes`` pass, and few others while they are few."""
-    spot = F.pmod(F.col("node"), F.lit(1 << MAP_BITS)) + 1
-    bits = nodes.groupBy(F.bitmap_bucket_number(spot).alias("piece")).agg(
+def _likely(source: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is in ``ids``, and few others while those are few.
+
+    The filter is a bitmap of 2^23 bits, however many ids there are. It only keeps texts
+    that cannot match out of the shuffle of the exact join that follows.
+    """
+    spot = F.pmod(F.xxhash64("id"), F.lit(1 << MAP_BITS)) + 1
+    bits = ids.groupBy(F.bitmap_bucket_number(spot).alias("piece")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits")
     )
     pieces = {row.piece: np.frombuffer(row.bits, np.uint8) for row in bits.collect()}  # 2^23 bits at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(1 << MAP_BITS, bool)
+        flags = np.zeros((1 << MAP_BITS) + 1, bool)
         for piece, packed in pieces.items():
-            flags[(piece - 1) * 32768 : piece * 32768] = np.unpackbits(packed, bitorder="little")
+            flags[(piece - 1) * 32768 + 1 : piece * 32768 + 1] = np.unpackbits(packed, bitorder="little")
         for batch in batches:
-            at = batch.column("node").to_numpy() % (1 << MAP_BITS)
-            yield batch.filter(pa.array(flags[at]))
+            yield batch.filter(pa.array(flags[batch.column("spot").to_numpy()])).select(["id", "text"])
 
-    return run
+    return source.withColumn("spot", spot).mapInArrow(run, source.schema)
 
 
 def jaccard_classes(
@@ -318,41 +317,42 @@ def jaccard_classes(
     null is never the smallest id of a class that has another.
 
     No pair is left out: prefixes are exact under every order, and every pair inside a
-    candidate group is verified. Tokens are 64-bit hashes, cut to 48 bits for the comparison.
+    candidate group is verified. Tokens are 64-bit hashes of shingles.
     """
     spark = docs.sparkSession
-    rows = stored(document_sets(docs, key, text, width), "sets")
-    sets = rows.where(F.col("tokens").isNotNull())
-    classes = frequency_classes(sets)
+    source = bound_batches(docs).select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    scanned = stored(_scanned(source, width), "sets")
+    rows = scanned.where("piece is null").select("id", "size", "node")
+    classes = frequency_classes(scanned)
     # about a million prefix tokens a shard
     volume = rows.agg(F.sum("size")).first()[0] or 0
     shards = max(shuffle_partitions(spark), int(volume * (100 - percent) // 100) // 1_000_000 + 1)
-    edges = _candidates(_postings(sets, classes, percent, orders, shards), percent, len(orders))
+    edges = _candidates(_postings(source, classes, width, percent, orders, shards), percent, len(orders))
     groups = stored(components(edges).select("node", F.col("component").alias("grp")), "candidate-groups")
     counts = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    wanted = sets.select("node", "size", "tokens").mapInArrow(
-        _node_filter(groups), "node long, size long, tokens binary"
-    )
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = groups.join(counts, "grp").withColumn("blocks", blocks)
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    first = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("_id"))
+    placed = groups.join(counts, "grp").join(first, "node")
+    placed = stored(placed.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")), "placed")
     task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("grp"), F.lit(8 * shards))).otherwise(F.col("grp"))
-    placed = placed.select(
-        "node",
-        "grp",
-        "block",
-        task.alias("task"),
-        F.least("block", "with").alias("low"),
-        F.greatest("block", "with").alias("high"),
-    )
+    placed_blocks = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    wanted = _likely(source, placed.select(F.col("_id").alias("id")))
+    located = wanted.join(placed_blocks, F.col("id").eqNullSafe(F.col("_id")))
+    spread = located.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     links = (
-        placed.join(wanted, "node")
+        spread.select(
+            "text",
+            "node",
+            "grp",
+            "block",
+            task.alias("task"),
+            F.least("block", "with").alias("low"),
+            F.greatest("block", "with").alias("high"),
+        )
         .groupBy("task", "low", "high")
-        .applyInArrow(_verify(percent), "a long, b long")
+        .applyInArrow(_verify(width, percent), "a long, b long")
     )
     linked = components(links).select("node", F.col("component").alias("cls"))
-    members = rows.select("id", "size", "node").join(linked, "node", "left")
+    members = rows.join(linked, "node", "left")
     members = stored(members.select("id", "size", F.coalesce("cls", "node").alias("cls")), "classes")
     lowest = members.where("cls is not null").groupBy("cls").agg(F.min("id").alias("lowest"))
     return members.join(lowest, "cls", "left").select(
