@@ -78,6 +78,24 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
         start = stop
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches joined, or cut, to about ``most_bytes`` of text and at most ``rows`` rows."""
+    kept: list[pa.RecordBatch] = []
+    size = count = 0
+    for batch in batches:
+        for part in slices(batch, column, most_bytes):
+            for start in range(0, part.num_rows, rows):
+                piece = part.slice(start, rows)
+                length = pc.sum(pc.binary_length(piece.column(column))).as_py() or 0
+                if kept and (size + length > most_bytes or count + piece.num_rows > rows):
+                    yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+                    kept, size, count = [], 0, 0
+                kept.append(piece)
+                size, count = size + length, count + piece.num_rows
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser: well-spread 64-bit hashes of 64-bit integers."""
     z = values.astype(np.uint64, copy=True)

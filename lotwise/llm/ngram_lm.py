@@ -25,18 +25,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import bound_batches, mix64, shuffle_partitions, slices, stored, string_hashes, word_lists
+from lotwise.llm.common import bound_batches, gathered, mix64, shuffle_partitions, stored, string_hashes, word_lists
 from lotwise.llm.elias_fano import Trie, quantise, restore
 
-FREQUENT = 65_535
-SLICE_BYTES = 6 << 20
+FREQUENT = (1 << 20) - 1
+SLICE_BYTES = 8 << 20
+SLICE_ROWS = 65_535
+STEPS = 4  # a shard's contexts are worked off in so many steps
 SHARD_TOKENS = 3_000_000
 DISCOUNT = 0.75
 END = xxhash.xxh64_intdigest(b"", 0)  # words are never empty
 BEGIN = xxhash.xxh64_intdigest(b"", 1)
 MESSAGE = "kind int, shard int, a binary, b binary, c binary, d binary, e binary"
 NAMES = [part.split()[0] for part in MESSAGE.split(", ")]
-SCORES, RARE, ROWS = 0, 1, 2
+SCORES, RARE, ROWS, COUNTS = 0, 1, 2, 3
 
 
 @dataclass(frozen=True)
@@ -95,7 +97,7 @@ def _unigrams(source: DataFrame) -> DataFrame:
             kept.clear()
             return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["hash", "n"])
 
-        for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
+        for batch in gathered(batches, "text", SLICE_BYTES, SLICE_ROWS):
             tokens = Tokens.of(batch.column("text"))
             counts = np.bincount(tokens.word, minlength=len(tokens.hashes))
             kept.append((tokens.hashes[counts > 0], counts[counts > 0]))
@@ -160,16 +162,29 @@ def _vocabulary(unigrams: DataFrame, documents: int, partitions: int) -> Vocabul
     total, distinct = unigrams.agg(F.sum("n"), F.count(F.lit(1))).first()
     total = int(total or 0)
     shards = max(partitions, total // SHARD_TOKENS + 1)
-    frequent = unigrams.where((F.col("n") * FREQUENT > total)).collect()  # fewer than FREQUENT by their shares
-    order = sorted((row.hash % (1 << 64), row.n) for row in frequent)
+    # fewer than FREQUENT by their shares, 16 bytes each
+    frequent = unigrams.where(F.col("n") * FREQUENT > total).select("hash", "n").toArrow()
+    hashes = frequent.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
     cells = 1 << (4 * shards - 1).bit_length()
     place = F.shiftrightunsigned("hash", 40).bitwiseAND(cells - 1).cast("int")
     masses = np.zeros(cells)
     whole = total + 0.1 * (distinct + 1)
     for row in unigrams.groupBy(place.alias("place")).agg(F.sum(F.col("n") + 0.1).alias("mass")).collect():
         masses[row.place] = row.mass / whole
-    hashes, counts = np.array([h for h, _ in order], np.uint64), np.array([n for _, n in order], np.int64)
-    return Vocabulary(total, int(distinct), documents, hashes, counts, masses, shards)
+    counts = frequent.column("n").to_numpy()[order]
+    return Vocabulary(total, int(distinct), documents, hashes[order], counts, masses, shards)
+
+
+def _pack_places(places: np.ndarray) -> np.ndarray:
+    """Three bytes for each place among the frequent words."""
+    return np.ascontiguousarray(places.astype(np.uint32).view(np.uint8).reshape(-1, 4)[:, :3])
+
+
+def _unpack_places(packed: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(packed) // 3, 4), np.uint8)
+    wide[:, :3] = packed.reshape(-1, 3)
+    return wide.view(np.uint32).ravel().astype(np.int64)
 
 
 def _message(kind: int, shard: int, *columns: np.ndarray) -> tuple:
@@ -198,12 +213,13 @@ def _occurrences(source: DataFrame, vocabulary: Vocabulary, row_shards: int) ->
     Kind ROWS: a row numbers, b document tokens, c known frequent tokens, d their base sums,
     e ids and folds.
     Otherwise: a contexts with the number of their bigrams, b frequent words, c other words,
-    d number of occurrences and training occurrences, e row of each occurrence.
+    d number of occurrences and training occurrences, e first row of the slice and place in it
+    of each occurrence.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
+            for batch in gathered(batches, "text", SLICE_BYTES, SLICE_ROWS):
                 yield _batch(list(deal(batch)))
 
     def deal(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -250,10 +266,10 @@ def _occurrences(source: DataFrame, vocabulary: Vocabulary, row_shards: int) ->
                 SCORES,
                 number,
                 np.stack([tokens.hashes[context[a:b][new]].view(np.int64), np.diff(np.append(new, b - a))]),
-                listed.astype(np.uint16),
+                _pack_places(listed),
                 tokens.hashes[own[listed == FREQUENT]],
                 np.stack([times[a:b], trained[a:b]]).astype(np.uint32),
-                rows[doc[begin:end]],
+                np.append(rows[:1].view(np.uint16), doc[begin:end].astype(np.uint16)),
             )
 
     return source.mapInArrow(run, MESSAGE)
@@ -264,18 +280,56 @@ def _sum_rows(rows: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return own, *(np.bincount(place, value, len(own)) for value in values)
 
 
-def _by_row_shard(row_shards: int, rows: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
+def _by_row_shard(kind: int, row_shards: int, rows: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
+    """Messages to the shards of sorted rows; rows are sent as differences."""
     shard = (mix64(rows) % np.uint64(row_shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
     for number, a, b in _segments(shard[order]):
         own = order[a:b]
-        yield _message(SCORES, number, rows[own], *(value[own] for value in values))
+        yield _message(kind, number, np.diff(rows[own], prepend=0), *(value[own] for value in values))
+
+
+def _rows_of(table: pa.Table) -> np.ndarray:
+    parts = [np.cumsum(np.frombuffer(a, np.int64)) for a in table.column("a").to_pylist()]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def _column(table: pa.Table, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
 
 
+def _look_up(
+    vocabulary: Vocabulary, discount: float, context: np.ndarray, word: np.ndarray, trained: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Discounted probability and back-off weight of each entry, from the trie of all of them."""
+    # one context's parts are separate contexts
+    parts = vocabulary.parts(context)
+    part = (word >> np.uint64(40)).astype(np.int64) & (parts - 1)
+    level, owner = np.unique(context ^ mix64(part.astype(np.uint64)), return_inverse=True)
+    low = word & np.uint64(0xFFFFFFFF)
+    pair, place = np.unique(owner.astype(np.uint64) << np.uint64(32) | low, return_inverse=True)
+    count = np.bincount(place, trained, len(pair))
+    of = (pair >> np.uint64(32)).astype(np.int64)
+    first = np.zeros(len(level), np.int64)
+    first[owner] = np.arange(len(owner))
+    own = np.bincount(of, count, len(level))
+    whole = np.where(parts[first] > 1, vocabulary.context_counts(context[first]), own)
+    seen = count > 0
+    kinds = np.bincount(of[seen], minlength=len(level))
+    mass = vocabulary.mass(part[first], parts[first])
+    # an unknown context leaves the unigram, as does a part in which nothing was seen
+    backoff = np.where(own > 0, discount * kinds / np.maximum(whole * mass, 1e-300), 1.0)
+    trie = Trie.build(
+        level,
+        of[seen],
+        (pair[seen] & np.uint64(0xFFFFFFFF)).astype(np.uint32),
+        (count[seen] - discount) / whole[of[seen]],
+        backoff,
+    ).mapped()
+    chance, weight = trie.find(of, pair & np.uint64(0xFFFFFFFF))
+    return chance[place], weight[place]
+
+
 def _score_shard(vocabulary: Vocabulary, row_shards: int, discount: float):
     """Build the trie of one shard and look up all its occurrences."""
 
@@ -288,58 +342,38 @@ def _score_shard(vocabulary: Vocabulary, row_shards: int, discount: float):
         return pa.Table.from_batches([_batch(messages)])
 
     def answer(table: pa.Table) -> Iterator[tuple]:
-        contexts, times, trained = [], [], []
-        for a, d in zip(table.column("a").to_pylist(), table.column("d").to_pylist(), strict=True):
+        contexts, times, trained, rows = [], [], [], []
+        for a, d, e in zip(*(table.column(c).to_pylist() for c in "ade"), strict=True):
             hashes, runs = np.frombuffer(a, np.int64).reshape(2, -1)
             contexts.append(np.repeat(hashes, runs))
             pair = np.frombuffer(d, np.uint32).reshape(2, -1)
             times.append(pair[0])
             trained.append(pair[1])
+            places = np.frombuffer(e, np.uint16)
+            rows.append(places[4:] + places[:4].view(np.int64)[0])
         context = np.concatenate(contexts).view(np.uint64)
-        times, trained = np.concatenate(times).astype(np.int64), np.concatenate(trained)
-        listed = _column(table, "b", np.uint16).astype(np.int64)
+        times, trained, rows = np.concatenate(times), np.concatenate(trained), np.concatenate(rows)
+        listed = _unpack_places(_column(table, "b", np.uint8))
         rare = listed == FREQUENT
         word = np.empty(len(listed), np.uint64)
         word[~rare] = vocabulary.hashes[listed[~rare]]
         word[rare] = _column(table, "c", np.uint64)
-        rows = _column(table, "e", np.int64)
-        # one context's parts are separate contexts of this shard
-        parts = vocabulary.parts(context)
-        part = (word >> np.uint64(40)).astype(np.int64) & (parts - 1)
-        level, owner = np.unique(context ^ mix64(part.astype(np.uint64)), return_inverse=True)
-        low = word & np.uint64(0xFFFFFFFF)
-        pair, place = np.unique(owner.astype(np.uint64) << np.uint64(32) | low, return_inverse=True)
-        count = np.bincount(place, trained, len(pair))
-        of = (pair >> np.uint64(32)).astype(np.int64)
-        first = np.zeros(len(level), np.int64)
-        first[owner] = np.arange(len(owner))
-        whole = vocabulary.context_counts(context[first])
-        own = np.bincount(of, count, len(level))
-        whole = np.where(parts[first] > 1, whole, own)
-        seen = count > 0
-        kinds = np.bincount(of[seen], minlength=len(level))
-        mass = vocabulary.mass(part[first], parts[first])
-        # an unknown context leaves the unigram, as does a part in which nothing was seen
-        backoff = np.where(own > 0, discount * kinds / np.maximum(whole * mass, 1e-300), 1.0)
-        trie = Trie.build(
-            level,
-            of[seen],
-            (pair[seen] & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-            (count[seen] - discount) / whole[of[seen]],
-            backoff,
-        ).mapped()
-        chance, weight = trie.find(of, pair & np.uint64(0xFFFFFFFF))
-        chance, weight = chance[place], weight[place]
+        chance, weight = np.zeros(len(word)), np.zeros(len(word))
+        step = (context >> np.uint64(32)) % np.uint64(STEPS)
+        for number in range(STEPS):
+            own = np.flatnonzero(step == number)
+            if len(own):
+                chance[own], weight[own] = _look_up(vocabulary, discount, context[own], word[own], trained[own])
         score = np.zeros(len(listed))
         plain = ~rare
         score[plain] = np.log10(chance[plain] + weight[plain] * vocabulary.unigram(vocabulary.counts[listed[plain]]))
-        occurrence = np.repeat(np.arange(len(listed)), times)
-        known = plain[occurrence]
-        none = np.zeros(int(known.sum()))
-        yield from _by_row_shard(row_shards, *_sum_rows(rows[known], score[occurrence[known]], none, none))
+        known = np.repeat(plain, times)
+        sums = _sum_rows(rows[known], np.repeat(score[plain], times[plain]))
+        yield from _by_row_shard(SCORES, row_shards, *sums)
         left = np.flatnonzero(rare)
         if len(left) == 0:
             return
+        times = times.astype(np.int64)
         ends = np.cumsum(times)
         to = word[left].view(np.int64) % vocabulary.shards  # as pmod does
         order = left[np.argsort(to, kind="stable")]
@@ -379,9 +413,14 @@ def _score_rare(vocabulary: Vocabulary, row_shards: int):
             count = np.where(same, numbers[at], 0)
             chance[chance <= 1.0001e-13] = 0.0
             score = np.log10(chance + weight * vocabulary.unigram(count))
-            values = (np.repeat(v, times) for v in (score, count > 0, np.log10(count + 0.1)))
+            own, scores, known, base = _sum_rows(
+                rows, *(np.repeat(v, times) for v in (score, count > 0, np.log10(count + 0.1)))
+            )
             with np.errstate(over="ignore"):
-                messages = list(_by_row_shard(row_shards, *_sum_rows(rows, *values)))
+                messages = [
+                    *_by_row_shard(SCORES, row_shards, own, scores),
+                    *_by_row_shard(COUNTS, row_shards, own, known, base),
+                ]
         return pa.Table.from_batches([_batch(messages)])
 
     return run
@@ -390,13 +429,13 @@ def _score_rare(vocabulary: Vocabulary, row_shards: int):
 def _finish(key: tuple, table: pa.Table) -> pa.Table:
     """Add up the parts of each row."""
     kind = table.column("kind").to_numpy()
-    base, parts = table.filter(pa.array(kind == ROWS)), table.filter(pa.array(kind == SCORES))
+    base, scores, counts = (table.filter(pa.array(kind == k)) for k in (ROWS, SCORES, COUNTS))
     rows = _column(base, "a", np.int64)
     order = np.argsort(rows)
-    at = np.searchsorted(rows[order], _column(parts, "a", np.int64))
-    score, known, sums = (
-        np.bincount(at, _column(parts, name, np.float64), len(rows)) for name in ("b", "c", "d")
-    )
+    rows = rows[order]
+    score = np.bincount(np.searchsorted(rows, _rows_of(scores)), _column(scores, "b", np.float64), len(rows))
+    at = np.searchsorted(rows, _rows_of(counts))
+    known, sums = (np.bincount(at, _column(counts, name, np.float64), len(rows)) for name in ("b", "c"))
     names = pa.concat_tables([pa.ipc.open_stream(e).read_all() for e in base.column("e").to_pylist()])
     columns = {
         "n_tokens": _column(base, "b", np.int64)[order],
