@@ -7,18 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALTS = 16
 _ANCHOR = 16
 
 
 def salted_lookup(
-    rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread_by: str, salts: int = _SALTS
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread_by: str, salts: int | None = None
 ) -> DataFrame:
     """Inner join of many ``rows`` with one row per group.
 
     ``groups`` is repeated once per salt and ``rows`` are salted by ``spread_by``, so the
-    rows of one group go to up to ``salts`` tasks.
+    rows of one group go to up to ``salts`` tasks, by default to as many as the session has
+    shuffle partitions.
     """
+    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
@@ -47,15 +48,13 @@ def contains_join(needles: DataFrame, texts: DataFrame, on: str, needle: str, te
     return anchored.join(indexed, [on, "_anchor"]).filter(F.contains(F.col(text), F.col(needle))).drop("_anchor")
 
 
-def only_new(batch: DataFrame, stored: DataFrame, key: str, batch_is_small: bool = False) -> DataFrame:
+def only_new(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` whose ``key`` is not in ``stored``.
 
-    The stored keys are first reduced to those the batch asks for. ``batch_is_small``
-    says that the batch's keys were counted and are few: they are then broadcast and the
-    stored table is not shuffled at all.
+    The stored keys are first reduced to those the batch asks for. Adaptive execution
+    broadcasts these once it has measured them as small, and the stored table is then not
+    shuffled at all. ``batch`` is read twice.
     """
     asked = batch.select(key).distinct()
-    if batch_is_small:
-        asked = F.broadcast(asked)
     known = stored.select(F.col(key).cast("string").alias(key)).join(asked, key, "left_semi").distinct()
     return batch.join(known, key, "left_anti")

@@ -11,14 +11,10 @@ taken.
 
 from __future__ import annotations
 
-import json
-import sys
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lotwise.functions import numbers
 from lotwise.functions.flags import DETAIL_NO, DETAIL_YES, to_bool
@@ -28,8 +24,11 @@ from lotwise.functions.variants import Field, at, is_object, items, last_per_nam
 # How the data script is marked, and which members identify the listing.
 SCRIPT = r'(?s)<script[^>]*data-nuxt-data="nuxt-app"[^>]*id="__NUXT_DATA__">(.*?)</script>'
 LISTING_MEMBERS = ("specs", "title", "price")
+SPEC_MEMBERS = ("field", "title", "display_value", "value", "value_slug")
+PRICE_MEMBERS = ("sale_price", "original_price", "amount_saved")
+PAGE_MEMBERS = ("description", "total_like", "is_like", "is_saved", "available", "status")
+RECEIPT_MEMBERS = ("id", "title", "price", *PAGE_MEMBERS)
 CYCLE = "<cycle>"
-MAX_DEPTH = 60
 
 
 def embedded_table(html: Column) -> Column:
@@ -73,12 +72,12 @@ def _not_cycle(field: Field) -> Column:
     return F.nullif(text(field.value), F.lit(CYCLE))
 
 
-def extract_details(pages: DataFrame, decode_receipt: bool = False) -> DataFrame:
-    """One row per page: ``listing_id``, ``matched`` and the enrichment columns.
+def extract_details(pages: DataFrame, decode_receipt: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per page: ``listing_id``, ``matched``, the enrichment columns and those of ``keep``.
 
     ``raw_detail_payload`` is the page's whole data array. ``decode_receipt=True`` replaces
-    it by the listing object with all references resolved, through a vectorised Python
-    function; everything else is native.
+    it by the listing object: its own members, its specs and its discount with their
+    references followed.
     """
     table, post, rows = F.col("_table"), F.col("_post"), F.col("_spec_rows")
     first, *others = LISTING_MEMBERS
@@ -92,10 +91,8 @@ def extract_details(pages: DataFrame, decode_receipt: bool = False) -> DataFrame
     def spec_field(entry: Column, name: str) -> Column:
         return follow(table, at(entry, name))
 
-    unwrapped = ("description", "total_like", "is_like", "is_saved", "available", "status")
-    prices = ("sale_price", "original_price", "amount_saved")
-    spec_names = ("field", "title", "display_value", "value", "value_slug")
-    located = pages.select("listing_id", embedded_table(F.col("html")).alias("_table")).withColumn(
+    unwrapped, prices, spec_names = PAGE_MEMBERS, PRICE_MEMBERS, SPEC_MEMBERS
+    located = pages.select("listing_id", *keep, embedded_table(F.col("html")).alias("_table")).withColumn(
         "_post", F.get(F.filter(table, looks_like_listing), F.lit(0))
     )
     followed = located.withColumns(
@@ -134,7 +131,7 @@ def extract_details(pages: DataFrame, decode_receipt: bool = False) -> DataFrame
 
     matched = post.isNotNull()
     whole_table = F.to_variant_object(table)
-    receipt = F.try_parse_json(resolve_listing(F.to_json(whole_table))) if decode_receipt else whole_table
+    receipt = _receipt(table, post, F.col("_spec_objects")) if decode_receipt else whole_table
     return final.select(
         "listing_id",
         matched.alias("matched"),
@@ -145,66 +142,27 @@ def extract_details(pages: DataFrame, decode_receipt: bool = False) -> DataFrame
         _flag(Field("available")).alias("listing_available"),
         _not_cycle(Field("status")).alias("listing_status"),
         F.when(F.size("_shown") > 0, F.to_variant_object(last_per_name(F.col("_shown")))).alias("detail_specs"),
+        *keep,
         F.when(matched, receipt).alias("raw_detail_payload"),
         *[numbers.amount(F.col(f"_p_{name}")).alias(name) for name in prices],
         *[value.alias(name) for name, value in column_values(F.col("_mapped")).items()],
     )
 
 
-def _is_filled(value: Column) -> Column:
-    shown = text(value)
-    return F.coalesce(~shown.isin("", "0", "false", "[]", "{}") | ((shown != "") & type_is(value, "STRING")), F.lit(False))
+def _members(table: Column, entry: Column, names: Sequence[str]) -> Column:
+    return F.struct(*[follow(table, at(entry, name)).alias(name) for name in names])
 
 
-def resolve_table(table: list) -> list:
-    """All references of a data array resolved, to any depth.
+def _receipt(table: Column, post: Column, specs: Column) -> Column:
+    """The listing object with its references followed, as deep as listings go."""
+    own = F.struct(
+        *[_unwrapped(table, follow(table, at(post, name))).alias(name) for name in RECEIPT_MEMBERS],
+        F.transform(specs, lambda entry: _members(table, entry, SPEC_MEMBERS)).alias("specs"),
+        _members(table, follow(table, at(post, "discount")), PRICE_MEMBERS).alias("discount"),
+    )
+    return F.to_variant_object(own)
 
-    A reference that leads back to an entry still being resolved becomes ``"<cycle>"``;
-    below ``MAX_DEPTH`` levels values are null.
-    """
-    done: dict[int, object] = {}
-
-    def entry(index: int, depth: int):
-        target = table[index]
-        if isinstance(target, int):
-            return target
-        if index not in done:
-            done[index] = CYCLE
-            done[index] = expand(target, depth + 1)
-        return done[index]
-
-    def expand(value, depth: int):
-        if depth > MAX_DEPTH:
-            return None
-        match value:
-            case int() if 0 <= value < len(table):
-                return entry(value, depth)
-            case dict():
-                return {name: expand(member, depth + 1) for name, member in value.items()}
-            case [str() as tag, *rest]:
-                return [tag, *(expand(member, depth + 1) for member in rest)]
-            case list():
-                return [expand(member, depth + 1) for member in value]
-        return value
-
-    return expand(table, 0)
-
-
-# the function travels with the job: executors need not have this package installed
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-@F.pandas_udf(T.StringType())
-def resolve_listing(tables: pd.Series) -> pd.Series:
-    """Listing object of each JSON data array, references resolved, as JSON text."""
-
-    def listing(source: str | None) -> str | None:
-        if source is None:
-            return None
-        for node in resolve_table(json.loads(source)):
-            if isinstance(node, dict) and all(name in node for name in LISTING_MEMBERS):
-                return json.dumps(node, ensure_ascii=False)
-        return None
-
-    return tables.map(listing)
 
+def _is_filled(value: Column) -> Column:
+    shown = text(value)
+    return F.coalesce(~shown.isin("", "0", "false", "[]", "{}") | ((shown != "") & type_is(value, "STRING")), F.lit(False))

@@ -11,7 +11,6 @@ from lotwise.functions import flags, numbers, phones, specs, text, times
 from lotwise.functions.titles import BRAND_ALIASES, BRANDS, MODELS, with_brand_model
 from lotwise.operators.cleaning import standardise_categories
 from lotwise.plans.registry import query, table
-from lotwise.session import spread
 
 
 def pick(index, *choices):
@@ -181,8 +180,8 @@ def _utc_normalise(spark, folder):
 
 
 _PREFIX_SQL = " ".join(
-    f"WHEN prefix IN ({', '.join(repr(p) for p in block.split())}) THEN '{name}'"
-    for name, block in phones.CARRIER_PREFIXES.items()
+    f"WHEN prefix IN ({', '.join(repr(p) for p in prefixes)}) THEN '{name}'"
+    for name, prefixes in phones.CARRIER_PREFIXES.items()
 )
 
 
@@ -206,10 +205,7 @@ def _phone_carrier(spark, folder):
 
 
 _MODEL_LIST = [
-    (name.strip(), brand)
-    for brand, block in MODELS.items()
-    for name in " ".join(block.split()).split(",")
-    if not any(b.lower() in name.lower() for b in BRANDS)
+    (name, brand) for brand, models in MODELS.items() for name in models if not any(b.lower() in name.lower() for b in BRANDS)
 ]
 
 
@@ -317,7 +313,7 @@ def _spec_map(spark, folder):
         row(F.when(F.col("l_linestatus") == "O", F.lit("color")), "none", value=" White "),
         row("transmission", display=F.when(F.col("l_returnflag") != "R", F.col("l_returnflag"))),
     )
-    mapped = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey").select(
+    mapped = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", specs.mapped_rows(rows).alias("mapped")
     )
     values = specs.column_values(F.col("mapped"))

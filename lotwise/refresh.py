@@ -1,21 +1,24 @@
 """One refresh of a listings store from a batch of landed feed pages.
 
-The store is a folder with published snapshots of the raw table (``raw/``), quarantined items
-(``rejects/``), the clean table (``clean/``) and CSV samples (``samples/``).
+The store is a folder with published snapshots of the raw table (``raw/``) and of the clean table
+(``clean/``), quarantined items (``rejects/``) and CSV samples (``samples/``).
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.contract import RAW, RAW_COLUMNS
+from lotwise.contract import CLEAN, RAW, RAW_COLUMNS
 from lotwise.functions.times import instant
+from lotwise.functions.variants import at
 from lotwise.operators import market, profiling
-from lotwise.operators.cleaning import Rules, require_integrity
+from lotwise.operators.cleaning import Rules, clean, require_integrity
 from lotwise.operators.feed import accepted, explode_envelopes, map_items, rejected
+from lotwise.operators.joins import only_new
 from lotwise.operators.merge import new_listings, upsert
 from lotwise.session import through_table
 from lotwise.sources import readers, writers
@@ -38,6 +41,9 @@ class Refresh:
     def brands(self) -> DataFrame:
         return market.processed_summary(self.clean)
 
+    def summary(self, as_of: Column) -> DataFrame:
+        return market.market_summary(self.clean, instant(F.col("scraped_at")), as_of)
+
     def freshness(self, as_of: Column) -> DataFrame:
         return market.freshness(self.clean, instant(F.col("scraped_at")), as_of)
 
@@ -47,30 +53,40 @@ def refresh(
 ) -> Refresh:
     """Add the listings of ``landing`` that the store does not have yet, then clean and sample.
 
-    When nothing is new the store stays as it is. Every refresh publishes a complete snapshot;
-    for a store that is too large to rewrite, ``streaming.sync`` appends instead.
+    When nothing is new the raw table stays as it is. The clean table is derived whenever it does
+    not belong to the current raw version, so a run that failed half-way is made up for by
+    the next one; quarantined items are kept per landing folder and replaced by a retry. Every
+    refresh publishes complete snapshots; for a store that is too large to rewrite,
+    ``streaming.sync`` appends instead.
     """
     store = store.rstrip("/")
-    known = writers.current_snapshot(spark, f"{store}/raw", RAW)
+    raw_root, clean_root = f"{store}/raw", f"{store}/clean"
+    known = writers.current_snapshot(spark, raw_root, RAW)
     pages = readers.read_feed(spark, landing).select("envelope", F.input_file_name().alias("_file"))
     items = explode_envelopes(pages.withColumn("_line", F.monotonically_increasing_id()))
-    mapped = through_table(map_items(items, rules.as_of_year, F.lit(scraped_at), url_prefix), "mapped")
-    rejected(mapped).write.mode("append").parquet(f"{store}/rejects")
+    items = items.withColumn("_id", at(F.col("payload"), "id", dtype="string"))
+    # known items are not mapped again; items without an id are kept for the quarantine
+    unseen = only_new(items, known.select(F.col("listing_id").alias("_id")), "_id").drop("_id")
+    mapped = through_table(map_items(unseen, rules.as_of_year, F.lit(scraped_at), url_prefix), "mapped")
+    landed = hashlib.md5(landing.encode()).hexdigest()
+    rejected(mapped).write.mode("overwrite").parquet(f"{store}/rejects/landing={landed}")
     fresh = through_table(
         new_listings(accepted(mapped), known.select("listing_id"), ["_file", "_line", "position"]).select(*RAW_COLUMNS),
         "new-listings",
     )
     caught_up = fresh.isEmpty()
     if not caught_up:
-        writers.publish(spark, upsert(known, fresh, order=["scraped_at"]), f"{store}/raw")
-        raw = writers.current_snapshot(spark, f"{store}/raw", RAW)
+        writers.publish(spark, upsert(known, fresh, order=["scraped_at"]), raw_root)
+    version = writers.latest_version(spark, raw_root)
+    if version is not None and writers.latest_source(spark, clean_root) != version:
+        raw = writers.current_snapshot(spark, raw_root, RAW)
         writers.write_samples(raw, f"{store}/samples")
-        writers.write_clean(raw, f"{store}/clean", rules)
-        clean = readers.read_clean(spark, f"{store}/clean")
-        require_integrity(clean, rules)
-        writers.write_csv(writers.head_rows(clean), f"{store}/samples/clean_60")
+        cleaned = clean(raw, rules)
+        writers.publish(spark, cleaned, clean_root, version, lambda written: require_integrity(written, rules))
+        head = writers.head_rows(writers.current_snapshot(spark, clean_root, CLEAN))
+        writers.write_csv(head, f"{store}/samples/clean_60")
     return Refresh(
         caught_up,
-        writers.current_snapshot(spark, f"{store}/raw", RAW),
-        readers.read_clean(spark, f"{store}/clean"),
+        writers.current_snapshot(spark, raw_root, RAW),
+        writers.current_snapshot(spark, clean_root, CLEAN),
     )

@@ -14,6 +14,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small files still give every core a split
+    "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -58,14 +60,3 @@ def through_table(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan over all cores when its files give fewer splits than there are cores.
-
-    For work that is heavy per row. A table that is large enough to fill the cluster is
-    returned unchanged, without a shuffle. ``scan`` must be a plain table read; ``keys``
-    should together tell rows apart.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan

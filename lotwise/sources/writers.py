@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,26 +66,51 @@ def write_samples(raw: DataFrame, folder: str) -> list[str]:
     return [write_csv(sample_rows(raw, n), f"{folder.rstrip('/')}/sample_{n}") for n in SAMPLE_SIZES]
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str) -> str:
+HISTORY = "version int, path string, source int"
+
+
+def publish(
+    spark: SparkSession,
+    df: DataFrame,
+    root: str,
+    source: int | None = None,
+    check: Callable[[DataFrame], None] = lambda written: None,
+) -> str:
     """Write ``df`` as the next snapshot of ``root`` and record it.
 
-    The record is appended only after the snapshot is complete, so readers never see a
-    partial one and a failed attempt leaves the current snapshot in place.
+    Every attempt writes to a path of its own. The record is appended only after the snapshot is
+    complete and ``check`` has passed on it, so readers never see a partial one and a failed
+    attempt leaves the current snapshot in place. ``source`` notes the version of the
+    table that the snapshot was derived from.
     """
     version = (latest_version(spark, root) or 0) + 1
-    path = f"{root}/snapshots/{version:08d}"
-    df.write.mode("overwrite").parquet(path)
-    spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path")).write.mode("append").parquet(
-        f"{root}/history"
+    path = f"{root}/snapshots/{version:08d}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    check(spark.read.schema(df.schema).parquet(path))
+    record = spark.range(1).select(
+        F.lit(version).alias("version"), F.lit(path).alias("path"), F.lit(source).cast("int").alias("source")
     )
+    record.write.mode("append").parquet(f"{root}/history")
     return path
 
 
+def _latest(spark: SparkSession, root: str) -> Row:
+    """Version, path and source of the newest record, nulls when there is none."""
+    history = table_or_empty(spark, f"{root}/history", HISTORY)
+    newest = F.max(F.struct("version", "path", "source")).alias("newest")
+    return history.agg(newest).select("newest.version", "newest.path", "newest.source").first()
+
+
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    return table_or_empty(spark, f"{root}/history", "version int, path string").agg(F.max("version")).first()[0]
+    return _latest(spark, root).version
+
+
+def latest_source(spark: SparkSession, root: str) -> int | None:
+    """Version of the table that the current snapshot was derived from."""
+    return _latest(spark, root).source
 
 
 def current_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Latest published snapshot, empty when there is none."""
-    version = latest_version(spark, root) or 0
-    return table_or_empty(spark, f"{root}/snapshots/{version:08d}", schema)
+    """Latest published snapshot, empty when there is none; a recorded one must exist."""
+    path = _latest(spark, root).path
+    return spark.createDataFrame([], schema) if path is None else spark.read.schema(schema).parquet(path)

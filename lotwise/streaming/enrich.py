@@ -1,11 +1,14 @@
 """Resumable detail enrichment: landed pages -> detail log -> listings with details.
 
 Details are appended per micro-batch; the checkpoint remembers which pages were read, so an
-interrupted run continues where it stopped.
+interrupted run continues where it stopped. A run with a limit leaves the pages it does not
+take in a waiting table, and the next run takes them first: no landed page is lost.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,46 +20,97 @@ from lotwise.operators.joins import only_new
 from lotwise.operators.merge import ALWAYS_SET, SET_IF_PRESENT, apply_details
 from lotwise.operators.pages import extract_details
 from lotwise.sources.readers import table_or_empty
-from lotwise.streaming.sync import few_ids, stored_listings
+from lotwise.streaming.sync import stored_listings
 
 PAGES_PER_FILE_BATCH = 50
 
+PAGE = "listing_id string, html string, landed_at timestamp, file string"
+WAITING = f"{PAGE}, batch bigint"
+_MOMENT = ("landed_at", "file")
+
 DETAIL_LOG = T.StructType(
     [
         T.StructField("listing_id", T.StringType()),
         T.StructField("matched", T.BooleanType()),
         *[RAW[name] for name in [*ALWAYS_SET, *SET_IF_PRESENT]],
+        T.StructField("landed_at", T.TimestampType()),
+        T.StructField("file", T.StringType()),
         T.StructField("batch", T.LongType()),
     ]
 )
 
 
+@dataclass
+class Run:
+    """What is left of a run's limit (None: no limit) and how many ids it has enriched."""
+
+    left: int | None = None
+    enriched: int = 0
+
+
 def details_path(store: str) -> str:
     return f"{store.rstrip('/')}/details"
 
 
+def waiting_path(store: str) -> str:
+    return f"{store.rstrip('/')}/waiting"
+
+
 def detail_log(spark: SparkSession, store: str) -> DataFrame:
     return table_or_empty(spark, details_path(store), DETAIL_LOG)
 
 
-def enrich_batch(pages: DataFrame, batch_id: int, store: str, force: bool = False, limit: int | None = None) -> None:
-    """Extract one batch of ``(listing_id, html)`` pages into the detail log.
+def waiting_pages(spark: SparkSession, store: str) -> DataFrame:
+    """Pages that earlier runs left because of their limit and that no later run has taken."""
+    waiting = table_or_empty(spark, waiting_path(store), WAITING).drop("batch")
+    taken = detail_log(spark, store).groupBy("listing_id").agg(F.max(F.struct(*_MOMENT)).alias("_taken"))
+    left = waiting.join(taken, "listing_id", "left")
+    return left.filter(F.col("_taken").isNull() | (F.struct(*_MOMENT) > F.col("_taken"))).drop("_taken")
 
-    Ids that already have a usable page are skipped unless ``force``; ``limit`` takes
-    the first ids only.
+
+def enrich_batch(
+    pages: DataFrame, batch_id: int, store: str, force: bool = False, run: Run | None = None, keep_rest: bool = True
+) -> int:
+    """Extract one batch of pages into the detail log; returns how many ids got a usable page.
+
+    ``pages`` has ``listing_id`` and ``html`` and, where known, ``landed_at`` and ``file``. Ids
+    that already have a usable page are skipped unless ``force``. Of several pages of an id the
+    usable one that landed last counts, so a blocked page never replaces a good one. The
+    run's limit takes the first ids; pages of the others are kept waiting.
     """
-    spark = pages.sparkSession
-    pages = keep_last(pages.select("listing_id", "html"), "listing_id", ["html"])
+    spark, run = pages.sparkSession, run or Run()
+    for name, kind in (("landed_at", "timestamp"), ("file", "string")):
+        if name not in pages.columns:
+            pages = pages.withColumn(name, F.lit(None).cast(kind))
+    pages = pages.select("listing_id", "html", *_MOMENT)
     if not force:
         done = detail_log(spark, store).filter((F.col("batch") < batch_id) & F.col("matched")).select("listing_id")
-        pages = only_new(pages, done, "listing_id", batch_is_small=few_ids(pages.select("listing_id").distinct()))
-    if limit is not None:
-        first = pages.select("listing_id").distinct().orderBy("listing_id").limit(limit)
+        pages = only_new(pages, done, "listing_id")
+    if run.left is not None:
+        first = pages.select("listing_id").distinct().orderBy("listing_id").limit(run.left)
+        first = spark.createDataFrame(first.collect(), "listing_id string")  # at most the caller's limit
+        if keep_rest:
+            rest = pages.join(first, "listing_id", "left_anti")
+            rest.write.mode("overwrite").parquet(f"{waiting_path(store)}/batch={batch_id}")
         pages = pages.join(first, "listing_id", "left_semi")
     columns = [name for name in DETAIL_LOG.fieldNames() if name != "batch"]
-    extract_details(pages).select(*columns).write.mode("overwrite").parquet(
-        f"{details_path(store)}/batch={batch_id}"
-    )
+    details = extract_details(pages, keep=_MOMENT).select(*columns)
+    best = keep_last(details, "listing_id", ["matched", *_MOMENT])
+    path = f"{details_path(store)}/batch={batch_id}"
+    best.write.mode("overwrite").parquet(path)
+    found, taken = spark.read.parquet(path).agg(F.count_if("matched"), F.count(F.lit(1))).first()
+    run.enriched += found
+    if run.left is not None:
+        run.left -= taken
+    return found
+
+
+def take_waiting(spark: SparkSession, store: str, run: Run, force: bool = False) -> int:
+    """Enrich waiting pages within the run's limit; batches of their own, numbered downwards."""
+    if waiting_pages(spark, store).isEmpty():
+        return 0
+    lowest = detail_log(spark, store).agg(F.min("batch")).first()[0]
+    return enrich_batch(waiting_pages(spark, store), min(lowest or 0, 0) - 1, store, True, run, keep_rest=False)
 
 
 def start_enrichment(
@@ -67,19 +121,33 @@ def start_enrichment(
     force: bool = False,
     limit: int | None = None,
     files_per_batch: int = PAGES_PER_FILE_BATCH,
+    run: Run | None = None,
 ) -> StreamingQuery:
-    """Process landed Parquet files of ``(listing_id, html)`` and stop when caught up."""
+    """Process landed Parquet files of ``(listing_id, html)`` and stop when caught up.
+
+    ``limit`` bounds the ids that this run takes, over all its batches; what it leaves is taken
+    by later runs. ``run`` tells afterwards how many ids this run enriched.
+    """
+    state = run or Run()
+    state.left = limit
+    take_waiting(spark, store, state, force)
     pages = (
         spark.readStream.schema("listing_id string, html string")
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
+        .select(
+            "listing_id",
+            "html",
+            F.col("_metadata.file_modification_time").alias("landed_at"),
+            F.col("_metadata.file_path").alias("file"),
+        )
     )
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        enrich_batch(batch, batch_id, store, force, limit)
+    def process(batch: DataFrame, batch_id: int) -> None:
+        enrich_batch(batch, batch_id, store, force, state)
 
     return (
-        pages.writeStream.foreachBatch(run)
+        pages.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -87,9 +155,9 @@ def start_enrichment(
 
 
 def latest_details(spark: SparkSession, store: str) -> DataFrame:
-    """Newest usable page per listing."""
+    """The usable page per listing that landed last."""
     usable = detail_log(spark, store).filter("matched")
-    return keep_last(usable, "listing_id", ["batch"]).drop("batch")
+    return keep_last(usable, "listing_id", [*_MOMENT, "batch"]).drop("batch", *_MOMENT)
 
 
 def enriched_listings(spark: SparkSession, store: str) -> DataFrame:

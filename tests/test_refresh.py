@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lotwise import Rules, read_csv, refresh
@@ -43,3 +44,21 @@ def test_two_refreshes(spark, tmp_path):
     assert third.caught_up and third.raw.count() == 3
     assert read_csv(spark, str(tmp_path / "store/samples/clean_60"), third.clean.drop("raw_specs", "seller_phones").schema).count() == 2
     assert spark.read.parquet(str(tmp_path / "store/rejects")).count() == 1
+
+
+def test_a_refresh_makes_up_for_a_failed_one(spark, tmp_path, monkeypatch):
+    land(tmp_path / "landing1", "a.json", item(1, "9000"))
+    run(spark, tmp_path, 1)
+    land(tmp_path / "landing2", "a.json", item(2, "8000"), {"title": "no id"})
+
+    def fail(*args):
+        raise OSError("disk")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("lotwise.sources.writers.write_samples", fail)
+        with pytest.raises(OSError):
+            run(spark, tmp_path, 2)
+    retried = run(spark, tmp_path, 2)
+    assert retried.caught_up and retried.raw.count() == 2 and retried.clean.count() == 2
+    assert spark.read.parquet(str(tmp_path / "store/rejects")).count() == 1
+    assert retried.summary(F.lit("2026-08-05 00:00:00+00:00").cast("timestamp")).count() == 1

@@ -11,9 +11,6 @@ from check_queries import TABLES, cell
 from lotwise.operators import merge
 from lotwise.operators.joins import salted_lookup
 from lotwise.plans.listing_view import listings
-from lotwise.plans.registry import table
-from lotwise.session import spread
-from lotwise.streaming.sync import few_ids
 
 
 @pytest.fixture
@@ -118,14 +115,3 @@ def test_filters_and_columns_reach_the_scan(spark, small_sf):
 def test_only_needed_dimensions_are_joined(spark, small_sf):
     plan = executed(listings(spark, small_sf, ["price"]))
     assert "Join" not in plan
-
-
-def test_spread_leaves_large_scans_alone(spark, small_sf, conf):
-    scan = table(spark, small_sf, "lineitem")
-    assert "REPARTITION_BY_NUM" in executed(spread(scan, "l_orderkey"))
-    conf(spark__sql__files__maxPartitionBytes="4KB", spark__sql__files__openCostInBytes="1")
-    assert "REPARTITION_BY_NUM" not in executed(spread(table(spark, small_sf, "lineitem"), "l_orderkey"))
-
-
-def test_few_ids_counts_no_further_than_needed(spark):
-    assert few_ids(spark.range(5), 5) and not few_ids(spark.range(6), 5)

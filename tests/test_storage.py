@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lotwise.contract import RAW, RAW_COLUMNS, SAMPLE_COLUMNS
 from lotwise.operators.cleaning import Rules
-from lotwise.operators.merge import conform
+from lotwise.operators.merge import conform, upsert
 from lotwise.session import scratch_dir, through_table
 from lotwise.sources import readers, writers
 
@@ -45,16 +45,48 @@ def test_restoring_leaves_plain_text(spark):
     assert got == ['{"a":1}', '"plain"', None, None]
 
 
-def test_missing_or_unreadable_sources_are_empty(spark, tmp_path):
+def test_missing_sources_are_empty(spark, tmp_path):
     assert readers.stored_ids(spark, str(tmp_path / "nope")).count() == 0
+    (tmp_path / "bare").mkdir()
+    assert readers.read_raw(spark, str(tmp_path / "bare")).count() == 0
+
+
+def test_damaged_sources_are_errors_unless_asked_for(spark, tmp_path):
     broken = tmp_path / "broken.parquet"
     broken.write_bytes(b"this is no parquet file")
-    assert readers.read_raw(spark, str(broken)).count() == 0
+    for read in (readers.read_raw, readers.read_clean, readers.stored_ids):
+        with pytest.raises(Exception):  # noqa: B017
+            read(spark, str(broken)).collect()
+    assert readers.clean_for_lookup(spark, str(broken)).count() == 0
+    assert readers.stored_ids(spark, str(broken), unreadable_is_empty=True).count() == 0
     spark.createDataFrame([(1,), (2,), (2,)], "listing_id bigint").write.parquet(str(tmp_path / "ids"))
     with pytest.raises(Exception):  # noqa: B017 - a wrong type is an error, not an empty table
         readers.table_or_empty(spark, str(tmp_path / "ids"), "listing_id boolean").collect()
 
 
+def test_a_damaged_snapshot_is_never_overwritten(spark, tmp_path):
+    root = str(tmp_path / "store")
+    path = writers.publish(spark, minimal(spark, *map(str, range(100))).repartition(4), root)
+    files = sorted(p for p in (tmp_path / "store/snapshots").glob("*/part-*") if p.suffix == ".parquet")
+    files[0].write_bytes(files[0].read_bytes()[:40])
+    files[0].with_name(f".{files[0].name}.crc").unlink()
+    with pytest.raises(Exception):  # noqa: B017
+        writers.publish(spark, upsert(writers.current_snapshot(spark, root, RAW), minimal(spark, "new")), root)
+    assert writers.latest_version(spark, root) == 1 and path.startswith(f"{root}/snapshots/00000001-")
+
+
+def test_a_failed_check_leaves_the_snapshot(spark, tmp_path):
+    root = str(tmp_path / "store")
+    writers.publish(spark, minimal(spark, "1"), root, source=3)
+
+    def refuse(written):
+        raise ValueError(written.count())
+
+    with pytest.raises(ValueError):
+        writers.publish(spark, minimal(spark, "1", "2"), root, check=refuse)
+    assert writers.current_snapshot(spark, root, RAW).count() == 1 and writers.latest_source(spark, root) == 3
+
+
 def test_stored_ids_are_text(spark, tmp_path):
     minimal(spark, "1", "2", "3").write.parquet(str(tmp_path / "t"))
     ids = readers.stored_ids(spark, str(tmp_path / "t"))
