@@ -6,11 +6,14 @@ tokens that are frequent in the corpus last (by a counting sketch) and the other
 order of a hash of their own, so chance pairs that share a few tokens meet under one order
 but rarely under another. Candidates must meet under every order.
 
-Work never grows with the square of a group. Documents with equal sets are one node. Nodes
-that share a very common prefix token are linked to one of them instead of to each other.
-Candidates are joined to candidate groups, a node's text goes to the tasks of its group, and
-there blocks of sets are compared as matrices. Only a spanning forest of the true links
-comes back, which is all that the classes need.
+Documents with equal sets are one node. Candidates then pass a bitmap filter: a bit that
+one set has and the other lacks is a token that they do not share, which bounds the
+intersection from above. What is left joins into candidate groups, a node's text goes to the
+tasks of its group, and there blocks of sets are compared as matrices.
+
+No task emits the pairs of a group. A prefix token that many nodes share sends their bitmaps
+to block tasks, and these as well as the final comparison return spanning forests only, which
+is all that the classes need.
 """
 
 from __future__ import annotations
@@ -77,37 +80,55 @@ def _spot(tokens: np.ndarray) -> np.ndarray:
     return (tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Four to eight bits for each token of a set, a power of two in all."""
+    bits = max(64, 1 << (4 * len(tokens) - 1).bit_length())
+    flags = np.zeros(bits, np.uint8)
+    flags[(tokens >> np.uint64(20)).astype(np.int64) & (bits - 1)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def _may_link(size_a, size_b, bits_a, bits_b, common, percent: int):
+    """Whether sets can reach the similarity, given their bits and the bits they share."""
+    least = -(-percent * (size_a + size_b) // (100 + percent))
+    return (size_a - (bits_a - common) >= least) & (size_b - (bits_b - common) >= least)
+
+
 def _scanned(source: DataFrame, width: int) -> DataFrame:
-    """(id, size, node) of each document, and rows (piece, counts) of the counting sketch of each task.
+    """(id, size, node, bits) of each document, and rows (piece, counts) of each task's counting sketch.
 
-    Documents with equal sets have the same node; an empty set has none.
+    Documents with equal sets have the same node; an empty set has none. ``bits`` is the set's
+    bitmap, given once for each node and task.
     """
     kind = source.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.uint32)
         met: set[int] = set()
-        names = ["id", "size", "node", "piece", "counts"]
+        names = ["id", "size", "node", "bits", "piece", "counts"]
         of = None
         for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
             of = batch.column("id").type
-            sizes, nodes = [], []
+            sizes, nodes, maps = [], [], []
             for node, tokens in _nodes(batch.column("text"), width):
                 sizes.append(len(tokens))
                 nodes.append(node)
+                maps.append(None)
                 if node is not None and node not in met:
                     met.add(node)
                     np.add.at(total, _spot(tokens), 1)
+                    maps[-1] = bitmap(tokens)
             rest = [pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())]
-            arrays = [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *rest]
+            numbers = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
+            arrays = [batch.column("id"), *numbers, pa.array(maps, pa.binary()), *rest]
             yield pa.RecordBatch.from_arrays(arrays, names)
         if met:
             parts = [part.tobytes() for part in total.reshape(-1, 1 << CHUNK_BITS)]
-            empty = pa.nulls(len(parts), pa.int64())
-            arrays = [pa.nulls(len(parts), of), empty, empty, pa.array(range(len(parts)), pa.int32()), pa.array(parts)]
+            empty = [pa.nulls(len(parts), kind) for kind in (of, pa.int64(), pa.int64(), pa.binary())]
+            arrays = [*empty, pa.array(range(len(parts)), pa.int32()), pa.array(parts)]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return source.mapInArrow(run, f"id {kind}, size long, node long, piece int, counts binary")
+    return source.mapInArrow(run, f"id {kind}, size long, node long, bits binary, piece int, counts binary")
 
 
 def frequency_classes(scanned: DataFrame) -> np.ndarray:
@@ -166,7 +187,7 @@ def _postings(
 
 
 def _meet(percent: int):
-    """Pairs of small groups, and for large groups a link of each node to the smallest one."""
+    """Pairs (kind 0) of small groups; token and node (kind 1) of each member of a large one."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         token, node, size = (group.column(c).to_numpy() for c in ("token", "node", "size"))
@@ -185,8 +206,7 @@ def _meet(percent: int):
             near = np.minimum(size[low], size[high]) * 100 >= percent * np.maximum(size[low], size[high])
             pairs.append(np.stack([node[low[near]], node[high[near]]], 1))
         for start, count in zip(starts[counts > SMALL_GROUP], counts[counts > SMALL_GROUP], strict=True):
-            rest = node[start + 1 : start + count]
-            links.append(np.stack([np.full(len(rest), node[start]), rest], 1))
+            links.append(np.stack([token[start : start + count], node[start : start + count]], 1))
         both = []
         for kind, parts in enumerate((pairs, links)):
             found = np.unique(np.concatenate(parts), axis=0) if parts else np.zeros((0, 2), np.int64)
@@ -198,28 +218,81 @@ def _meet(percent: int):
     return run
 
 
-def _candidates(postings: DataFrame, percent: int, orders: int) -> DataFrame:
-    """(a, b): edges whose connected groups hold every pair that meets under all orders.
+def _met(postings: DataFrame, percent: int, orders: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs that meet under all orders, and members (token, node) of the first order's large groups.
 
     A pair counts as met under an order if it shares a token of a small group, or if both
     nodes stand in large groups of that order.
     """
     met = postings.groupBy("shard", "place").applyInArrow(_meet(percent), "place int, kind int, a long, b long")
     met = stored(met, "met")
-    links = met.where("kind = 1")
+    members = met.where("kind = 1")
     pairs = met.where("kind = 0 and place = 0").select("a", "b").distinct()
     for place in range(1, orders):
         other = met.where((F.col("kind") == 0) & (F.col("place") == place)).select("a", "b").distinct()
-        large = links.where(F.col("place") == place)
-        large = large.select(F.col("a").alias("node")).union(large.select(F.col("b").alias("node"))).distinct()
+        large = members.where(F.col("place") == place).select("b").distinct()
         pairs = (
             pairs.join(other.withColumn("met", F.lit(True)), ["a", "b"], "left")
-            .join(large.select(F.col("node").alias("a"), F.lit(True).alias("hot_a")), "a", "left")
-            .join(large.select(F.col("node").alias("b"), F.lit(True).alias("hot_b")), "b", "left")
+            .join(large.select(F.col("b").alias("a"), F.lit(True).alias("hot_a")), "a", "left")
+            .join(large.select("b", F.lit(True).alias("hot_b")), "b", "left")
             .where(F.col("met") | (F.col("hot_a") & F.col("hot_b")))
             .select("a", "b")
         )
-    return pairs.union(links.where("place = 0").select("a", "b"))
+    return pairs, members.where("place = 0").select(F.col("a").alias("token"), F.col("b").alias("node"))
+
+
+def _filter_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose bitmaps allow the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = ("size_a", "size_b", "bits_a", "bits_b")
+            kept = []
+            for m, n, x, y in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                width = min(len(x), len(y))
+                x, y = (np.bitwise_or.reduce(np.frombuffer(z, np.uint8).reshape(-1, width)) for z in (x, y))
+                common = int(np.bitwise_count(x & y).sum(dtype=np.int64))
+                of_x, of_y = (int(np.bitwise_count(z).sum(dtype=np.int64)) for z in (x, y))
+                kept.append(_may_link(m, n, of_x, of_y, common, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    def side(name: str) -> DataFrame:
+        return maps.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("bits").alias(f"bits_{name}"))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+
+
+def _filter_members(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Forest of the pairs of each large group whose bitmaps allow the similarity, by blocks."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        crossing = key[1].as_py() != key[2].as_py()
+        node, size, block = (rows.column(c).to_numpy() for c in ("node", "size", "block"))
+        maps = [np.frombuffer(b, np.uint8) for b in rows.column("bits").to_pylist()]
+        width = np.array([len(m) for m in maps])
+        out = []
+        for wide in np.unique(width):  # sizes that can link have widths that differ by one step at most
+            own = np.flatnonzero((width == wide) | (width == 2 * wide))
+            folded = [np.bitwise_or.reduce(maps[i].reshape(-1, wide)) for i in own.tolist()]
+            bits = np.unpackbits(np.array(folded), axis=1).astype(np.float32)
+            common, count = (bits @ bits.T).astype(np.int64), bits.sum(1).astype(np.int64)
+            m = size[own]
+            near = _may_link(m[:, None], m[None, :], count[:, None], count[None, :], common, percent)
+            np.fill_diagonal(near, False)
+            near &= (width[own] == wide)[:, None] | (width[own] == wide)[None, :]
+            if crossing:
+                near &= block[own, None] != block[None, own]
+            child, root = forest(near)
+            out.append(np.stack([node[own][child], node[own][root]], 1))
+        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    counts = members.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(counts, "token").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("token", "node", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    joined = placed.join(maps, "node").groupBy("token", "low", "high")
+    return joined.applyInArrow(run, "a long, b long")
 
 
 def overlaps(sets: Sequence[np.ndarray]) -> np.ndarray:
@@ -327,7 +400,10 @@ def jaccard_classes(
     # about a million prefix tokens a shard
     volume = rows.agg(F.sum("size")).first()[0] or 0
     shards = max(shuffle_partitions(spark), int(volume * (100 - percent) // 100) // 1_000_000 + 1)
-    edges = _candidates(_postings(source, classes, width, percent, orders, shards), percent, len(orders))
+    pairs, members = _met(_postings(source, classes, width, percent, orders, shards), percent, len(orders))
+    # a node comes from as many tasks as hold a copy; any of its bitmaps will do
+    maps = scanned.where("bits is not null").select("node", "size", "bits").dropDuplicates(["node"])
+    edges = _filter_pairs(pairs, maps, percent).union(_filter_members(members, maps, percent))
     groups = stored(components(edges).select("node", F.col("component").alias("grp")), "candidate-groups")
     counts = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     first = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("_id"))
