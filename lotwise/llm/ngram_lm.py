@@ -187,8 +187,18 @@ def _unpack_places(packed: np.ndarray) -> np.ndarray:
     return wide.view(np.uint32).ravel().astype(np.int64)
 
 
+def _squeezed(data: bytes) -> bytes:
+    """Compressed, after its length; messages are written, shuffled and read more than once."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if data else b""
+
+
+def _expanded(cell: bytes) -> bytes:
+    size = int.from_bytes(cell[:8], "little")
+    return pa.decompress(cell[8:], size, codec="zstd", asbytes=True) if size else b""
+
+
 def _message(kind: int, shard: int, *columns: np.ndarray) -> tuple:
-    filled = [c.tobytes() for c in columns]
+    filled = [_squeezed(c.tobytes()) for c in columns]
     return (kind, shard, *filled, *[b""] * (5 - len(filled)))
 
 
@@ -241,7 +251,7 @@ def _occurrences(source: DataFrame, vocabulary: Vocabulary, row_shards: int) ->
         for shard, start, stop in _segments(row_shard[order]):
             own = order[start:stop]
             names = batch.select(["id", "held"]).take(pa.array(own))
-            yield (*_message(ROWS, shard, rows[own], *(column[own] for column in sums))[:6], _packed(names))
+            yield (*_message(ROWS, shard, rows[own], *(column[own] for column in sums))[:6], _squeezed(_packed(names)))
         # (shard, context, word) in one number: places fit 21 bits, as a slice has fewer words
         parts = vocabulary.parts(tokens.hashes)[tokens.context]
         part = (tokens.hashes[tokens.word] >> np.uint64(40)).astype(np.int64) & (parts - 1)
@@ -290,12 +300,12 @@ def _by_row_shard(kind: int, row_shards: int, rows: np.ndarray, *values: np.ndar
 
 
 def _rows_of(table: pa.Table) -> np.ndarray:
-    parts = [np.cumsum(np.frombuffer(a, np.int64)) for a in table.column("a").to_pylist()]
+    parts = [np.cumsum(np.frombuffer(_expanded(a), np.int64)) for a in table.column("a").to_pylist()]
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def _column(table: pa.Table, name: str, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+    return np.frombuffer(b"".join(map(_expanded, table.column(name).to_pylist())), dtype)
 
 
 def _look_up(
@@ -344,12 +354,12 @@ def _score_shard(vocabulary: Vocabulary, row_shards: int, discount: float):
     def answer(table: pa.Table) -> Iterator[tuple]:
         contexts, times, trained, rows = [], [], [], []
         for a, d, e in zip(*(table.column(c).to_pylist() for c in "ade"), strict=True):
-            hashes, runs = np.frombuffer(a, np.int64).reshape(2, -1)
+            hashes, runs = np.frombuffer(_expanded(a), np.int64).reshape(2, -1)
             contexts.append(np.repeat(hashes, runs))
-            pair = np.frombuffer(d, np.uint32).reshape(2, -1)
+            pair = np.frombuffer(_expanded(d), np.uint32).reshape(2, -1)
             times.append(pair[0])
             trained.append(pair[1])
-            places = np.frombuffer(e, np.uint16)
+            places = np.frombuffer(_expanded(e), np.uint16)
             rows.append(places[4:] + places[:4].view(np.int64)[0])
         context = np.concatenate(contexts).view(np.uint64)
         times, trained, rows = np.concatenate(times), np.concatenate(trained), np.concatenate(rows)
@@ -436,7 +446,7 @@ def _finish(key: tuple, table: pa.Table) -> pa.Table:
     score = np.bincount(np.searchsorted(rows, _rows_of(scores)), _column(scores, "b", np.float64), len(rows))
     at = np.searchsorted(rows, _rows_of(counts))
     known, sums = (np.bincount(at, _column(counts, name, np.float64), len(rows)) for name in ("b", "c"))
-    names = pa.concat_tables([pa.ipc.open_stream(e).read_all() for e in base.column("e").to_pylist()])
+    names = pa.concat_tables([pa.ipc.open_stream(_expanded(e)).read_all() for e in base.column("e").to_pylist()])
     columns = {
         "n_tokens": _column(base, "b", np.int64)[order],
         "n_known": (known + _column(base, "c", np.int64)[order]).astype(np.int64),
