@@ -5,8 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check_queries import TABLES, cell
-
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+from lotwise.plans.registry import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +19,7 @@ def duck(small_sf):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark, small_sf):
