@@ -15,6 +15,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+# Reachability over link(x, y): each node with itself and, by turns, with what its neighbours reach.
+_CLASSES = """
+edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach(node, other) AS (
+  SELECT x, y FROM edge UNION SELECT reach.node, edge.y FROM reach JOIN edge ON reach.other = edge.x
+),
+class AS (SELECT node, least(node, min(other)) AS low FROM reach GROUP BY node)"""
+
+_VECTORS = """
+vec AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+)"""
+
+_NEAR_SQL = f"""WITH RECURSIVE {_VECTORS},
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vec a JOIN vec b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, a.v) > 0 AND list_inner_product(b.v, b.v) > 0
+    AND list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= 0.9
+), {_CLASSES}
+SELECT vec_id, CAST((SELECT count(*) FROM edge WHERE x = vec_id) AS BIGINT) AS n_links,
+       coalesce(low, vec_id) AS component_id, vec_id = coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN class ON vec_id = node"""
+
+_TOP_SQL = f"""WITH {_VECTORS},
+whole AS (SELECT vec_id, list_transform(v, lambda c: floor(256 * c)) AS v FROM vec),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) ranked WHERE rank <= 5"""
+
+_JACCARD_SQL = f"""WITH RECURSIVE word AS (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 4
+      THEN list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))
+      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS g
+  FROM word
+),
+token AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM shingled),
+link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM token a JOIN token b ON a.t = b.t AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), {_CLASSES}
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, coalesce(low, doc_id) AS component_id
+FROM shingled LEFT JOIN class ON doc_id = node"""
+
+
 def query(name: str, sql: str | None = None):
     def register(function):
         QUERIES[name] = function
@@ -82,13 +137,13 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op5_vector_dedup")
+@query("op5_vector_dedup", _NEAR_SQL)
 def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = vector_dedup.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding", 0.9)
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
-@query("op8_top_k")
+@query("op8_top_k", _TOP_SQL)
 def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = mtree.whole_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
     return mtree.top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
@@ -121,7 +176,7 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op10_jaccard_join")
+@query("op10_jaccard_join", _JACCARD_SQL)
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     classes = jaccard_join.jaccard_classes(table(spark, folder, "documents"), "doc_id", "text", 4, 85)
     return classes.withColumnRenamed("id", "doc_id")
