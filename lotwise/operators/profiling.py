@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lotwise.contract import GATE_PRICED, GATE_ROWS
 from lotwise.operators.joins import salted_lookup
-from lotwise.operators.quantiles import exact_quantiles, usable
+from lotwise.operators.quantiles import count_values, exact_quantiles, usable
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -194,8 +194,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def box_stats(df: DataFrame, key: str, value: str, reach: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers within ``reach``·IQR, outliers."""
-    rows = df.filter(usable(F.col(value))).select(key, F.col(value).cast("double").alias(value))
-    boxes = exact_quantiles(rows, [key], value, QUARTILES)
+    rows = count_values(df, [key], value)
+    boxes = exact_quantiles(rows, [key], value, QUARTILES, weight="weight")
     spread = F.col("q3") - F.col("q1")
     fences = boxes.withColumns({"_low": F.col("q1") - reach * spread, "_high": F.col("q3") + reach * spread})
     fenced = salted_lookup(rows, fences, [key], spread_by=value)
@@ -207,7 +207,7 @@ def box_stats(df: DataFrame, key: str, value: str, reach: float = 1.5) -> DataFr
             *[F.first(name).alias(name) for name in same],
             F.min(F.when(inside, F.col(value))).alias("_least"),
             F.max(F.when(inside, F.col(value))).alias("_most"),
-            F.count_if(~inside).alias("outliers"),
+            F.sum(F.when(inside, 0).otherwise(F.col("weight"))).alias("outliers"),
         )
         .select(
             key,

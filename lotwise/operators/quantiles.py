@@ -8,7 +8,8 @@ Here the work is spread by value instead:
    hundred thousand slices for the whole double range) and counted per (group, slice).
    Every task sends one row per slice it has seen, whatever the number of rows;
 2. the running total of the slices tells in which slice each wanted rank lies;
-3. only the rows of those slices are looked at again, counted per value and ranked.
+3. only the values of those slices are looked at again and ranked. They are counted before
+   they meet the slices, so a value that repeats is one row for each task and no hot key is left.
 
 The result equals linear interpolation between the two neighbouring order
 statistics. The input is read twice, so it should be a table or a cheap plan.
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SLICES_PER_E = 512
+_LAST_SLICE = 710.0 * _SLICES_PER_E  # beyond the largest double; infinity stands here
 _ONE = "_all"
 
 
@@ -31,12 +33,12 @@ def value_slice(value: Column) -> Column:
     Declared non-null: a null check inferred for one branch only would keep Spark from
     sharing the counted values between the branches that use them.
     """
-    magnitude = F.log1p(F.abs(value)) * _SLICES_PER_E
+    magnitude = F.least(F.log1p(F.abs(value)) * _SLICES_PER_E, F.lit(_LAST_SLICE))
     return F.coalesce(F.when(value < 0, -F.floor(magnitude) - 1).otherwise(F.floor(magnitude)).cast("int"), F.lit(0))
 
 
 def usable(value: Column) -> Column:
-    """Null and NaN both count as missing."""
+    """Null and NaN both count as missing; infinity is a value."""
     return value.isNotNull() & ~F.isnan(value)
 
 
@@ -110,10 +112,9 @@ def exact_quantiles(
     in_slice = (
         Window.partitionBy(*by, "_slice").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    counted = sliced.groupBy(*by, "_slice", "_value").agg(F.sum("_weight").alias("_here"))
     ranked = (
-        sliced.join(targets, [*by, "_slice"])
-        .groupBy(*by, "_slice", "_base", "_n", "_value")
-        .agg(F.sum("_weight").alias("_here"))
+        counted.join(targets, [*by, "_slice"])
         .withColumn("_through", F.col("_base") + F.sum("_here").over(in_slice))
         .withColumn("_before", F.col("_through") - F.col("_here"))
     )
@@ -126,10 +127,12 @@ def exact_quantiles(
         *keys,
         F.col("_n").alias(size),
         *[
-            (
+            F.when(F.col(f"_lo_{name}") == F.col(f"_hi_{name}"), F.col(f"_lo_{name}"))
+            .otherwise(
                 F.col(f"_lo_{name}")
                 + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (position(probability) - below(probability))
-            ).alias(name)
+            )
+            .alias(name)
             for name, probability in probabilities.items()
         ],
     )

@@ -309,3 +309,10 @@ def test_request_validation(spark):
     assert [r.reject_reason for r in cleaning.reject_requests(df, RULES).collect()] == [
         None, "year_out_of_range", "negative_mileage", None, "missing_brand"
     ]
+
+
+def test_quantiles_take_infinity_as_a_value(spark):
+    values = [float("-inf"), 1.0, 2.0, 5.0, float("inf"), float("inf"), float("nan"), None]
+    df = spark.createDataFrame([("g", v) for v in values], "k string, v double")
+    row = exact_quantiles(df, ["k"], "v", {"low": 0.0, "mid": 0.5, "high": 1.0}).first()
+    assert (row.n, row.low, row.mid, row.high) == (6, float("-inf"), 3.5, float("inf"))

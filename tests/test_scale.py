@@ -10,6 +10,7 @@ import __spark_entry__ as entry_points
 from check_queries import TABLES, cell
 from lotwise.operators import merge
 from lotwise.operators.joins import salted_lookup
+from lotwise.operators.quantiles import exact_quantiles
 from lotwise.plans.listing_view import listings
 
 
@@ -115,3 +116,23 @@ def test_filters_and_columns_reach_the_scan(spark, small_sf):
 def test_only_needed_dimensions_are_joined(spark, small_sf):
     plan = executed(listings(spark, small_sf, ["price"]))
     assert "Join" not in plan
+
+
+def test_a_repeated_value_is_one_row_before_the_join(spark, conf):
+    """A third of a group on one value, no broadcast, Spark's own options for skew."""
+    conf(
+        **NO_BROADCAST,
+        spark__sql__adaptive__forceOptimizeSkewedJoin="false",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
+    rows = spark.range(0, 60000, 1, 8).select(
+        F.lit("hot").alias("k"), F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") / 10).alias("v")
+    )
+    out = exact_quantiles(rows, ["k"], "v", {"mid": 0.5})
+    values = sorted(7.0 if i % 3 == 0 else i / 10 for i in range(60000))
+    assert out.first().mid == (values[29999] + values[30000]) / 2
+    plan = final_plan(out)
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    below_join = plan[plan.index("Join") :]
+    assert "partial_sum" in below_join
