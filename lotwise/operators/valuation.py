@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lotwise.contract import PRICE_MAX, PRICE_MIN
 from lotwise.functions.text import strip, stripped_or_null
+from lotwise.operators.cleaning import Rules, reject_requests
 from lotwise.operators.joins import contains_join, salted_lookup
 from lotwise.operators.quantiles import count_values, exact_quantiles, usable
 from lotwise.session import through_table
@@ -225,3 +226,16 @@ def value_requests(
         age.alias("estimated_age_years"),
         F.lit("USD").alias("currency"),
     )
+
+
+def answer_requests(
+    requests: DataFrame, market: DataFrame, rules: Rules, index: DataFrame | None = None
+) -> DataFrame:
+    """Check requests and price the valid ones.
+
+    Every request comes back once, either with its estimate and a null ``reject_reason`` or
+    with the reason and no estimate.
+    """
+    checked = reject_requests(requests, rules)
+    priced = value_requests(checked.filter("reject_reason is null"), market, rules.as_of_year, index)
+    return priced.unionByName(checked.filter("reject_reason is not null"), allowMissingColumns=True)

@@ -5,7 +5,8 @@ import statistics
 
 import pytest
 
-from lotwise.operators.valuation import market_index, value_requests
+from lotwise.operators.cleaning import Rules
+from lotwise.operators.valuation import answer_requests, market_index, value_requests
 
 AS_OF = 2026
 REQUEST = (
@@ -117,3 +118,21 @@ def test_stored_index(spark):
     index = market_index(spark.createDataFrame(market, MARKET))
     got = estimates(spark, [(1, "kia", "k5", 2020, None, None, None)], market, index=index)
     assert got[1][0] == 20000.0 and got[1][3] == 3
+
+
+def test_invalid_requests_get_a_reason_instead_of_a_price(spark):
+    market = spark.createDataFrame([("Kia", "K5", 2019, 9000.0 + i) for i in range(3)], MARKET)
+    rows = [
+        (1, "Kia", "K5", 2019, "used", None, 60000),
+        (2, "Kia", "K5", 1900, "used", None, 60000),
+        (3, "Kia", "K5", 2019, "used", None, -1),
+        (4, None, "K5", 2019, "used", None, 1),
+    ]
+    answers = answer_requests(spark.createDataFrame(rows, REQUEST), market, Rules(as_of_year=AS_OF)).collect()
+    got = {r.request_id: (r.reject_reason, r.predicted_price_usd is None) for r in answers}
+    assert got == {
+        1: (None, False),
+        2: ("year_out_of_range", True),
+        3: ("negative_mileage", True),
+        4: ("missing_brand", True),
+    }
