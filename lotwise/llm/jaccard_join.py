@@ -34,7 +34,7 @@ from lotwise.llm.vector_dedup import forest
 BATCH_BYTES = 4 << 20
 SKETCH_BITS = 20
 CHUNK_BITS = 14
-SMALL_GROUP = 64
+SMALL_GROUP = 16
 BLOCK = 512
 COLUMNS = 8192
 MAP_BITS = 23
@@ -158,7 +158,10 @@ def frequency_classes(scanned: DataFrame) -> np.ndarray:
 def _postings(
     source: DataFrame, classes: np.ndarray, width: int, percent: int, orders: Sequence[int], shards: int
 ) -> DataFrame:
-    """(shard, place, token, node, size): each set's prefix under each order, once in a task."""
+    """(shard, place, token, node, size): each set's prefix under each order, once in a task.
+
+    Within a shard, 32 bits tell tokens apart; two that agree only add candidates.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -174,16 +177,18 @@ def _postings(
                     ranked = late | (mix64(found ^ np.uint64(seed)) >> np.uint64(6))
                     first = np.partition(ranked, length - 1)[:length]
                     out[0].append(np.full(length, place, np.int32))
-                    out[1].append(first.view(np.int64))
+                    out[1].append(first)
                     out[2].append(np.full(length, node, np.int64))
                     out[3].append(np.full(length, len(found), np.int32))
             if out[0]:
                 place, token, node, size = (np.concatenate(part) for part in out)
-                shard = (mix64(token.view(np.uint64)) % np.uint64(shards)).astype(np.int32)
+                token = mix64(token)
+                shard = (token % np.uint64(shards)).astype(np.int32)
+                token = (token >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 arrays = [pa.array(x) for x in (shard, place, token, node, size)]
                 yield pa.RecordBatch.from_arrays(arrays, ["shard", "place", "token", "node", "size"])
 
-    return source.select("text").mapInArrow(run, "shard int, place int, token long, node long, size int")
+    return source.select("text").mapInArrow(run, "shard int, place int, token int, node long, size int")
 
 
 def _meet(percent: int):
@@ -206,7 +211,8 @@ def _meet(percent: int):
             near = np.minimum(size[low], size[high]) * 100 >= percent * np.maximum(size[low], size[high])
             pairs.append(np.stack([node[low[near]], node[high[near]]], 1))
         for start, count in zip(starts[counts > SMALL_GROUP], counts[counts > SMALL_GROUP], strict=True):
-            links.append(np.stack([token[start : start + count], node[start : start + count]], 1))
+            name = key[0].as_py() << 32 | int(token[start]) & 0xFFFFFFFF
+            links.append(np.stack([np.full(count, name), node[start : start + count]], 1))
         both = []
         for kind, parts in enumerate((pairs, links)):
             found = np.unique(np.concatenate(parts), axis=0) if parts else np.zeros((0, 2), np.int64)
@@ -262,36 +268,45 @@ def _filter_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
-def _filter_members(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+def _filter_members(members: DataFrame, maps: DataFrame, percent: int, tasks: int) -> DataFrame:
     """Forest of the pairs of each large group whose bitmaps allow the similarity, by blocks."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         crossing = key[1].as_py() != key[2].as_py()
-        node, size, block = (rows.column(c).to_numpy() for c in ("node", "size", "block"))
+        rows = rows.sort_by("token")
+        token, node, size, block = (rows.column(c).to_numpy() for c in ("token", "node", "size", "block"))
         maps = [np.frombuffer(b, np.uint8) for b in rows.column("bits").to_pylist()]
         width = np.array([len(m) for m in maps])
+        cuts = np.flatnonzero(np.diff(token)) + 1
         out = []
-        for wide in np.unique(width):  # sizes that can link have widths that differ by one step at most
-            own = np.flatnonzero((width == wide) | (width == 2 * wide))
-            folded = [np.bitwise_or.reduce(maps[i].reshape(-1, wide)) for i in own.tolist()]
-            bits = np.unpackbits(np.array(folded), axis=1).astype(np.float32)
-            common, count = (bits @ bits.T).astype(np.int64), bits.sum(1).astype(np.int64)
-            m = size[own]
-            near = _may_link(m[:, None], m[None, :], count[:, None], count[None, :], common, percent)
-            np.fill_diagonal(near, False)
-            near &= (width[own] == wide)[:, None] | (width[own] == wide)[None, :]
-            if crossing:
-                near &= block[own, None] != block[None, own]
-            child, root = forest(near)
-            out.append(np.stack([node[own][child], node[own][root]], 1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        for start, stop in zip(np.append(0, cuts), np.append(cuts, len(token)), strict=True):
+            for wide in np.unique(width[start:stop]):  # widths of sizes that can link differ by one step at most
+                at = width[start:stop]
+                own = start + np.flatnonzero((at == wide) | (at == 2 * wide))
+                if len(own) < 2:
+                    continue
+                folded = [np.bitwise_or.reduce(maps[i].reshape(-1, wide)) for i in own.tolist()]
+                bits = np.unpackbits(np.array(folded), axis=1).astype(np.float32)
+                common, count = (bits @ bits.T).astype(np.int64), bits.sum(1).astype(np.int64)
+                m = size[own]
+                near = _may_link(m[:, None], m[None, :], count[:, None], count[None, :], common, percent)
+                np.fill_diagonal(near, False)
+                near &= (width[own] == wide)[:, None] | (width[own] == wide)[None, :]
+                if crossing:
+                    near &= block[own, None] != block[None, own]
+                child, root = forest(near)
+                out.append(np.stack([node[own][child], node[own][root]], 1))
+        found = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
     counts = members.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = members.join(counts, "token").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("token", "node", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    joined = placed.join(maps, "node").groupBy("token", "low", "high")
+    # groups of one block share tasks, by the hash of their token
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("token"), F.lit(tasks))).otherwise(F.col("token"))
+    low, high = F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high")
+    placed = placed.select("token", "node", "block", task.alias("task"), low, high)
+    joined = placed.join(maps, "node").groupBy("task", "low", "high")
     return joined.applyInArrow(run, "a long, b long")
 
 
@@ -403,7 +418,7 @@ def jaccard_classes(
     pairs, members = _met(_postings(source, classes, width, percent, orders, shards), percent, len(orders))
     # a node comes from as many tasks as hold a copy; any of its bitmaps will do
     maps = scanned.where("bits is not null").select("node", "size", "bits").dropDuplicates(["node"])
-    edges = _filter_pairs(pairs, maps, percent).union(_filter_members(members, maps, percent))
+    edges = _filter_pairs(pairs, maps, percent).union(_filter_members(members, maps, percent, 8 * shards))
     groups = stored(components(edges).select("node", F.col("component").alias("grp")), "candidate-groups")
     counts = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     first = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("_id"))
