@@ -113,7 +113,8 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    model = toxicity.fit(labelled(docs, table(spark, folder, "labels"), "toxic"), "toxic")
+    train = table(spark, folder, "labels").where(~held_out(F.col("doc_id"), 3, 1))
+    model = toxicity.fit(toxicity.training_texts(docs, train, "toxic"), "toxic")
     return toxicity.score(docs, model).select(
         "doc_id",
         held_out(F.col("doc_id"), 3, 1).alias("held_out"),

@@ -28,6 +28,7 @@ WINDOW = 6
 CACHED_WORDS = 1 << 17
 BATCH_BYTES = 8 << 20
 MOST_TERMS = 20_000
+TRAINING_ROWS = 50_000
 
 # Words that report speech, and quotation marks.
 REPORTING = frozenset("said says quoted quote called calls word term wrote asked reported titled".split())
@@ -137,6 +138,21 @@ class Matcher:
         return best
 
 
+def training_texts(
+    docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", most: int = TRAINING_ROWS
+) -> DataFrame:
+    """(text, label) of at most ``most`` labelled rows, those with the smallest hash of their key.
+
+    The labels, whose number is bounded that way, are sent to the documents, so that no text
+    is shuffled. Labels other than 0 and 1 and null keys are left out.
+    """
+    marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    marks = marks.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
+    marks = marks.orderBy(F.xxhash64("_key"), "_key", "_label").limit(most)
+    joined = docs.select(key, text).join(F.broadcast(marks), F.col(key) == F.col("_key"))
+    return joined.select(text, F.col("_label").alias(label))
+
+
 def _word_rows(values: list[str]) -> Iterator[set[str]]:
     for value in values:
         words = set(WORD.findall(value.lower()))
