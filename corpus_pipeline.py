@@ -33,9 +33,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose toxicity score is at least 0.7, learned from the labelled ones."""
-    marks = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), "toxic")
-    train = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    """Drop documents whose toxicity score is at least 0.7, learned from up to 50,000 labelled ones."""
+    train = toxicity.training_texts(docs, table(spark, sf_dir, "labels"), "toxic")
     scored = toxicity.score(docs, toxicity.fit(train, "toxic"))
     return scored.where(F.col("score") < TOXIC).select(*docs.columns)
 
