@@ -29,10 +29,10 @@ from lotwise.llm.common import bound_batches, gathered, mix64, shuffle_partition
 from lotwise.llm.elias_fano import Trie, quantise, restore
 
 FREQUENT = (1 << 20) - 1
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 5 << 20
 SLICE_ROWS = 65_535
 STEPS = 4  # a shard's contexts are worked off in so many steps
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 2_000_000
 DISCOUNT = 0.75
 END = xxhash.xxh64_intdigest(b"", 0)  # words are never empty
 BEGIN = xxhash.xxh64_intdigest(b"", 1)
