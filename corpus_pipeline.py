@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import bpe, jaccard_join, langid, raking, toxicity
 from lotwise.llm.common import stored
-from lotwise.llm.queries import with_topic
+from lotwise.llm.queries import MIXING_RATE, with_topic
 from lotwise.plans.registry import table
 
 LEAST_LANGUAGE_SHARE = 0.5
@@ -51,12 +51,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sample documents so that sources, languages and topics get their softened token shares."""
-    weights = docs.select("doc_id", "source", "lang", raking.tokens(F.col("text")).alias("tokens"))
+    """Sample half of the tokens so that sources, languages and topics get their softened shares.
+
+    Values and cells too small for their share are kept whole. Rows with a null id are drawn by
+    their text; texts without a word have no weight and are not drawn.
+    """
+    key = raking.row_key("doc_id", "text")
+    weights = docs.select("doc_id", "source", "lang", raking.tokens(F.col("text")).alias("tokens"), key.alias("key"))
     weights = stored(with_topic(weights, table(spark, sf_dir, "embeddings")), "mixing-documents")
-    drawn = raking.sample(weights, ("source", "lang", "topic"), "tokens", "doc_id")
-    drawn = drawn.where("sampled").select(F.col("doc_id").alias("_drawn")).distinct()
-    return docs.join(drawn, F.col("doc_id") == F.col("_drawn"), "left_semi").select(*docs.columns)
+    drawn = raking.sample(weights, ("source", "lang", "topic"), "tokens", "key", rate=MIXING_RATE)
+    drawn = drawn.where("sampled").select(F.col("key").alias("_drawn")).distinct()
+    return docs.join(drawn, key == F.col("_drawn"), "left_semi").select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from lotwise.llm import bpe, jaccard_join, langid, mtree, ngram_lm, qda, raking,
 from lotwise.llm.common import held_out, stored
 from lotwise.plans.registry import table
 
+MIXING_RATE = 0.5  # share of all tokens that mixing keeps
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -169,10 +170,14 @@ def with_topic(docs: DataFrame, embeddings: DataFrame) -> DataFrame:
 @query("op7_mixing")
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
-        "doc_id", "source", "lang", raking.tokens(F.col("text")).alias("tokens")
+        "doc_id",
+        "source",
+        "lang",
+        raking.tokens(F.col("text")).alias("tokens"),
+        raking.row_key("doc_id", "text").alias("key"),
     )
     docs = stored(with_topic(docs, table(spark, folder, "embeddings")), "mixing-documents")
-    return raking.sample(docs, ("source", "lang", "topic"), "tokens", "doc_id").select(
+    return raking.sample(docs, ("source", "lang", "topic"), "tokens", "key", rate=MIXING_RATE).select(
         "doc_id", "source", "lang", "topic", "tokens", "probability", "sampled"
     )
 

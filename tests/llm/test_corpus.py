@@ -240,3 +240,70 @@ def test_mixing_of_odd_documents(odd_documents, no_documents):
         assert 0 <= r.probability <= 1
         assert r.probability > 0 or r.doc_id is None or not (r.text or "").split()
     assert run(no_documents) == []
+
+
+def bounded_brute(tokens, goals, kept):
+    """Tokens to keep of each cell, by bisection for every factor."""
+    tokens = np.array(tokens)
+
+    def solve(f, low=0.0, high=1e9):
+        for _ in range(200):
+            middle = (low * high) ** 0.5 if low else high / 2 if high > 1e-12 else 0.0
+            low, high = (middle, high) if f(middle) < 0 else (low, middle)
+        return high
+
+    factors = np.ones_like(tokens)
+    wanted = []
+    for axis, share in goals.items():
+        has = tokens.sum(1 - axis)
+        level = solve(lambda x, h=has, s=share: np.minimum(h, x * s).sum() - kept * (1 - 1e-12))
+        wanted.append((axis, np.minimum(has, level * share)))
+    for _ in range(300):
+        for axis, want in wanted:
+            for v, goal in enumerate(want):
+                at = (v, slice(None)) if axis == 0 else (slice(None), v)
+                own, now = tokens[at], factors[at]
+                now *= solve(lambda x, t=own, n=now, g=goal: np.minimum(t, t * n * x).sum() - g * (1 - 1e-12))
+    return np.minimum(tokens, tokens * factors)
+
+
+def test_bounded_raking_equals_plain_fitting(spark):
+    tokens = np.array([[300.0, 50, 100], [40, 400, 30], [2, 1, 3]])
+    cells = spark.createDataFrame(
+        [(a, b, float(tokens[i, j])) for i, a in enumerate("pqr") for j, b in enumerate("uvw")],
+        "_d string, _e string, tokens double",
+    )
+    goal = {0: np.array([1.0, 1.0, 1.0]), 1: np.array([0.2, 0.2, 0.3])}
+    targets = {
+        name: spark.createDataFrame(
+            [(v, float(x)) for v, x in zip(values, share, strict=True)], "value string, share double"
+        )
+        for (name, values), share in zip((("d", "pqr"), ("e", "uvw")), goal.values(), strict=True)
+    }
+    want = bounded_brute(tokens, goal, 0.4 * tokens.sum())
+    got = {(r._d, r._e): r.weight for r in raking.rake_bounded(cells, targets, 0.4).collect()}
+    assert want.sum() == pytest.approx(0.4 * tokens.sum(), rel=1e-4)
+    for i, a in enumerate("pqr"):
+        for j, b in enumerate("uvw"):
+            assert got[a, b] == pytest.approx(want[i, j], abs=0.05), (a, b)
+    everything = raking.rake_bounded(cells, targets, 1.0).collect()
+    assert all(r.weight == pytest.approx(r.tokens) for r in everything)
+
+
+def test_a_rare_document_does_not_shrink_the_sample(spark):
+    random.seed(15)
+    rows = [(i, random.choice("aaab"), random.choice("xyy"), random.randint(1, 90)) for i in range(2000)]
+    schema = "doc_id long, source string, lang string, tokens long"
+
+    def kept(rows):
+        docs = spark.createDataFrame(rows, schema)
+        out = raking.sample(docs, ("source", "lang"), "tokens", "doc_id", rate=0.5).collect()
+        mass = sum(r.probability * r.tokens for r in out)
+        assert mass == pytest.approx(0.5 * sum(r.tokens for r in out), rel=1e-5)
+        return {r.doc_id: r.probability for r in out}
+
+    before = kept(rows)
+    for rare in [(9999, "a", "new", 1), (9999, "new", "new", 100)]:
+        after = kept([*rows, rare])
+        assert after[9999] == pytest.approx(1)
+        assert max(abs(after[i] - p) for i, p in before.items()) < 0.01
