@@ -6,8 +6,9 @@
 Occurrences (h, w, document) are dealt to shards by their context h. A shard counts its
 training bigrams, builds their trie and looks up all its occurrences, so a model of any size
 fits: no table of words or bigrams is sent to every task. A context with a large share of
-the tokens is dealt over several shards by a hash of w; each part then backs off within the
-words of that hash, which keeps the sum at one.
+the tokens is dealt over several shards by a hash of w. There are at most 4 * shards such
+contexts; their distinct(h) is counted over all parts first and holds in each part, so scores
+do not depend on the number of shards.
 
 p1 of a frequent word comes from a list of at most ``FREQUENT`` words, those with at least
 1/FREQUENT of the tokens each. The occurrences of other words travel once more, to the shard
@@ -17,7 +18,7 @@ of w, with the two quantised numbers that their probability is made of.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ SLICE_BYTES = 5 << 20
 SLICE_ROWS = 65_535
 STEPS = 4  # a shard's contexts are worked off in so many steps
 SHARD_TOKENS = 2_000_000
+MOST_PARTS = 1 << 24
+WORD_BITS = 42  # of a word's hash, in the numbers that distinct successors are counted by
 DISCOUNT = 0.75
 END = xxhash.xxh64_intdigest(b"", 0)  # words are never empty
 BEGIN = xxhash.xxh64_intdigest(b"", 1)
@@ -114,15 +117,16 @@ def _unigrams(source: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Totals, frequent words, and the unigram mass of word hashes modulo powers of two."""
+    """Totals, frequent words, and the contexts that are dealt in parts with their distinct successors."""
 
     tokens: int
     distinct: int
     documents: int
     hashes: np.ndarray
     counts: np.ndarray
-    masses: np.ndarray
     shards: int
+    split: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    kinds: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     @property
     def whole(self) -> float:
@@ -146,16 +150,14 @@ class Vocabulary:
     def parts(self, hashes: np.ndarray) -> np.ndarray:
         """Into how many parts (a power of two) each context is dealt."""
         share = self.context_counts(hashes) * (4.0 * self.shards / max(self.tokens, 1))
-        return np.minimum(2 ** np.ceil(np.log2(np.maximum(share, 1.0))).astype(np.int64), len(self.masses))
+        return np.minimum(2 ** np.ceil(np.log2(np.maximum(share, 1.0))).astype(np.int64), MOST_PARTS)
 
-    def mass(self, part: np.ndarray, parts: np.ndarray) -> np.ndarray:
-        """Unigram probability of the words of one part; unknown words belong to every part."""
-        out = np.empty(len(part))
-        for count in np.unique(parts):
-            folded = self.masses.reshape(-1, count).sum(0)
-            own = parts == count
-            out[own] = folded[part[own]] + self.unigram(np.zeros(1))[0]
-        return np.where(parts == 1, 1.0, out)
+    def split_kinds(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of distinct successors of contexts that are dealt in parts; 0 for any other."""
+        if len(self.split) == 0:
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.split, hashes), len(self.split) - 1)
+        return np.where(self.split[at] == hashes, self.kinds[at], 0)
 
 
 def _vocabulary(unigrams: DataFrame, documents: int, partitions: int) -> Vocabulary:
@@ -166,14 +168,49 @@ def _vocabulary(unigrams: DataFrame, documents: int, partitions: int) -> Vocabul
     frequent = unigrams.where(F.col("n") * FREQUENT > total).select("hash", "n").toArrow()
     hashes = frequent.column("hash").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    cells = 1 << (4 * shards - 1).bit_length()
-    place = F.shiftrightunsigned("hash", 40).bitwiseAND(cells - 1).cast("int")
-    masses = np.zeros(cells)
-    whole = total + 0.1 * (distinct + 1)
-    for row in unigrams.groupBy(place.alias("place")).agg(F.sum(F.col("n") + 0.1).alias("mass")).collect():
-        masses[row.place] = row.mass / whole
     counts = frequent.column("n").to_numpy()[order]
-    return Vocabulary(total, int(distinct), documents, hashes[order], counts, masses, shards)
+    return Vocabulary(total, int(distinct), documents, hashes[order], counts, shards)
+
+
+def _with_kinds(vocabulary: Vocabulary, source: DataFrame) -> Vocabulary:
+    """The vocabulary with the distinct successors of each context that is dealt in parts.
+
+    A successor is one number of the context's place and the low bits of the word's hash; each
+    is counted once, in Spark. Only the counts of the contexts, at most 4 * shards, are collected.
+    """
+    contexts = np.append(vocabulary.hashes, np.uint64(BEGIN))
+    split = np.unique(contexts[vocabulary.parts(contexts) > 1])
+    if len(split) == 0:
+        return vocabulary
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[np.ndarray] = []
+        waiting = 0
+
+        def flush() -> pa.RecordBatch:
+            codes = np.unique(np.concatenate(kept))
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64))], ["code"])
+
+        for batch in gathered(batches, "text", SLICE_BYTES, SLICE_ROWS):
+            tokens = Tokens.of(batch.column("text"))
+            at = np.minimum(np.searchsorted(split, tokens.hashes), len(split) - 1)
+            own = (split[at] == tokens.hashes)[tokens.context]
+            low = tokens.hashes[tokens.word[own]] & np.uint64((1 << WORD_BITS) - 1)
+            kept.append(np.unique(at[tokens.context[own]].astype(np.uint64) << np.uint64(WORD_BITS) | low))
+            waiting += len(kept[-1])
+            if waiting > 2_000_000:
+                yield flush()
+                waiting = 0
+        if kept:
+            yield flush()
+
+    codes = source.where(~F.col("held")).select("text").mapInArrow(run, "code long").distinct()
+    place = F.shiftrightunsigned("code", WORD_BITS).cast("int")
+    counted = codes.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    kinds = np.zeros(len(split), np.int64)
+    kinds[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
+    return replace(vocabulary, split=split, kinds=kinds)
 
 
 def _pack_places(places: np.ndarray) -> np.ndarray:
@@ -323,12 +360,13 @@ def _look_up(
     first = np.zeros(len(level), np.int64)
     first[owner] = np.arange(len(owner))
     own = np.bincount(of, count, len(level))
-    whole = np.where(parts[first] > 1, vocabulary.context_counts(context[first]), own)
+    dealt = parts[first] > 1
+    whole = np.where(dealt, vocabulary.context_counts(context[first]), own)
     seen = count > 0
     kinds = np.bincount(of[seen], minlength=len(level))
-    mass = vocabulary.mass(part[first], parts[first])
-    # an unknown context leaves the unigram, as does a part in which nothing was seen
-    backoff = np.where(own > 0, discount * kinds / np.maximum(whole * mass, 1e-300), 1.0)
+    kinds = np.where(dealt, vocabulary.split_kinds(context[first]), kinds)
+    # an unknown context leaves the unigram
+    backoff = np.where(whole > 0, discount * kinds / np.maximum(whole, 1), 1.0)
     trie = Trie.build(
         level,
         of[seen],
@@ -474,6 +512,7 @@ def score(
     unigrams = stored(_unigrams(source), "unigrams")
     documents = unigrams.where(F.col("hash") == F.lit(int(np.uint64(END).view(np.int64)))).select("n").first()
     vocabulary = _vocabulary(unigrams, documents.n if documents else 0, partitions)
+    vocabulary = _with_kinds(vocabulary, source)
     messages = _occurrences(source, vocabulary, partitions)
     group = ("shard", "kind")
     answers = stored(

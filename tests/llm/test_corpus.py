@@ -90,6 +90,21 @@ def test_model_equals_counting(spark, small_sf, monkeypatch, frequent):
     assert sum(r.score for r in new) > sum(r.base_score for r in new)
 
 
+@pytest.mark.parametrize("shards", [4, 23, 64])
+def test_scores_do_not_depend_on_the_shards(spark, monkeypatch, shards):
+    """A passage that a third of the rows copy makes hot contexts of few successors."""
+    monkeypatch.setattr(ngram_lm, "shuffle_partitions", lambda spark: shards)
+    random.seed(16)
+    words = [f"w{i}" for i in range(300)]
+    passage = ["hot", "spot", "hot", "dog"] * 5
+    rows = [(i, " ".join(random.choices(words, k=30) + (passage if i % 3 == 0 else []))) for i in range(300)]
+    rows += [(1000 + i, "hot " + random.choice(words)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = ngram_lm.score(docs, held_out(F.col("doc_id"), 10, 0)).collect()
+    assert any(r.held_out and r.id >= 1000 for r in got)
+    check_scores(got, bigram_scores(dict(rows)), 0.002)
+
+
 def test_model_sums_to_one():
     """Over the whole vocabulary and the unknown word, after a context."""
     counts = {1: 3, 2: 1, 3: 2}
