@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.common import bound_batches, extended, slices, texts
 
-WORD = re.compile(r"[^\W\d_]+(?:['’*@$0-9][^\W\d_]+)*")
+# A word may begin with one character that stands for a letter.
+WORD = re.compile(r"[*@$0-9]?[^\W\d_]+(?:['’*@$0-9][^\W\d_]+)*")
+STAND_INS = frozenset("*@$0123456789")
 BEGINNINGS = (4, 5)
 WINDOW = 6
 CACHED_WORDS = 1 << 17
@@ -34,8 +36,9 @@ TRAINING_ROWS = 50_000
 REPORTING = frozenset("said says quoted quote called calls word term wrote asked reported titled".split())
 QUOTES = frozenset("\"“”„«»‘‹›")
 
-# Kinds of hits: (exact, stem, misspelled) x (abuse, quotation)
-KINDS = 6
+# Kinds of hits: (exact, stem, misspelled) x (abuse, quotation), then misspelled beginnings x the same.
+# These have a chance of their own, as more common words match by chance.
+KINDS = 8
 
 
 @dataclass(frozen=True)
@@ -50,12 +53,13 @@ class Matcher:
     """Lazily determinised product of the lexicon trie and the Levenshtein automaton.
 
     One error (insertion, deletion, substitution) is allowed for terms of at least
-    ``least_length`` characters; shorter terms must match exactly. The first character must
-    be right, which keeps common words from matching by chance.
+    ``least_length`` characters; shorter terms must match exactly. The error may be in the
+    first character too, unless ``first_right``.
     """
 
-    def __init__(self, lexicon: Lexicon, least_length: int = 5, errors: int = 1):
+    def __init__(self, lexicon: Lexicon, least_length: int = 5, errors: int = 1, first_right: bool = True):
         self.errors = errors
+        self.first_right = first_right
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[bool] = [False]
         self.fuzzy: list[bool] = [False]
@@ -67,8 +71,9 @@ class Matcher:
                 self.fuzzy[node] |= len(term) >= least_length
             self.ends[node] = True
         self.least_length = least_length
-        self.long_ends = {self._find(t) for t in lexicon.terms if len(t) >= least_length}
-        self.start = frozenset([(0, 0)])
+        self.long_ends = {self._find(t): t[0] for t in lexicon.terms if len(t) >= least_length}
+        self.fuzzy[0] = bool(self.long_ends) and not first_right
+        self.start = self._close({(0, 0)})
         self.steps: dict[tuple[frozenset, str], frozenset] = {}
 
     def _child(self, node: int, character: str) -> int:
@@ -91,7 +96,7 @@ class Matcher:
         queue = list(states)
         while queue:
             node, errors = queue.pop()
-            if node and errors < self.errors:
+            if (node or not self.first_right) and errors < self.errors:
                 for child in self.children[node].values():
                     state = (child, errors + 1)
                     if self.fuzzy[child] and state not in states:
@@ -108,7 +113,7 @@ class Matcher:
                 child = self.children[node].get(character)
                 if child is not None:
                     reached.add((child, errors))
-                if node and errors < self.errors:
+                if (node or not self.first_right) and errors < self.errors:
                     reached.add((node, errors + 1)) if self.fuzzy[node] else None
                     for other, below in self.children[node].items():
                         if other != character and self.fuzzy[below]:
@@ -119,7 +124,7 @@ class Matcher:
         return found
 
     def match(self, word: str) -> int:
-        """0: no hit, 1: a term, 2: a stem, 3: a misspelled term."""
+        """0: no hit, 1: a term, 2: a stem, 3: a misspelled term, 4: one whose first character is wrong."""
         best, state = 0, self.start
         for size, character in enumerate(word, 1):
             state = self.step(state, character)
@@ -131,8 +136,8 @@ class Matcher:
             for node, errors in state:
                 if self.ends[node] and errors == 0:
                     return 1
-                if node in self.long_ends and best == 0:
-                    best = 3
+                if node in self.long_ends and best in (0, 4):
+                    best = 3 if self.long_ends[node] == word[:1] else 4
         if best == 0 and any(word[:size] in self.stems for size in BEGINNINGS):
             best = 2
         return best
@@ -153,9 +158,14 @@ def training_texts(
     return joined.select(text, F.col("_label").alias(label))
 
 
+def _bare(word: str) -> str:
+    """The word without a stand-in before its first letter."""
+    return word[1:] if word[0] in STAND_INS else word
+
+
 def _word_rows(values: list[str]) -> Iterator[set[str]]:
     for value in values:
-        words = set(WORD.findall(value.lower()))
+        words = {_bare(word) for word in WORD.findall(value.lower())}
         yield words | {w[:size] + "*" for w in words for size in BEGINNINGS if len(w) > size}
 
 
@@ -210,24 +220,36 @@ def learn_lexicon(
     return Lexicon(tuple(t for t in found if not t.endswith("*")), stems)
 
 
-def _hits(value: str, matcher: Matcher, cache: dict[str, int]) -> list[tuple[int, int, int, bool]]:
-    """(kind 1..3, start, end, quoted) of each hit in a text."""
+def _kind(word: str, matcher: Matcher) -> tuple[int, int]:
+    """Kind of a word, and 1 if it is found without the stand-in before it, else 0."""
+    bare = _bare(word)
+    kind = matcher.match(bare)
+    if bare != word and kind in (0, 3, 4):  # a stand-in for the first letter, or a mark before the word
+        whole = matcher.match(word)
+        if whole and kind != 3:
+            return whole, 0
+    return kind, int(bare != word)
+
+
+def _hits(value: str, matcher: Matcher, cache: dict[str, tuple[int, int]]) -> list[tuple[int, int, int, bool]]:
+    """(kind 1..4, start, end, quoted) of each hit in a text."""
     known = {}
     for word in set(WORD.findall(value.lower())):
         kind = cache.get(word)
         if kind is None:
             if len(cache) >= CACHED_WORDS:
                 cache.clear()
-            kind = cache[word] = matcher.match(word)
-        if kind:
+            kind = cache[word] = _kind(word, matcher)
+        if kind[0]:
             known[word] = kind
     if not known:
         return []
     found = []
     for m in WORD.finditer(value):
-        kind = known.get(m.group().lower())
+        kind, skipped = known.get(m.group().lower(), (0, 0))
         if kind:
-            found.append((kind, m.start(), m.end(), _quoted(value, m.start(), m.end())))
+            start = m.start() + skipped
+            found.append((kind, start, m.end(), _quoted(value, start, m.end())))
     return found
 
 
@@ -245,7 +267,8 @@ def _quoted(value: str, start: int, end: int) -> bool:
 def hits(docs: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "hits") -> DataFrame:
     """Add ``hits array<struct<kind:int,start:int,end:int,quoted:boolean>>`` for each whole text.
 
-    Kinds: 1 a lexicon term, 2 a stem, 3 a misspelled term. A null or empty text has none.
+    Kinds: 1 a lexicon term, 2 a stem, 3 a misspelled term, 4 one whose first character is
+    wrong, missing or after another. A null or empty text has none.
     """
     docs = bound_batches(docs)
     kept = [c for c in docs.columns if c != name]
@@ -257,7 +280,7 @@ def hits(docs: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "hit
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, cache = Matcher(lexicon), {}
+        matcher, cache = Matcher(lexicon, first_right=False), {}
         fields = ("kind", "start", "end", "quoted")
         for batch in (part for whole in batches for part in slices(whole, text, BATCH_BYTES)):
             rows = [
@@ -270,12 +293,13 @@ def hits(docs: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "hit
 
 
 def kind_counts(found: Column) -> list[Column]:
-    """Number of hits of each of the six kinds: term, stem, misspelled; the same as quotation."""
+    """Number of hits: term, stem, misspelled; the same as quotation; misspelled beginning, and as quotation."""
 
     def count(kind: int, quoted: bool) -> Column:
         return F.size(F.filter(found, lambda hit: (hit["kind"] == kind) & (hit["quoted"] == quoted)))
 
-    return [count(kind, quoted) for quoted in (False, True) for kind in (1, 2, 3)]
+    usual = [count(kind, quoted) for quoted in (False, True) for kind in (1, 2, 3)]
+    return [*usual, count(4, False), count(4, True)]
 
 
 @dataclass(frozen=True)
@@ -283,7 +307,7 @@ class Model:
     """Lexicon, and for each kind of hit the chance that it stands in a toxic document."""
 
     lexicon: Lexicon
-    chances: tuple[float, ...] = field(default=(0.9, 0.9, 0.5, 0.3, 0.3, 0.2))
+    chances: tuple[float, ...] = field(default=(0.9, 0.9, 0.5, 0.3, 0.3, 0.2, 0.5, 0.2))
     floor: float = 0.01
 
     def score(self, found: Column) -> Column:
@@ -310,7 +334,7 @@ def fit(docs: DataFrame, label: str, text: str = "text") -> Model:
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("toxic")
     )
     counts = {row.kind: (row.n, row.toxic) for row in table.collect()}
-    prior = ((1.8, 2.0), (1.8, 2.0), (1.0, 2.0), (0.6, 2.0), (0.6, 2.0), (0.4, 2.0))
+    prior = ((1.8, 2.0), (1.8, 2.0), (1.0, 2.0), (0.6, 2.0), (0.6, 2.0), (0.4, 2.0), (1.0, 2.0), (0.4, 2.0))
     chances = []
     for kind, (a, n) in enumerate(prior):
         seen, toxic = counts.get(kind, (0, 0))

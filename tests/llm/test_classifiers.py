@@ -91,6 +91,38 @@ def test_automaton_equals_edit_distance():
         assert matcher.match(word) == (1 if exact else 3 if near else 0), word
 
 
+def test_first_character_may_be_wrong():
+    """Plain edit distance, the first character included."""
+    random.seed(8)
+    terms = ["scoundrel", "rascal", "rascals", "cur", "villain", "viper"]
+    matcher = toxicity.Matcher(toxicity.Lexicon(tuple(terms)), first_right=False)
+    words = {""}
+    for term in terms:
+        for at in range(len(term) + 1):
+            for new in ("", "a", "s", "@", "xy"):
+                words |= {term[:at] + new + term[at + cut :] for cut in (0, 1, 2)}
+    for word in words:
+        near = {word[:1] == t[0] for t in terms if len(t) >= 5 and distance(word, t) <= 1}
+        assert matcher.match(word) == (1 if word in terms else 3 if True in near else 4 if near else 0), word
+
+
+def test_misspelled_beginnings_are_hits():
+    lexicon = toxicity.Lexicon(("scoundrel",))
+    matcher = toxicity.Matcher(lexicon, first_right=False)
+
+    def found(text):
+        return [(hit[0], text[hit[1] : hit[2]]) for hit in toxicity._hits(text, matcher, {})]
+
+    assert found("a $coundrel, 5coundrel, coundrel, xscoundrel") == [
+        (4, "$coundrel"),
+        (4, "5coundrel"),
+        (4, "coundrel"),
+        (4, "xscoundrel"),
+    ]
+    assert found("a *scoundrel* and @scoundrel") == [(1, "scoundrel"), (1, "scoundrel")]
+    assert found("a sound barrel 12 * $") == []
+
+
 def test_windows_tell_quotation():
     lexicon = toxicity.Lexicon(("scoundrel",))
     matcher = toxicity.Matcher(lexicon)
@@ -117,6 +149,12 @@ def test_toxicity_learns_terms_stems_and_misspellings(spark):
     assert got[4] < got[1] and max(got[3], got[5], got[6]) < 0.1
 
 
+def test_misspelled_beginnings_count(spark):
+    docs = spark.createDataFrame([(1, "a 5coundrel, you $coundrel"), (2, "quiet ships")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.Model(toxicity.Lexicon(("scoundrel",)))).collect()}
+    assert got[1] >= 0.7 and got[2] == pytest.approx(0.01)
+
+
 def test_toxicity_of_odd_documents(odd_documents, no_documents):
     model = toxicity.fit(odd_documents.withColumn("y", F.lit(None).cast("int")), "y")
     assert model.lexicon.terms == ()
