@@ -4,7 +4,9 @@ Two sets with Jaccard similarity t or more share a token among the first
 n - ceil(t n) + 1 tokens of each, under any global order of all tokens. Each order here puts
 tokens that are frequent in the corpus last (by a counting sketch) and the others in the
 order of a hash of their own, so chance pairs that share a few tokens meet under one order
-but rarely under another. Candidates must meet under every order.
+but rarely under another. Candidates of small token groups must meet under every order; if
+both stand in large groups of the second order, that counts as met. Members of the first
+order's large groups (over ``SMALL_GROUP`` nodes) go to the bitmap filter without it.
 
 Documents with equal sets are one node. Candidates then pass a bitmap filter: a bit that
 one set has and the other lacks is a token that they do not share, which bounds the
