@@ -26,13 +26,13 @@ def texts(spark, small_sf):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, small_sf, name):
     duck = duckdb.connect()
-    for source in ("documents", "embeddings"):
+    for source in ("documents", "embeddings", "benchmark"):
         duck.execute(f"CREATE VIEW {source} AS SELECT * FROM '{small_sf}/{source}.parquet'")
     result = duck.execute(SQL[name])
     columns = [d[0] for d in result.description]
