@@ -1,0 +1,100 @@
+"""The pipeline's stages on rows that repeat ids, texts and column names, against plain Python."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import pytest
+
+from lotwise.plans.registry import table
+
+STAGES = dict(corpus_pipeline.STAGES)
+WORDS = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen".split()
+
+
+def shingles(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1 if words else 0))}
+
+
+def kept_by_hand(rows):
+    """One row of each class, by comparing all pairs: counts of (id, text)."""
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    sets, group = [shingles(text) for _, text in rows], list(range(len(rows)))
+
+    def root(i):
+        return i if group[i] == i else root(group[i])
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                low, high = sorted((root(i), root(j)))
+                group[high] = low
+    classes = defaultdict(list)
+    for i in range(len(rows)):
+        classes[root(i)].append(i)
+    return Counter(rows[i][0] for members in classes.values() for i in members[:1]), [rows[m[0]][1] for m in classes.values()]
+
+
+def long_text(start, changed=()):
+    return " ".join("changed" if i in changed else f"{WORDS[i % 16]}{start + i // 16}" for i in range(60))
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_near_duplicates_keep_one_row_of_each_class(spark, small_sf, parts):
+    a, b, unique = long_text(0), long_text(100), long_text(200)
+    near = long_text(100, changed=(59,))
+    rows = [(1, a), (None, a), (None, a), (3, a), (2, b), (2, b), (2, b), (3, unique), (9, near), (4, long_text(300))]
+    rows += [(5, None), (5, ""), (None, None), (6, " \n"), (7, "two words"), (8, "Two WORDS"), (None, long_text(400))]
+    docs = spark.createDataFrame([(i, t, "kept", 7) for i, t in rows], "doc_id long, text string, _copy string, row int")
+    got = STAGES["near_duplicates"](spark, docs.repartition(parts), small_sf)
+    assert got.columns == docs.columns
+    ids, texts = kept_by_hand(rows)
+    found = got.collect()
+    assert Counter(r.doc_id for r in found) == ids
+    assert Counter(map(str, (r.text for r in found if r.doc_id not in (7, 8)))) == Counter(
+        str(t) for t in texts if t not in ("two words", "Two WORDS")
+    )
+    assert (3, unique) in {(r.doc_id, r.text) for r in found} and {r.row for r in found} == {7}
+    assert STAGES["near_duplicates"](spark, docs.where("false"), small_sf).collect() == []
+
+
+def test_near_duplicates_of_files_equal_brute_force(spark, small_sf):
+    docs = table(spark, small_sf, "documents")
+    got = STAGES["near_duplicates"](spark, docs, small_sf).collect()
+    assert Counter(r.doc_id for r in got) == kept_by_hand([(r.doc_id, r.text) for r in docs.collect()])[0]
+
+
+def test_stages_give_back_own_columns(spark, small_sf):
+    docs = table(spark, small_sf, "documents").limit(30)
+    names = "lang_pred string, LANG_SCORE double, spans int, score int, hits string, kept_score int, kept_hits int"
+    extra = docs.selectExpr("*", *[f"CAST(doc_id AS {n.split()[1]}) AS {n.split()[0]}" for n in names.split(", ")])
+    for name in ("language", "toxicity"):
+        got = STAGES[name](spark, extra, small_sf)
+        assert got.schema == extra.schema
+        rows = got.collect()
+        assert rows and all(r.score == r.doc_id and r.hits == str(r.doc_id) for r in rows)
+        assert all(r.kept_score == r.doc_id and r.spans == r.doc_id and r.lang_pred == str(r.doc_id) for r in rows)
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd_documents, no_documents, small_sf):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_documents, small_sf).collect() == []
+        rows = stage(spark, odd_documents, small_sf).collect()
+        if name in ("language", "toxicity"):
+            given = Counter((r.doc_id, r.text, r.score, r.ids) for r in odd_documents.collect())
+            assert not Counter((r.doc_id, r.text, r.score, r.ids) for r in rows) - given
+        if name == "near_duplicates":
+            ids, _ = kept_by_hand([(r.doc_id, r.text) for r in odd_documents.collect()])
+            assert Counter(r.doc_id for r in rows) == ids
+        if name == "encoding":
+            assert len(rows) == odd_documents.count() and all(r.round_trip for r in rows)
+
+
+def test_language_does_not_depend_on_partitions(spark, small_sf):
+    docs = table(spark, small_sf, "documents")
+    kept = [Counter(r.doc_id for r in STAGES["language"](spark, docs.repartition(n), small_sf).collect()) for n in (1, 7)]
+    assert kept[0] == kept[1] == Counter(r.doc_id for r in docs.collect())
