@@ -6,7 +6,8 @@ index out of range stands for itself. The fields used here sit at fixed depth, s
 following a fixed number of references is enough and no recursion is needed.
 
 Where several objects of a page look like the listing, the one at the lowest position is
-taken.
+taken; ``page_decode.extract_decoded`` takes the one that a depth-first walk meets first, and
+follows references to any depth.
 """
 
 from __future__ import annotations
@@ -72,9 +73,14 @@ def _not_cycle(field: Field) -> Column:
     return F.nullif(text(field.value), F.lit(CYCLE))
 
 
-def extract_details(pages: DataFrame, decode_receipt: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+def extract_details(
+    pages: DataFrame, decode_receipt: bool = False, keep: Sequence[str] = (), listing: str | None = None
+) -> DataFrame:
     """One row per page: ``listing_id``, ``matched``, the enrichment columns and those of ``keep``.
 
+    ``listing`` names a column with the page's listing object, decoded already; it is then taken as
+    it is, and as the receipt. Otherwise the object is looked up in the page's ``html``.
+
     ``raw_detail_payload`` is the page's whole data array. ``decode_receipt=True`` replaces
     it by the listing object: its own members, its specs and its discount with their
     references followed.
@@ -92,9 +98,14 @@ def extract_details(pages: DataFrame, decode_receipt: bool = False, keep: Sequen
         return follow(table, at(entry, name))
 
     unwrapped, prices, spec_names = PAGE_MEMBERS, PRICE_MEMBERS, SPEC_MEMBERS
-    located = pages.select("listing_id", *keep, embedded_table(F.col("html")).alias("_table")).withColumn(
-        "_post", F.get(F.filter(table, looks_like_listing), F.lit(0))
-    )
+    if listing is None:
+        located = pages.select("listing_id", *keep, embedded_table(F.col("html")).alias("_table")).withColumn(
+            "_post", F.get(F.filter(table, looks_like_listing), F.lit(0))
+        )
+    else:
+        # without a table no number is a reference
+        nothing = F.expr("CAST(array() AS array<variant>)")
+        located = pages.select("listing_id", *keep, nothing.alias("_table"), F.col(listing).alias("_post"))
     followed = located.withColumns(
         {f"_f_{name}": follow(table, at(post, name)) for name in (*unwrapped, *prices, "discount", "specs")}
     ).withColumn("_spec_objects", F.transform(items(F.col("_f_specs")), lambda entry: follow(table, entry)))
@@ -132,6 +143,7 @@ def extract_details(pages: DataFrame, decode_receipt: bool = False, keep: Sequen
     matched = post.isNotNull()
     whole_table = F.to_variant_object(table)
     receipt = _receipt(table, post, F.col("_spec_objects")) if decode_receipt else whole_table
+    receipt = receipt if listing is None else post
     return final.select(
         "listing_id",
         matched.alias("matched"),
