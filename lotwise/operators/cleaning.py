@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lotwise.contract import CLEAN_COLUMNS, PRICE_MAX, PRICE_MIN, YEAR_MAX_OFFSET, YEAR_MIN
@@ -110,6 +110,67 @@ def rule_audit(raw: DataFrame, rules: Rules) -> DataFrame:
     return totals.select(F.inline(lines))
 
 
+class ObservedCleaning:
+    """Cleaning whose audit and post-conditions are counted by the very job that takes its ``rows``.
+
+    ``rows`` are those of :func:`clean`. After they have been written once, :meth:`audit` has the lines of
+    :func:`rule_audit` and :meth:`require` checks what :func:`require_integrity` checks, without reading
+    anything again. Ids of the result are distinct, as it is grouped by them. The counts of the raw rows
+    come from the stage that reads them; should that stage be repeated after the loss of an
+    executor, they are too high, which ``audit(raw_rows=…)`` notices.
+    """
+
+    def __init__(
+        self, raw: DataFrame, rules: Rules, order: Sequence[str] = DEFAULT_ORDER, columns: Sequence[str] = CLEAN_COLUMNS
+    ):
+        self._spark, self._columns = raw.sparkSession, list(columns)
+        self._before, self._after = Observation(), Observation()
+        priced = F.coalesce(rules.has_price(), F.lit(False))
+        in_range = priced & F.coalesce(rules.price_in_range(), F.lit(False))
+        plausible = in_range & F.coalesce(rules.year_plausible(), F.lit(False))
+        # narrowed first: what is observed above the scan would otherwise be read with all its columns
+        needed = dict.fromkeys(["listing_id", *columns, "price", "vehicle_model_year", *order])
+        watched = raw.select(*needed).observe(
+            self._before,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(priced).alias("priced"),
+            F.count_if(in_range).alias("in_range"),
+            F.count_if(plausible).alias("plausible"),
+        )
+        # the conditions are looked at where their columns are among those asked for
+        checks = {"bad_prices": ~F.coalesce(rules.price_in_range(), F.lit(False)), "bad_years": ~rules.year_plausible()}
+        shown = {"bad_prices": "price", "bad_years": "vehicle_model_year"}
+        cleaned = clean(watched, rules, order, columns)
+        self.rows = cleaned.observe(
+            self._after,
+            F.count(F.lit(1)).alias("ids"),
+            F.count_if(F.col("listing_id").isNull() if "listing_id" in columns else F.lit(False)).alias("missing_ids"),
+            *[F.count_if(check if shown[name] in columns else F.lit(False)).alias(name) for name, check in checks.items()],
+        )
+
+    def audit(self, raw_rows: int | None = None) -> DataFrame:
+        """Rows removed and remaining per rule; ``raw_rows`` is the known number of raw rows, if it is to be compared."""
+        found = {**self._before.get, **self._after.get}
+        if raw_rows is not None and raw_rows != found["rows"]:
+            raise RuntimeError(f"{found['rows']} raw rows were counted, {raw_rows} are there: a stage was repeated")
+        steps = [
+            ("1 has price", "rows", "priced"),
+            ("2 price range", "priced", "in_range"),
+            ("3 model year", "in_range", "plausible"),
+            ("6 last per id", "plausible", "ids"),
+        ]
+        lines = [(rule, found[before] - found[after], found[after]) for rule, before, after in steps]
+        return self._spark.createDataFrame(lines, "rule string, removed bigint, remaining bigint")
+
+    def require(self, columns: Sequence[str] = CLEAN_COLUMNS) -> None:
+        """Raise ``ValueError`` unless the rows that were written satisfy the clean contract."""
+        if self._columns != list(columns):
+            raise ValueError(f"columns differ from the contract: {self._columns}")
+        broken = {name: count for name, count in self._after.get.items() if name != "ids" and count}
+        if broken:
+            raise ValueError(f"clean table violates its contract: {broken}")
+
+
 def integrity(df: DataFrame, rules: Rules) -> DataFrame:
     """One row of post-condition checks on a cleaned table."""
     per_id = df.groupBy("listing_id").agg(

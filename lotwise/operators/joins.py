@@ -25,15 +25,13 @@ def salted_lookup(
     return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
-def contains_join(needles: DataFrame, texts: DataFrame, on: str, needle: str, text: str) -> DataFrame:
-    """Pairs (on, needle, text) with equal ``on`` where ``text`` contains ``needle``.
+def anchored(needles: DataFrame, needle: str) -> DataFrame:
+    """Add ``_anchor``, the first 16 characters that a text holding ``needle`` must have among its pieces."""
+    return needles.withColumn("_anchor", F.substring(needle, 1, _ANCHOR))
 
-    Not all pairs of an ``on`` group are compared: a needle is looked up by its first
-    16 characters among the pieces of up to 16 characters that occur in each text, an
-    equi-join. Needles of that length or less meet only texts that contain them; for longer
-    ones the containment check removes chance hits. Meant for short texts such as names.
-    """
-    anchored = needles.withColumn("_anchor", F.substring(needle, 1, _ANCHOR))
+
+def with_pieces(texts: DataFrame, text: str) -> DataFrame:
+    """One row for each distinct piece, ``_anchor``, of up to 16 characters of each text."""
     starts = F.sequence(F.lit(1), F.length(text))
     pieces = F.flatten(
         F.transform(
@@ -44,8 +42,19 @@ def contains_join(needles: DataFrame, texts: DataFrame, on: str, needle: str, te
             ),
         )
     )
-    indexed = texts.filter(F.length(text) > 0).withColumn("_anchor", F.explode(F.array_distinct(pieces)))
-    return anchored.join(indexed, [on, "_anchor"]).filter(F.contains(F.col(text), F.col(needle))).drop("_anchor")
+    return texts.filter(F.length(text) > 0).withColumn("_anchor", F.explode(F.array_distinct(pieces)))
+
+
+def contains_join(needles: DataFrame, texts: DataFrame, on: str, needle: str, text: str) -> DataFrame:
+    """Pairs (on, needle, text) with equal ``on`` where ``text`` contains ``needle``.
+
+    Not all pairs of an ``on`` group are compared: a needle is looked up by its first
+    16 characters among the pieces of up to 16 characters that occur in each text, an
+    equi-join. Needles of that length or less meet only texts that contain them; for longer
+    ones the containment check removes chance hits. Meant for short texts such as names.
+    """
+    met = anchored(needles, needle).join(with_pieces(texts, text), [on, "_anchor"])
+    return met.filter(F.contains(F.col(text), F.col(needle))).drop("_anchor")
 
 
 def only_new(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:

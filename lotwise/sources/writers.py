@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotwise.contract import SAMPLE_COLUMNS, SAMPLE_SEED, SAMPLE_SIZES
-from lotwise.operators.cleaning import DEFAULT_ORDER, Rules, clean
+from lotwise.operators.cleaning import DEFAULT_ORDER, ObservedCleaning, Rules, clean
 from lotwise.operators.merge import conform, pick_present
 from lotwise.sources.readers import table_or_empty
 
@@ -94,9 +94,27 @@ def publish(
     return path
 
 
+def publish_clean(
+    raw: DataFrame, root: str, rules: Rules, order: Sequence[str] = DEFAULT_ORDER, source: int | None = None
+) -> ObservedCleaning:
+    """Clean ``raw`` and publish the result as the next snapshot of ``root``, in one job.
+
+    The post-conditions are counted while the rows are written; if one is broken the snapshot is not
+    recorded. The returned cleaning has the audit of the rules.
+    """
+    observed = ObservedCleaning(raw, rules, order)
+    publish(raw.sparkSession, observed.rows, root, source, lambda written: observed.require(written.columns))
+    return observed
+
+
+def snapshots(spark: SparkSession, root: str) -> DataFrame:
+    """Version, path and source of all published snapshots."""
+    return table_or_empty(spark, f"{root}/history", HISTORY)
+
+
 def _latest(spark: SparkSession, root: str) -> Row:
     """Version, path and source of the newest record, nulls when there is none."""
-    history = table_or_empty(spark, f"{root}/history", HISTORY)
+    history = snapshots(spark, root)
     newest = F.max(F.struct("version", "path", "source")).alias("newest")
     return history.agg(newest).select("newest.version", "newest.path", "newest.source").first()
 

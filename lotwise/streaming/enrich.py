@@ -19,7 +19,7 @@ from lotwise.operators.dedup import keep_last
 from lotwise.operators.joins import only_new
 from lotwise.operators.merge import ALWAYS_SET, SET_IF_PRESENT, apply_details
 from lotwise.operators.pages import extract_details
-from lotwise.sources.readers import table_or_empty
+from lotwise.streaming.batches import FAN_IN, BatchTable
 from lotwise.streaming.sync import stored_listings
 
 PAGES_PER_FILE_BATCH = 50
@@ -56,27 +56,46 @@ def waiting_path(store: str) -> str:
     return f"{store.rstrip('/')}/waiting"
 
 
+def details_table(store: str) -> BatchTable:
+    return BatchTable(details_path(store), DETAIL_LOG)
+
+
+def waiting_table(store: str) -> BatchTable:
+    return BatchTable(waiting_path(store), WAITING)
+
+
 def detail_log(spark: SparkSession, store: str) -> DataFrame:
-    return table_or_empty(spark, details_path(store), DETAIL_LOG)
+    return details_table(store).read(spark)
+
+
+def _still_waiting(pages: DataFrame, log: DataFrame) -> DataFrame:
+    """Pages that no batch has taken since they were left."""
+    taken = log.groupBy("listing_id").agg(F.max(F.struct(*_MOMENT)).alias("_taken"))
+    left = pages.join(taken, "listing_id", "left")
+    return left.filter(F.col("_taken").isNull() | (F.struct(*_MOMENT) > F.col("_taken"))).select(*pages.columns)
 
 
 def waiting_pages(spark: SparkSession, store: str) -> DataFrame:
     """Pages that earlier runs left because of their limit and that no later run has taken."""
-    waiting = table_or_empty(spark, waiting_path(store), WAITING).drop("batch")
-    taken = detail_log(spark, store).groupBy("listing_id").agg(F.max(F.struct(*_MOMENT)).alias("_taken"))
-    left = waiting.join(taken, "listing_id", "left")
-    return left.filter(F.col("_taken").isNull() | (F.struct(*_MOMENT) > F.col("_taken"))).drop("_taken")
+    return _still_waiting(waiting_table(store).read(spark).drop("batch"), detail_log(spark, store))
 
 
 def enrich_batch(
-    pages: DataFrame, batch_id: int, store: str, force: bool = False, run: Run | None = None, keep_rest: bool = True
+    pages: DataFrame,
+    batch_id: int,
+    store: str,
+    force: bool = False,
+    run: Run | None = None,
+    keep_rest: bool = True,
+    fan_in: int = FAN_IN,
 ) -> int:
     """Extract one batch of pages into the detail log; returns how many ids got a usable page.
 
     ``pages`` has ``listing_id`` and ``html`` and, where known, ``landed_at`` and ``file``. Ids
     that already have a usable page are skipped unless ``force``. Of several pages of an id the
     usable one that landed last counts, so a blocked page never replaces a good one. The
-    run's limit takes the first ids; pages of the others are kept waiting.
+    run's limit takes the first ids; pages of the others are kept waiting. ``fan_in`` finished
+    batches are folded into one, without the waiting pages that have been taken.
     """
     spark, run = pages.sparkSession, run or Run()
     for name, kind in (("landed_at", "timestamp"), ("file", "string")):
@@ -91,17 +110,18 @@ def enrich_batch(
         first = spark.createDataFrame(first.collect(), "listing_id string")  # at most the caller's limit
         if keep_rest:
             rest = pages.join(first, "listing_id", "left_anti")
-            rest.write.mode("overwrite").parquet(f"{waiting_path(store)}/batch={batch_id}")
+            waiting_table(store).write(rest, batch_id)
         pages = pages.join(first, "listing_id", "left_semi")
     columns = [name for name in DETAIL_LOG.fieldNames() if name != "batch"]
     details = extract_details(pages, keep=_MOMENT).select(*columns)
     best = keep_last(details, "listing_id", ["matched", *_MOMENT])
-    path = f"{details_path(store)}/batch={batch_id}"
-    best.write.mode("overwrite").parquet(path)
+    path = details_table(store).write(best, batch_id)
     found, taken = spark.read.parquet(path).agg(F.count_if("matched"), F.count(F.lit(1))).first()
     run.enriched += found
     if run.left is not None:
         run.left -= taken
+    details_table(store).fold(spark, batch_id, fan_in)
+    waiting_table(store).fold(spark, batch_id, fan_in, lambda rows: _still_waiting(rows, detail_log(spark, store)))
     return found
 
 
@@ -122,6 +142,7 @@ def start_enrichment(
     limit: int | None = None,
     files_per_batch: int = PAGES_PER_FILE_BATCH,
     run: Run | None = None,
+    fan_in: int = FAN_IN,
 ) -> StreamingQuery:
     """Process landed Parquet files of ``(listing_id, html)`` and stop when caught up.
 
@@ -144,7 +165,7 @@ def start_enrichment(
     )
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        enrich_batch(batch, batch_id, store, force, state)
+        enrich_batch(batch, batch_id, store, force, state, fan_in=fan_in)
 
     return (
         pages.writeStream.foreachBatch(process)
