@@ -15,6 +15,7 @@ sets, go through scratch tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +42,7 @@ BAND_LOW, BAND_HIGH = 0.88, 1.12
 DEFAULT_CONDITION, DEFAULT_TAX = "used", "plate number"
 PRIOR_BASIS = "general_cambodia_market_prior"
 
-_SET = ["_tier", "_b", "_m", "_y"]
+SET = ["_tier", "_b", "_m", "_y"]
 
 
 def market_index(market: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def market_index(market: DataFrame) -> DataFrame:
     )
 
 
-def _choose_sets(asked: DataFrame, slices: DataFrame, matches: DataFrame) -> DataFrame:
+def choose_sets(asked: DataFrame, slices: DataFrame, matches: DataFrame) -> DataFrame:
     """Add ``_tier`` (1, 2, 3 or 0) to every distinct (brand, model, year) asked for."""
     by_year = (
         matches.join(slices, ["_b", "_text"]).groupBy("_b", "_m", "_year").agg(F.sum("weight").alias("_n1"))
@@ -85,7 +86,7 @@ def _choose_sets(asked: DataFrame, slices: DataFrame, matches: DataFrame) -> Dat
     )
 
 
-def _set_key(model: Column, year: Column) -> list[Column]:
+def set_key(model: Column, year: Column) -> list[Column]:
     """Parts of the request that identify its comparables; unused parts are blanked."""
     tier = F.col("_tier")
     return [
@@ -96,52 +97,76 @@ def _set_key(model: Column, year: Column) -> list[Column]:
     ]
 
 
-def _set_medians(sets: DataFrame, counts: DataFrame, slices: DataFrame, matches: DataFrame) -> DataFrame:
-    """Median price, median year and size of each set."""
+def set_medians(
+    sets: DataFrame, counts: DataFrame, slices: DataFrame, matches: DataFrame, brands: DataFrame | None = None
+) -> DataFrame:
+    """Median price, median year and size of each set.
+
+    ``brands`` has those of whole brands (``_b``, ``_median``, ``_ref_year``, ``_size``), if they are known already.
+    """
 
     def rows(members: DataFrame, what: str, value: Column) -> DataFrame:
-        return members.select(*_SET, F.lit(what).alias("_what"), value.cast("double").alias("_amount"), "weight")
+        return members.select(*SET, F.lit(what).alias("_what"), value.cast("double").alias("_amount"), "weight")
 
     named = {tier: sets.filter(F.col("_tier") == tier) for tier in (1, 2, 3)}
     exact = named[1].join(matches, ["_b", "_m"]).withColumn("_year", F.col("_y")).join(counts, ["_b", "_text", "_year"])
     model_sets = named[2].join(matches, ["_b", "_m"])
-    brand_prices = counts.groupBy("_b", "price").agg(F.sum("weight").alias("weight"))
-    brand_years = slices.groupBy("_b", "_year").agg(F.sum("weight").alias("weight"))
     price, year = F.col("price"), F.col("_year")
     parts = [
         rows(exact, "price", price),
         rows(model_sets.join(counts, ["_b", "_text"]), "price", price),
         rows(model_sets.join(slices, ["_b", "_text"]), "year", year),
-        rows(named[3].join(brand_prices, "_b"), "price", price),
-        rows(named[3].join(brand_years, "_b"), "year", year),
     ]
-    keys = [*_SET, "_what"]
-    members = count_values(reduce(DataFrame.unionByName, parts), keys, "_amount", "weight")
-    middle = exact_quantiles(members, keys, "_amount", {"_mid": 0.5}, "_n", "weight")
+    if brands is None:
+        brand_prices = counts.groupBy("_b", "price").agg(F.sum("weight").alias("weight"))
+        brand_years = slices.groupBy("_b", "_year").agg(F.sum("weight").alias("weight"))
+        parts += [
+            rows(named[3].join(brand_prices, "_b"), "price", price),
+            rows(named[3].join(brand_years, "_b"), "year", year),
+        ]
+    stats = _medians(reduce(DataFrame.unionByName, parts), SET)
+    if brands is None:
+        return stats
+    return stats.unionByName(named[3].join(brands, "_b").select(*stats.columns))
+
+
+def _medians(members: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_median`` price, median year ``_ref_year`` and ``_size`` from (keys, _what, _amount, weight)."""
+    by = [*keys, "_what"]
+    middle = exact_quantiles(count_values(members, by, "_amount", "weight"), by, "_amount", {"_mid": 0.5}, "_n", "weight")
     is_price = F.col("_what") == "price"
-    return middle.groupBy(*_SET).agg(
+    return middle.groupBy(*keys).agg(
         F.max(F.when(is_price, F.col("_mid"))).alias("_median"),
         F.max(F.when(~is_price, F.col("_mid"))).alias("_ref_year"),
         F.max(F.when(is_price, F.col("_n"))).alias("_size"),
     )
 
 
+def brand_medians(counts: DataFrame) -> DataFrame:
+    """(_b, _median, _ref_year, _size) of each brand as a whole."""
+    parts = [
+        counts.select("_b", F.lit(what).alias("_what"), F.col(name).cast("double").alias("_amount"), "weight")
+        for what, name in (("price", "price"), ("year", "_year"))
+    ]
+    return _medians(parts[0].unionByName(parts[1]), ["_b"])
+
+
 def comparables(asked: DataFrame, counts: DataFrame) -> DataFrame:
     """Tier, size, median price and median year for distinct (``_b``, ``_m``, ``_y``)."""
     slices = counts.groupBy("_b", "_text", "_year").agg(F.sum("weight").alias("weight"))
     wanted = asked.select("_b", "_m").filter("_b is not null and _m is not null").distinct()
     texts = slices.select("_b", "_text").distinct()
     matches = contains_join(wanted, texts, "_b", "_m", "_text")
-    chosen = _choose_sets(asked.filter("_b is not null"), slices, matches).filter("_tier > 0")
+    chosen = choose_sets(asked.filter("_b is not null"), slices, matches).filter("_tier > 0")
     keyed = through_table(
         chosen.select(
-            F.col("_m").alias("_asked_m"), F.col("_y").alias("_asked_y"), *_set_key(F.col("_m"), F.col("_y"))
+            F.col("_m").alias("_asked_m"), F.col("_y").alias("_asked_y"), *set_key(F.col("_m"), F.col("_y"))
         ),
         "chosen-sets",
     )
-    stats = _set_medians(keyed.select(*_SET).distinct(), counts, slices, matches)
+    stats = set_medians(keyed.select(*SET).distinct(), counts, slices, matches)
     # one brand's set can serve a large share of what was asked
-    return salted_lookup(keyed, stats, _SET, spread_by="_asked_m").select(
+    return salted_lookup(keyed, stats, SET, spread_by="_asked_m").select(
         "_b", F.col("_asked_m").alias("_m"), F.col("_asked_y").alias("_y"), "_tier", "_median", "_ref_year", "_size"
     )
 
@@ -155,6 +180,18 @@ def _bounded(value: Column) -> Column:
     return F.greatest(F.lit(PRICE_MIN), F.least(F.lit(PRICE_MAX), value))
 
 
+def keyed_requests(requests: DataFrame, as_of_year: int) -> DataFrame:
+    """Requests with brand ``_b``, model ``_m`` and year ``_y`` as comparables are looked up by."""
+    default_year = as_of_year - DEFAULT_AGE
+    return requests.withColumns(
+        {
+            "_b": stripped_or_null(F.lower("vehicle_brand")),
+            "_m": stripped_or_null(F.lower("vehicle_model")),
+            "_y": F.coalesce(F.nullif(F.col("vehicle_model_year"), F.lit(0)), F.lit(default_year)).cast("int"),
+        }
+    )
+
+
 def value_requests(
     requests: DataFrame, market: DataFrame, as_of_year: int, index: DataFrame | None = None
 ) -> DataFrame:
@@ -167,16 +204,15 @@ def value_requests(
     ``vehicle_condition``, ``vehicle_tax_type`` and ``vehicle_mileage_km``. Where a set has
     no model year at all, the reference year is ``as_of_year - 5``.
     """
-    default_year = as_of_year - DEFAULT_AGE
-    keyed = requests.withColumns(
-        {
-            "_b": stripped_or_null(F.lower("vehicle_brand")),
-            "_m": stripped_or_null(F.lower("vehicle_model")),
-            "_y": F.coalesce(F.nullif(F.col("vehicle_model_year"), F.lit(0)), F.lit(default_year)).cast("int"),
-        }
-    )
+    keyed = keyed_requests(requests, as_of_year)
     counts = index if index is not None else through_table(market_index(market), "market-index")
     found = comparables(keyed.select("_b", "_m", "_y").distinct(), counts)
+    return priced_requests(keyed, found, requests.columns, as_of_year)
+
+
+def priced_requests(keyed: DataFrame, found: DataFrame, columns: Sequence[str], as_of_year: int) -> DataFrame:
+    """``columns`` of keyed requests and their estimates from the comparables ``found`` for them."""
+    default_year = as_of_year - DEFAULT_AGE
     # requests without a model still find their brand, hence the null-free join key
     model_key = F.coalesce("_m", F.lit("")).alias("_mk")
     stats = found.select("_b", model_key, "_y", "_tier", "_median", "_ref_year", "_size")
@@ -217,7 +253,7 @@ def value_requests(
     )
     price = F.col("predicted_price_usd")
     return priced.select(
-        *requests.columns,
+        *columns,
         "predicted_price_usd",
         F.greatest(F.lit(PRICE_MIN), _hundreds(price * BAND_LOW)).alias("price_range_low_usd"),
         F.least(F.lit(PRICE_MAX), _hundreds(price * BAND_HIGH)).alias("price_range_high_usd"),
