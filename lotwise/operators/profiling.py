@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 from lotwise.contract import GATE_PRICED, GATE_ROWS
 from lotwise.operators.joins import salted_lookup
 from lotwise.operators.quantiles import count_values, exact_quantiles, usable
+from lotwise.session import through_table
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -164,45 +167,96 @@ def histogram(df: DataFrame, value: Column, bins: int = 40) -> DataFrame:
     )
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson matrix in long form, each pair over the rows where both are present.
+def null_pattern_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Sums for correlations, one row for each set of columns that are present together.
 
-    A column without spread gives null instead of a division error. One pass, one row
-    of sums per task.
+    ``pattern`` has a bit for each column; ``n`` rows; arrays ``s`` of sums, ``lo`` and ``hi`` of extremes by
+    column, and ``p`` of sums of products by pair, in the order of :func:`_pairs`. Values are taken from
+    their column's mean first, so that products do not lose digits. At most 2^columns rows.
     """
     numbers = df.select(
-        *[F.when(usable(F.col(name).cast("double")), F.col(name).cast("double")).alias(name) for name in columns]
+        *[F.when(usable(F.col(name).cast("double")), F.col(name).cast("double")).alias(f"_{i}") for i, name in enumerate(columns)]
     )
-    pairs = [(name, name) for name in columns] + list(combinations(columns, 2))
-    sums = numbers.agg(
-        *[
-            F.struct(F.regr_sxy(b, a).alias("xy"), F.regr_sxx(b, a).alias("xx"), F.regr_syy(b, a).alias("yy")).alias(
-                f"_{i}"
-            )
-            for i, (a, b) in enumerate(pairs)
-        ]
+    means = numbers.agg(F.struct(*[F.avg(f"_{i}").alias(f"_{i}") for i in range(len(columns))]).alias("means")).scalar()
+    centred = numbers.withColumn("_means", means).select(
+        *[(F.col(f"_{i}") - F.col(f"_means._{i}")).alias(f"_{i}") for i in range(len(columns))]
+    )
+    bits = [F.when(F.col(f"_{i}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(columns))]
+    marked = centred.withColumn("pattern", reduce(lambda x, y: x + y, bits))
+    grouped = marked.groupBy("pattern").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(f"_{i}").alias(f"s{i}") for i in range(len(columns))],
+        *[F.min(f"_{i}").alias(f"lo{i}") for i in range(len(columns))],
+        *[F.max(f"_{i}").alias(f"hi{i}") for i in range(len(columns))],
+        *[F.sum(F.col(f"_{i}") * F.col(f"_{j}")).alias(f"p{k}") for k, (i, j) in enumerate(_pairs(len(columns)))],
+    )
+    listed = {"s": len(columns), "lo": len(columns), "hi": len(columns), "p": len(_pairs(len(columns)))}
+    return grouped.select(
+        "pattern", "n", *[F.array(*[F.col(f"{name}{i}") for i in range(size)]).alias(name) for name, size in listed.items()]
+    )
+
+
+def _pairs(many: int) -> list[tuple[int, int]]:
+    """Pairs of column numbers: each with itself, then all others."""
+    return [(i, i) for i in range(many)] + list(combinations(range(many), 2))
+
+
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson matrix in long form, each pair over the rows where both are present.
+
+    A column without spread among those rows gives null. Rows are reduced to one row of plain sums for
+    each pattern of missing values, and pairs are put together from these few rows. ``df`` is
+    read twice (means, sums), so it should be a table or a cheap plan.
+    """
+    pairs = _pairs(len(columns))
+    spots = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for k, (i, j) in enumerate(pairs)])
+    empty = [F.lit(0).alias("pattern"), F.lit(0).cast("long").alias("n")]
+    arrays = [F.expr(f"CAST(array() AS array<double>) AS {name}") for name in ("s", "lo", "hi", "p")]
+    # one row without data, so that a table without rows has its lines too
+    patterns = null_pattern_sums(df, columns).unionByName(df.sparkSession.range(1).select(*empty, *arrays))
+    both = patterns.select("*", F.explode(spots).alias("pair")).select("*", "pair.*")
+    has = F.col("pattern").bitwiseAND(F.expr("shiftleft(1, i) | shiftleft(1, j)")) == F.expr("shiftleft(1, i) | shiftleft(1, j)")
+
+    def of(name: str, spot: str) -> Column:
+        return F.when(has, F.get(name, F.col(spot)))
+
+    sums = both.groupBy("i", "j").agg(
+        F.sum(F.when(has, F.col("n"))).alias("n"),
+        F.sum(of("s", "i")).alias("x"),
+        F.sum(of("s", "j")).alias("y"),
+        F.sum(of("p", "i")).alias("xx"),
+        F.sum(of("p", "j")).alias("yy"),
+        F.sum(of("p", "k")).alias("xy"),
+        ((F.max(of("hi", "i")) > F.min(of("lo", "i"))) & (F.max(of("hi", "j")) > F.min(of("lo", "j")))).alias("spread"),
     )
 
-    def line(i: int, a: str, b: str) -> Column:
-        strength = F.try_divide(F.col(f"_{i}.xy"), F.sqrt(F.col(f"_{i}.xx")) * F.sqrt(F.col(f"_{i}.yy")))
-        return F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), strength.alias("corr"))
+    def around(product: str, a: str, b: str) -> Column:
+        return F.col(product) - F.col(a) * F.col(b) / F.col("n")
 
-    lines = [line(i, a, b) for i, (a, b) in enumerate(pairs)]
-    mirrored = [line(i, b, a) for i, (a, b) in enumerate(pairs) if a != b]
-    return sums.select(F.inline(F.array(*lines, *mirrored)))
+    strength = F.when(F.col("i") == F.col("j"), F.when(F.isnan("xx"), F.lit(float("nan"))).otherwise(1.0)).otherwise(
+        F.try_divide(around("xy", "x", "y"), F.sqrt(around("xx", "x", "x")) * F.sqrt(around("yy", "y", "y")))
+    )
+    names = F.array(*[F.lit(name) for name in columns])
+    line = sums.select(F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), F.when(F.col("spread"), strength).alias("corr"))
+    ends = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))
+    return line.select(F.explode(F.array_distinct(ends)).alias("ends"), "corr").select("ends.x", "ends.y", "corr")
 
 
 def box_stats(df: DataFrame, key: str, value: str, reach: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers within ``reach``·IQR, outliers."""
-    rows = count_values(df, [key], value)
-    boxes = exact_quantiles(rows, [key], value, QUARTILES, weight="weight")
+    return _boxes(count_values(df, [key], value), [key], value, reach)
+
+
+def _boxes(rows: DataFrame, keys: Sequence[str], value: str, reach: float) -> DataFrame:
+    """Box-plot numbers of counted values (keys, value, weight)."""
+    boxes = exact_quantiles(rows, keys, value, QUARTILES, weight="weight")
     spread = F.col("q3") - F.col("q1")
     fences = boxes.withColumns({"_low": F.col("q1") - reach * spread, "_high": F.col("q3") + reach * spread})
-    fenced = salted_lookup(rows, fences, [key], spread_by=value)
+    fenced = salted_lookup(rows, fences, keys, spread_by=value)
     inside = F.col(value).between(F.col("_low"), F.col("_high"))
     same = ["n", "q1", "median", "q3"]
     return (
-        fenced.groupBy(key)
+        fenced.groupBy(*keys)
         .agg(
             *[F.first(name).alias(name) for name in same],
             F.min(F.when(inside, F.col(value))).alias("_least"),
@@ -210,10 +264,58 @@ def box_stats(df: DataFrame, key: str, value: str, reach: float = 1.5) -> DataFr
             F.sum(F.when(inside, 0).otherwise(F.col("weight"))).alias("outliers"),
         )
         .select(
-            key,
+            *keys,
             *same,
             F.least("_least", "q1").alias("whisker_low"),
             F.greatest("_most", "q3").alias("whisker_high"),
             "outliers",
         )
     )
+
+
+@dataclass(frozen=True)
+class Leaders:
+    """The ``limit`` most frequent groups of a dimension, ties by name; ``exclude`` are not ranked."""
+
+    limit: int
+    exclude: tuple[str, ...] = ()
+
+
+def counts_by_dimension(
+    df: DataFrame, dimensions: Sequence[str], value: str, weight: str | None = None
+) -> DataFrame:
+    """(dimension, group, value, weight): how often each value occurs in each group of each dimension.
+
+    One scan serves all dimensions: every row stands for itself in each of them and is counted before
+    anything is shuffled. A missing value keeps its count, a missing group is left out. ``weight`` names
+    a column that says how many rows a row stands for.
+    """
+    number = F.col(value).cast("double") + F.lit(0.0)
+    number = F.when(usable(number), number).alias(value)
+    places = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("group")) for d in dimensions])
+    times = (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("weight")
+    placed = df.select(F.explode(places).alias("_place"), number, times).select("_place.*", value, "weight")
+    counted = placed.filter(F.col("group").isNotNull()).groupBy("dimension", "group", value)
+    return counted.agg(F.sum("weight").alias("weight"))
+
+
+def box_stats_many(
+    df: DataFrame, dimensions: Mapping[str, Leaders | None], value: str, reach: float = 1.5
+) -> DataFrame:
+    """Box-plot numbers of several dimensions, as (dimension, group, …), from one read of ``df``.
+
+    The counts of :func:`counts_by_dimension` are written once; quartiles, fences and leading
+    groups all come from them.
+    """
+    counts = through_table(counts_by_dimension(df, list(dimensions), value), "dimension-counts")
+    sizes = counts.groupBy("dimension", "group").agg(F.sum("weight").alias("_rows"))
+    for dimension, leaders in dimensions.items():
+        if leaders is None:
+            continue
+        of_it = F.col("dimension") == dimension
+        ranked = sizes.filter(of_it & ~F.col("group").isin(*leaders.exclude)) if leaders.exclude else sizes.filter(of_it)
+        first = ranked.orderBy(F.desc("_rows"), "group").limit(leaders.limit).select("dimension", "group")
+        # at most ``limit`` rows are broadcast
+        kept = counts.join(F.broadcast(first), ["dimension", "group"], "left_semi")
+        counts = counts.filter(~of_it).unionByName(kept)
+    return _boxes(counts.filter(F.col(value).isNotNull()), ["dimension", "group"], value, reach)

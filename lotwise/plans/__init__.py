@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("market_queries", "merge_queries", "valuation_queries", "text_queries", "feed_queries")
+_MODULES = ("market_queries", "merge_queries", "valuation_queries", "text_queries", "feed_queries", "store_queries")
 
 
 def load_all() -> None:

@@ -9,8 +9,18 @@ from lotwise.contract import CLEAN_COLUMNS
 from lotwise.functions.text import contains_ignoring_case, equals_ignoring_case
 from lotwise.functions.times import instant
 from lotwise.operators import cleaning, market, profiling
-from lotwise.plans.listing_view import AS_OF_YEAR, CLEAN_SQL, LISTING_SQL, RULES, clean_listings, listings, stored_clean
-from lotwise.plans.registry import query, table
+from lotwise.plans.listing_view import (
+    AS_OF_YEAR,
+    CLEAN_SQL,
+    LISTING_SQL,
+    ORDER,
+    RULES,
+    clean_listings,
+    listings,
+    stored_clean,
+)
+from lotwise.plans.registry import SQL, query, table
+from lotwise.session import scratch_dir
 from lotwise.sources.writers import encode_json_cells, head_rows, sample_rows
 
 AS_OF = "2002-01-01 12:00:00"
@@ -66,6 +76,14 @@ def _clean_audit(spark, folder):
     return cleaning.rule_audit(listings(spark, folder, ["listing_id"]), RULES)
 
 
+@query("clean_observed", SQL["clean_audit"])
+def _clean_observed(spark, folder):
+    """The audit of the cleaning, counted by the job that writes the clean table."""
+    observed = cleaning.ObservedCleaning(listings(spark, folder, ["listing_id", "price"]), RULES, ORDER, ["listing_id", "price"])
+    observed.rows.write.parquet(scratch_dir(spark, "clean-observed"))
+    return observed.audit()
+
+
 @query(
     "integrity_checks",
     f"""WITH {CLEAN_SQL},
@@ -368,6 +386,31 @@ def _box_stats_by_seller_type(spark, folder):
     return _boxes(stored_clean(spark, folder, ["seller_type", "price"]), "seller_type")
 
 
+_BOX_DIMENSIONS = {
+    "vehicle_brand": profiling.Leaders(12, ("unknown",)),
+    "province": profiling.Leaders(6),
+    "vehicle_tax_type": None,
+    "vehicle_condition": None,
+    "seller_type": None,
+}
+
+
+def _all_boxes_sql() -> str:
+    parts = []
+    for key, leaders in _BOX_DIMENSIONS.items():
+        boxes = _box_sql(key, _top_filter(key, leaders.limit) if leaders else "true")
+        parts.append(f"""SELECT '{key}' AS dimension, {key} AS "group", * EXCLUDE ({key}) FROM ({boxes})""")
+    return " UNION ALL ".join(parts)
+
+
+@query("box_stats_all", _all_boxes_sql())
+def _box_stats_all(spark, folder):
+    """The five box queries from one read of the cleaned listings."""
+    rows = clean_listings(spark, folder, [*_BOX_DIMENSIONS, "price"])
+    boxes = profiling.box_stats_many(rows, _BOX_DIMENSIONS, "price")
+    return rounded(boxes, "q1", "median", "q3", "whisker_low", "whisker_high")
+
+
 def _histogram_sql(value: str) -> str:
     return f"""WITH {CLEAN_SQL},
 p AS (SELECT {value} AS x FROM clean),
@@ -408,7 +451,7 @@ f AS (
 )
 def _feature_correlation(spark, folder):
     needed = "price vehicle_model_year view_count vehicle_condition vehicle_tax_type province seller_type".split()
-    featured = market.with_price_features(clean_listings(spark, folder, needed), AS_OF_YEAR)
+    featured = market.with_price_features(stored_clean(spark, folder, needed), AS_OF_YEAR)
     return rounded(profiling.correlations(featured, _FEATURES), "corr", digits=6)
 
 

@@ -26,5 +26,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def parts_of(spark: SparkSession) -> int:
+    """Tasks that queries deal costly rows over: as many as the session's shuffles have."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

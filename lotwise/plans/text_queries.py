@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import flags, numbers, phones, specs, text, times
 from lotwise.functions.titles import BRAND_ALIASES, BRANDS, MODELS, with_brand_model
+from lotwise.operators import dictionary
 from lotwise.operators.cleaning import standardise_categories
-from lotwise.plans.registry import query, table
+from lotwise.plans.registry import SQL, parts_of, query, table
+from lotwise.session import dealt
 
 
 def pick(index, *choices):
@@ -227,6 +229,12 @@ SELECT p_partkey,
 FROM p JOIN b ON i = p_partkey % {len(BRANDS)} JOIN m ON j = p_partkey % {len(_MODEL_LIST)}""",
 )
 def _title_brand_model(spark, folder):
+    named = with_brand_model(_titles(spark, folder))
+    return named.select("p_partkey", "vehicle_brand", "vehicle_model")
+
+
+def _titles(spark, folder):
+    """Titles of all kinds from the part table."""
     part = table(spark, folder, "part")
     key = F.col("p_partkey")
     brand = F.element_at(F.lit(BRANDS), (key % len(BRANDS) + 1).cast("int"))
@@ -245,10 +253,40 @@ def _title_brand_model(spark, folder):
         F.concat(F.lit("("), F.lower("model"), F.lit(") in good condition")),
         F.concat(F.lit("x"), one_word, F.lit(" "), one_word, F.lit("y "), last),
     )
-    named = with_brand_model(titles.select("p_partkey", title.alias("listing_title")))
+    return titles.select("p_partkey", title.alias("listing_title"))
+
+
+@query("title_dictionary", SQL["title_brand_model"])
+def _title_dictionary(spark, folder):
+    """The same titles, with brands and models as tables."""
+    brands = [(name, i, BRAND_ALIASES.get(name, name)) for i, name in enumerate(BRANDS)]
+    models = [(name, i, brand) for i, (name, brand) in enumerate((m, b) for b, names in MODELS.items() for m in names)]
+    named = dictionary.with_brand_model_from(
+        _titles(spark, folder),
+        spark.createDataFrame(brands, "name string, position int, canonical string"),
+        spark.createDataFrame(models, "name string, position int, brand string"),
+    )
     return named.select("p_partkey", "vehicle_brand", "vehicle_model")
 
 
+@query(
+    "title_part_names",
+    """WITH name AS (SELECT p_name AS name, min(p_partkey) AS position FROM part GROUP BY 1),
+title AS (SELECT p_partkey, upper(p_type) || ' (' || p_name || '), not ' || p_brand || ' ' || lower(p_name) || 's' AS title FROM part)
+SELECT p_partkey, name, instr(lower(title), lower(name)) AS "at" FROM title JOIN name
+  ON regexp_matches(lower(title), '(^|[^a-z0-9_])' || lower(name) || '($|[^a-z0-9_])')
+QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY length(name) DESC, position, name) = 1""",
+)
+def _title_part_names(spark, folder):
+    """All part names as the dictionary: the longest one that stands in a title as whole words."""
+    part = table(spark, folder, "part")
+    names = part.groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("position"))
+    title = F.concat(F.upper("p_type"), F.lit(" ("), "p_name", F.lit("), not "), "p_brand", F.lit(" "), F.lower("p_name"), F.lit("s"))
+    titles = part.select("p_partkey", title.alias("title"))
+    found = dictionary.find_names(titles, names, "title", boundary=dictionary.WORD)
+    return titles.join(found, "title").select("p_partkey", "found.name", F.col("found.at").cast("long").alias("at"))
+
+
 @query(
     "category_text",
     """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'used' WHEN 1 THEN 'used' WHEN 2 THEN 'unknown' WHEN 3 THEN ''
@@ -313,9 +351,9 @@ def _spec_map(spark, folder):
         row(F.when(F.col("l_linestatus") == "O", F.lit("color")), "none", value=" White "),
         row("transmission", display=F.when(F.col("l_returnflag") != "R", F.col("l_returnflag"))),
     )
-    mapped = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", specs.mapped_rows(rows).alias("mapped")
-    )
+    used = "l_orderkey l_linenumber l_partkey l_quantity l_shipdate l_linestatus l_returnflag".split()
+    lines = dealt(table(spark, folder, "lineitem").select(*used), parts_of(spark), "l_orderkey")
+    mapped = lines.select("l_orderkey", "l_linenumber", "l_partkey", specs.mapped_rows(rows).alias("mapped"))
     values = specs.column_values(F.col("mapped"))
     kept = ["vehicle_model_year", "vehicle_mileage_km", "vehicle_color", "vehicle_transmission"]
     return mapped.select("l_orderkey", "l_linenumber", "l_partkey", *[values[name].alias(name) for name in kept])

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lotwise.operators import comparables_index
 from lotwise.operators.cleaning import reject_requests
 from lotwise.operators.valuation import value_requests
 from lotwise.plans.listing_view import AS_OF_YEAR, CLEAN_SQL, RULES, clean_listings
 from lotwise.plans.registry import query, table
+from lotwise.session import scratch_dir
 
 # Requested model by kind of request. Part names are "<adjective> <noun>".
 _KINDS = ("exact", "brand_model", "brand", "prior")
@@ -138,6 +140,16 @@ for _kind in _KINDS:
 _register("value_batch", None)
 
 
+@query("value_indexed", f"{_ESTIMATE_SQL} SELECT request_id, {', '.join(_OUTPUT)} FROM estimates")
+def _value_indexed(spark, folder):
+    """Two batches of requests from one index."""
+    index = comparables_index.build(_market(spark, folder), scratch_dir(spark, "comparables"), buckets=8)
+    asked, model_kinds = _requests(spark, folder), F.col("kind").isin("exact", "brand_model")
+    batches = [asked.filter(model_kinds), asked.filter(~model_kinds)]
+    first, second = [comparables_index.value_indexed(batch, index, AS_OF_YEAR).select("request_id", *_OUTPUT) for batch in batches]
+    return first.unionByName(second)
+
+
 @query(
     "request_validation",
     """WITH r AS (

@@ -60,3 +60,12 @@ def through_table(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """Rows dealt over ``parts`` tasks by ``keys``; left where they are if ``parts`` is None.
+
+    For costly work on each row of a table that is one row group of one file, which no split size
+    divides. Tables of many splits need none.
+    """
+    return df if parts is None else df.repartition(parts, *keys)

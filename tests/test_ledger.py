@@ -1,0 +1,59 @@
+import random
+from statistics import median
+
+from lotwise.contract import RAW
+from lotwise.operators.merge import conform
+from lotwise.sources import bucket_store
+from lotwise.sources.bucket_store import Layout
+from lotwise.streaming.ledger import ValueLedger
+
+
+def batch_rows(rng, number):
+    return [
+        (str(rng.randrange(40)), rng.choice(["kia", "ford", None]), rng.choice([None, 1.0, 2.5, 7.0, 9.0]), f"{number}-{i:02}")
+        for i in range(25)
+    ]
+
+
+def expected(store):
+    """(dimension, group) -> (listings, valued, median) of a plain dictionary of rows."""
+    groups = {}
+    for brand, price in store.values():
+        for place in (("all", "all"), *([("vehicle_brand", brand)] if brand else [])):
+            groups.setdefault(place, []).append(price)
+    out = {}
+    for place, prices in groups.items():
+        priced = [p for p in prices if p is not None]
+        out[place] = (len(prices), len(priced), median(priced) if priced else None)
+    return out
+
+
+def test_ledger_follows_the_store(spark, tmp_path):
+    rng, store, root = random.Random(3), {}, str(tmp_path / "store")
+    book = ValueLedger(str(tmp_path / "ledger"), ["vehicle_brand"], "price")
+    for number in range(4):
+        rows = batch_rows(rng, number)
+        batch = conform(spark.createDataFrame(rows, "listing_id string, vehicle_brand string, price double, scraped_at string"), RAW)
+        changes = bucket_store.changes(batch, root, ["scraped_at"])
+        for _ in range(2 if number == 2 else 1):  # a repeated batch replaces itself
+            book.add(changes, number, fan_in=2)
+        bucket_store.upsert(batch, root, ["scraped_at"], layout=Layout(4))
+        store |= {i: (brand, price) for i, brand, price, _ in rows}
+    got = {(r.dimension, r.group): (r.listings, r.valued, r["median"]) for r in book.groups(spark).collect()}
+    assert got == expected(store) and book.table.file_sets(spark)
+    one = book.groups(spark, limit=1).filter("dimension = 'vehicle_brand'").collect()
+    top = min(((-v[0], k[1]) for k, v in got.items() if k[0] == "vehicle_brand"))
+    assert [(r.group, -r.listings) for r in one] == [(top[1], top[0])]
+
+
+def test_changes_take_out_what_they_replace(spark, tmp_path):
+    root, schema = str(tmp_path / "store"), "listing_id string, price double"
+    first = spark.createDataFrame([("1", 5.0), ("2", 6.0)], schema)
+    assert {r.sign for r in bucket_store.changes(first, root).collect()} == {1}
+    bucket_store.upsert(first, root, layout=Layout(2))
+    again = bucket_store.changes(spark.createDataFrame([("2", 9.0), ("3", 1.0)], schema), root).collect()
+    assert sorted((r.sign, r.listing_id, r.price) for r in again) == [(-1, "2", 6.0), (1, "2", 9.0), (1, "3", 1.0)]
+    book = ValueLedger(str(tmp_path / "ledger"), [], "price")
+    assert book.groups(spark).collect() == []
+    book.add(spark.createDataFrame([(5.0, 1), (5.0, -1)], "price double, sign int"), 0)
+    assert book.counts(spark).collect() == []
