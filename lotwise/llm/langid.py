@@ -137,9 +137,13 @@ class Model:
         """Best language of each word of one text under the switching penalty."""
         total = scores.sum(0)
         best = int(total.argmax())
-        # One language throughout is optimal if no run of words gains more than a switch costs.
-        gain = np.concatenate([[0.0], np.cumsum((scores - scores[:, [best]]).max(1))])
-        if (gain - np.minimum.accumulate(gain)).max() <= self.switch:
+        # One language throughout is optimal if no other path gains more than its switches cost. A run of
+        # another language pays for one switch, so no run may gain more than that; of a path without the best
+        # language, first and last run share one.
+        apart = scores - scores[:, [best]]
+        gain = np.concatenate([np.zeros((1, scores.shape[1])), np.cumsum(apart, axis=0)])
+        run = (gain - np.minimum.accumulate(gain, axis=0)).max()
+        if run <= self.switch and gain.max() + (gain[-1] - gain).max() <= self.switch:
             return np.full(len(scores), best)
         rows = scores.tolist()
         value, back = rows[0], []

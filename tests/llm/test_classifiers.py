@@ -177,6 +177,35 @@ def test_path_is_the_best_of_all_paths():
         assert value(model.path(scores)) == pytest.approx(value(best))
 
 
+def test_short_cut_to_one_language_changes_no_path():
+    """Whole paths of long texts, with and without runs that are worth a switch."""
+    rng = np.random.default_rng(11)
+
+    def by_steps(scores, switch):
+        value, back = scores[0], []
+        for row in scores[1:]:
+            floor = value.max() - switch
+            stay = value >= floor
+            back.append(np.where(stay, np.arange(len(value)), value.argmax()))
+            value = np.where(stay, value, floor) + row
+        path = [int(value.argmax())]
+        for step in reversed(back):
+            path.append(int(step[path[-1]]))
+        return path[::-1]
+
+    for trial in range(300):
+        many = int(rng.integers(1, 40))
+        scores = rng.normal(scale=rng.choice([0.3, 1.0, 4.0]), size=(many, 3))
+        scores[:, 1] += rng.choice([0.0, 0.5, 3.0])
+        if trial % 3 == 0:  # a run, or an end, of another language
+            low = int(rng.integers(0, many))
+            scores[low : low + int(rng.integers(1, 9)), 2] += 3.0
+        if trial % 7 == 0:
+            scores[:, 0] -= 1e6
+        model = langid.Model(("a", "b", "c"), np.zeros((3, 1)), np.ones((1, 3), bool), 4.0)
+        assert model.path(scores).tolist() == by_steps(scores, 4.0)
+
+
 @pytest.fixture(scope="module")
 def languages(spark):
     words = {"aa": "bal dor kim sul", "bb": "chet vosh zhin ptak", "gr": "λογος δημος"}
