@@ -11,6 +11,7 @@ Decoding concatenates the token bytes, which needs no window.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from lotwise.llm.common import bound_batches, extended, slices, texts
 
 LEAF_BYTES = 24
-CACHED_PIECES = 1 << 17
+CACHED_PIECES = 1 << 18
 BATCH_BYTES = 8 << 20
 
 
@@ -109,16 +110,25 @@ class Encoder:
 
 
 class _Pieces(dict):
-    """Packed token ids of the pieces met so far."""
+    """Packed token ids of the pieces met so far.
+
+    When it is full, the pieces become the older ones, and those before them are forgotten. A
+    piece that is met again comes back from the older ones, so frequent pieces are encoded once.
+    """
 
     def __init__(self, encoder: Encoder):
         super().__init__()
         self.encoder = encoder
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHED_PIECES:
+            self.older = dict(self)
             self.clear()
-        found = self[piece] = np.array(self.encoder.encode(piece.encode()), np.int32).tobytes()
+        found = self.older.get(piece)
+        if found is None:
+            found = array("i", self.encoder.encode(piece.encode())).tobytes()
+        self[piece] = found
         return found
 
 
@@ -127,7 +137,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
     A null or empty text has no ids. Columns other than ``text`` pass unchanged, except one
     named ``ids``, which is replaced. Text travels through no shuffle; a task keeps at most
-    ``CACHED_PIECES`` encoded pieces.
+    twice ``CACHED_PIECES`` encoded pieces.
     """
     docs = bound_batches(docs)
     kept = [c for c in docs.columns if c != ids]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -95,3 +96,11 @@ def test_unknown_words_are_one_token(spark):
     docs = spark.createDataFrame([(1, "ab ax")], "doc_id long, text string")
     row = token_counts.count_tokens(docs, [b"a", b"b", b" "], public_tokenizers.PATTERN).first()
     assert (row.n_words, row.n_tokens) == (2, 3)
+
+
+def test_pieces_that_were_pushed_out_come_back(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 3)
+    known = bpe._Pieces(bpe.Encoder(RANKS))
+    for piece in "one two three four one five six one seven two two eight nine".split() * 3:
+        assert np.frombuffer(known[piece], np.int32).tolist() == LIBRARY.encode_ordinary(piece)
+        assert len(known) <= 3 and len(known.older) <= 3
