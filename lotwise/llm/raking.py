@@ -29,6 +29,15 @@ def _value(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(MISSING))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """One side of a join that rounds repeat: joined by sorting.
+
+    It would be broadcast otherwise, and the driver would hold every round's copies until they
+    are collected.
+    """
+    return df.hint("merge")
+
+
 def cells(docs: DataFrame, dimensions: Sequence[str], weight: str) -> DataFrame:
     """(dimensions, tokens): summed weights; a null value is a category of its own."""
     keyed = docs.select(*[_value(d).alias(f"_{d}") for d in dimensions], F.col(weight).alias("_w"))
@@ -143,14 +152,14 @@ def rake_bounded(
                 F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("free"),
                 F.sum("weight").alias("every"),
             )
-            factors = sums.join(goal, f"_{dimension}").select(f"_{dimension}", factor.alias("factor"))
-            table = table.join(factors, f"_{dimension}").withColumn("weight", F.col("weight") * F.col("factor"))
+            factors = sums.join(_small(goal), f"_{dimension}").select(f"_{dimension}", factor.alias("factor"))
+            table = table.join(_small(factors), f"_{dimension}").withColumn("weight", F.col("weight") * F.col("factor"))
             table = table.drop("factor")
         table = stored(table, "cells")
         worst = None
         for dimension, goal in goals.items():
             now = table.groupBy(f"_{dimension}").agg(F.sum(F.least("weight", "tokens")).alias("now"))
-            off = now.join(goal, f"_{dimension}").select(F.abs(F.col("now") - F.col("goal")).alias("off"))
+            off = now.join(_small(goal), f"_{dimension}").select(F.abs(F.col("now") - F.col("goal")).alias("off"))
             worst = off if worst is None else worst.union(off)
         error = worst.agg(F.max("off")).first()[0] if worst is not None else None
         if error is None or error <= tolerance * kept:
