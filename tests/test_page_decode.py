@@ -82,10 +82,9 @@ def test_random_tables_equal_a_plain_decoder():
 @pytest.mark.parametrize(
     ("entries", "want"),
     [
-        ([["Shallow", 1], {"title": 2, "price": 3}, "Kia", "448"], [["Shallow", {"title": "Kia", "price": "448"}], {"title": "Kia", "price": "448"}, "Kia", "448"]),
-        ([{"year": 1}, 2024], [{"year": 2024}, 2024]),
-        ([{"self": 0}], [{"self": {"self": "<cycle>"}}]),
-        ([{"price": 10800}], [{"price": 10800}]),
+        ([["Wrap", 2, 9], "blue", {"hue": 1, "deep": [1, -1]}], [["Wrap", {"hue": "blue", "deep": ["blue", -1]}, 9], "blue", {"hue": "blue", "deep": ["blue", -1]}]),
+        ([{"n": 1, "far": 500}, 77], [{"n": 77, "far": 500}, 77]),
+        ([[0, 1], {"me": 1}], [[["<cycle>", {"me": "<cycle>"}], {"me": "<cycle>"}], {"me": {"me": "<cycle>"}}]),
         ([{"a": 1}, {"b": 0}], [{"a": {"b": {"a": "<cycle>"}}}, {"b": {"a": "<cycle>"}}]),
         ([], []),
     ],
