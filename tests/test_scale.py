@@ -136,3 +136,17 @@ def test_a_repeated_value_is_one_row_before_the_join(spark, conf):
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     below_join = plan[plan.index("Join") :]
     assert "partial_sum" in below_join
+
+
+def test_landed_files_do_not_follow_the_sessions_partitions(spark, conf, small_sf, monkeypatch):
+    class Landed(Exception):
+        pass
+
+    def land(session, landing, *_, **__):
+        raise Landed(len(session.read.text(landing).inputFiles()))
+
+    conf(spark__sql__shuffle__partitions="24")
+    monkeypatch.setattr("lotwise.streaming.sync.start_sync", land)
+    with pytest.raises(Landed) as landed:
+        entry_points.queries()["stream_sync"](spark, small_sf)
+    assert 1 <= landed.value.args[0] <= 8  # was 24: six batches a portion
