@@ -96,6 +96,25 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, ro
         yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
 
 
+def segments(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(key, start, stop) of the runs of a sorted array."""
+    cuts = np.flatnonzero(np.diff(keys)) + 1
+    starts, stops = np.append(0, cuts), np.append(cuts, len(keys))
+    for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
+        if stop > start:
+            yield int(keys[start]), start, stop
+
+
+def squeezed(data: bytes) -> bytes:
+    """Compressed, after its length; messages are written, shuffled and read more than once."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if data else b""
+
+
+def expanded(cell: bytes) -> bytes:
+    size = int.from_bytes(cell[:8], "little")
+    return pa.decompress(cell[8:], size, codec="zstd", asbytes=True) if size else b""
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser: well-spread 64-bit hashes of 64-bit integers."""
     z = values.astype(np.uint64, copy=True)

@@ -13,8 +13,8 @@ one set has and the other lacks is a token that they do not share, which bounds
 intersection from above. What is left joins into candidate groups, a node's text goes to the
 tasks of its group, and there blocks of sets are compared as matrices.
 
-No task emits the pairs of a group. A prefix token that many nodes share sends their bitmaps
-to block tasks, and these as well as the final comparison return spanning forests only, which
+No task emits the pairs of a group. A prefix token that many nodes share, or several tokens that
+about the same nodes share, send their bitmaps to block tasks, and these as well as the final comparison return spanning forests only, which
 is all that the classes need.
 """
 
@@ -29,7 +29,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import bound_batches, mix64, shuffle_partitions, slices, stored, string_hashes, word_lists
+from lotwise.llm.common import (
+    bound_batches,
+    expanded,
+    mix64,
+    segments,
+    shuffle_partitions,
+    slices,
+    squeezed,
+    stored,
+    string_hashes,
+    word_lists,
+)
 from lotwise.llm.components import components
 from lotwise.llm.vector_dedup import forest
 
@@ -39,6 +50,7 @@ CHUNK_BITS = 14
 SMALL_GROUP = 16
 BLOCK = 512
 COLUMNS = 8192
+POSTINGS = 1 << 20  # of each order, dealt to their shards at once
 MAP_BITS = 23
 ORDERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -83,8 +95,8 @@ def _spot(tokens: np.ndarray) -> np.ndarray:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """Four to eight bits for each token of a set, a power of two in all."""
-    bits = max(64, 1 << (4 * len(tokens) - 1).bit_length())
+    """Two to four bits for each token of a set, a power of two in all."""
+    bits = max(64, 1 << (2 * len(tokens) - 1).bit_length())
     flags = np.zeros(bits, np.uint8)
     flags[(tokens >> np.uint64(20)).astype(np.int64) & (bits - 1)] = 1
     return np.packbits(flags, bitorder="little").tobytes()
@@ -125,7 +137,7 @@ def _scanned(source: DataFrame, width: int) -> DataFrame:
             arrays = [batch.column("id"), *numbers, pa.array(maps, pa.binary()), *rest]
             yield pa.RecordBatch.from_arrays(arrays, names)
         if met:
-            parts = [part.tobytes() for part in total.reshape(-1, 1 << CHUNK_BITS)]
+            parts = [squeezed(part.tobytes()) for part in total.reshape(-1, 1 << CHUNK_BITS)]
             empty = [pa.nulls(len(parts), kind) for kind in (of, pa.int64(), pa.int64(), pa.binary())]
             arrays = [*empty, pa.array(range(len(parts)), pa.int32()), pa.array(parts)]
             yield pa.RecordBatch.from_arrays(arrays, names)
@@ -145,7 +157,7 @@ def frequency_classes(scanned: DataFrame) -> np.ndarray:
         total = np.zeros(chunk, np.int64)
         for batch in batches:
             for counts in batch.column("counts"):
-                total += np.frombuffer(counts.as_py(), np.uint32)
+                total += np.frombuffer(expanded(counts.as_py()), np.uint32)
         yield pa.RecordBatch.from_arrays(
             [pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["piece", "counts"]
         )
@@ -160,44 +172,61 @@ def frequency_classes(scanned: DataFrame) -> np.ndarray:
 def _postings(
     source: DataFrame, classes: np.ndarray, width: int, percent: int, orders: Sequence[int], shards: int
 ) -> DataFrame:
-    """(shard, place, token, node, size): each set's prefix under each order, once in a task.
+    """Messages (shard, place, token, node, size) of each set's prefix under each order, once in a task.
 
-    Within a shard, 32 bits tell tokens apart; two that agree only add candidates.
+    A cell holds the numbers of many postings, tokens as differences. Within a shard, 32 bits
+    tell tokens apart; two that agree only add candidates.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
+        kept: list[list[tuple[np.ndarray, int, int]]] = [[] for _ in orders]
+        waiting = 0
         for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
-            out: list[list[np.ndarray]] = [[], [], [], []]
             for node, found in _nodes(batch.column("text"), width):
                 if node is None or node in met:
                     continue
                 met.add(node)
                 late = classes[_spot(found)].astype(np.uint64) << np.uint64(58)
                 length = len(found) - -(-percent * len(found) // 100) + 1
-                for place, seed in enumerate(orders):
+                for own, seed in zip(kept, orders, strict=True):
                     ranked = late | (mix64(found ^ np.uint64(seed)) >> np.uint64(6))
-                    first = np.partition(ranked, length - 1)[:length]
-                    out[0].append(np.full(length, place, np.int32))
-                    out[1].append(first)
-                    out[2].append(np.full(length, node, np.int64))
-                    out[3].append(np.full(length, len(found), np.int32))
-            if out[0]:
-                place, token, node, size = (np.concatenate(part) for part in out)
-                token = mix64(token)
-                shard = (token % np.uint64(shards)).astype(np.int32)
-                token = (token >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                arrays = [pa.array(x) for x in (shard, place, token, node, size)]
-                yield pa.RecordBatch.from_arrays(arrays, ["shard", "place", "token", "node", "size"])
-
-    return source.select("text").mapInArrow(run, "shard int, place int, token int, node long, size int")
+                    own.append((np.partition(ranked, length - 1)[:length].copy(), node, len(found)))
+                waiting += length
+                if waiting >= POSTINGS:
+                    yield deal(kept)
+                    kept, waiting = [[] for _ in orders], 0
+        if waiting:
+            yield deal(kept)
+
+    def deal(kept: list[list[tuple[np.ndarray, int, int]]]) -> pa.RecordBatch:
+        messages = []
+        for place, sets in enumerate(kept):
+            lengths = [len(first) for first, _, _ in sets]
+            token = mix64(np.concatenate([first for first, _, _ in sets]))
+            key = token % np.uint64(shards) << np.uint64(32) | token >> np.uint64(32)
+            order = np.argsort(key)
+            key = key[order]
+            node = np.repeat(np.array([node for _, node, _ in sets], np.int64), lengths)[order]
+            size = np.repeat(np.array([size for _, _, size in sets], np.int32), lengths)[order]
+            for shard, start, stop in segments(key >> np.uint64(32)):
+                tokens = np.diff(key[start:stop] & np.uint64(0xFFFFFFFF), prepend=np.uint64(0)).astype(np.uint32)
+                cells = [squeezed(x.tobytes()) for x in (tokens, node[start:stop], size[start:stop])]
+                messages.append((shard, place, *cells))
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
+        arrays = [pa.array(c, k) for c, k in zip(zip(*messages, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["shard", "place", "token", "node", "size"])
+
+    return source.select("text").mapInArrow(run, "shard int, place int, token binary, node binary, size binary")
 
 
 def _meet(percent: int):
-    """Pairs (kind 0) of small groups; token and node (kind 1) of each member of a large one."""
+    """Pairs (kind 0) of small groups; token, node and least node (kind 1) of each member of a large one."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        token, node, size = (group.column(c).to_numpy() for c in ("token", "node", "size"))
+        cells = {name: [expanded(cell) for cell in group.column(name).to_pylist()] for name in ("token", "node", "size")}
+        token = np.concatenate([np.cumsum(np.frombuffer(cell, np.uint32), dtype=np.uint32) for cell in cells["token"]])
+        node, size = np.frombuffer(b"".join(cells["node"]), np.int64), np.frombuffer(b"".join(cells["size"]), np.int32)
         order = np.lexsort((node, token))
         token, node, size = token[order], node[order], size[order]
         new = np.ones(len(token), bool)
@@ -213,27 +242,28 @@ def _meet(percent: int):
             near = np.minimum(size[low], size[high]) * 100 >= percent * np.maximum(size[low], size[high])
             pairs.append(np.stack([node[low[near]], node[high[near]]], 1))
         for start, count in zip(starts[counts > SMALL_GROUP], counts[counts > SMALL_GROUP], strict=True):
-            name = key[0].as_py() << 32 | int(token[start]) & 0xFFFFFFFF
-            links.append(np.stack([np.full(count, name), node[start : start + count]], 1))
-        both = []
-        for kind, parts in enumerate((pairs, links)):
-            found = np.unique(np.concatenate(parts), axis=0) if parts else np.zeros((0, 2), np.int64)
-            both.append((np.full(len(found), kind, np.int32), found[:, 0], found[:, 1]))
-        kind, a, b = (np.concatenate(part) for part in zip(*both, strict=True))
+            own = node[start : start + count]
+            name = key[0].as_py() << 32 | int(token[start])
+            links.append(np.stack([np.full(count, name), own, np.full(count, own[0])], 1))
+        near = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+        large = np.concatenate(links) if links else np.zeros((0, 3), np.int64)
+        a, b = np.append(near[:, 0], large[:, 0]), np.append(near[:, 1], large[:, 1])
+        kind = np.repeat(np.array([0, 1], np.int32), [len(near), len(large)])
         place = np.full(len(kind), key[1].as_py(), np.int32)
-        return pa.table({"place": place, "kind": kind, "a": a, "b": b})
+        least = pa.array(np.append(np.zeros(len(near), np.int64), large[:, 2]), mask=kind == 0)
+        return pa.table({"place": place, "kind": kind, "a": a, "b": b, "least": least})
 
     return run
 
 
 def _met(postings: DataFrame, percent: int, orders: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs that meet under all orders, and members (token, node) of the first order's large groups.
+    """Pairs that meet under all orders, and members (token, node, least) of the first order's large groups.
 
     A pair counts as met under an order if it shares a token of a small group, or if both
     nodes stand in large groups of that order.
     """
-    met = postings.groupBy("shard", "place").applyInArrow(_meet(percent), "place int, kind int, a long, b long")
-    met = stored(met, "met")
+    schema = "place int, kind int, a long, b long, least long"
+    met = stored(postings.groupBy("shard", "place").applyInArrow(_meet(percent), schema), "met")
     members = met.where("kind = 1")
     pairs = met.where("kind = 0 and place = 0").select("a", "b").distinct()
     for place in range(1, orders):
@@ -246,7 +276,24 @@ def _met(postings: DataFrame, percent: int, orders: int) -> tuple[DataFrame, Dat
             .where(F.col("met") | (F.col("hot_a") & F.col("hot_b")))
             .select("a", "b")
         )
-    return pairs, members.where("place = 0").select(F.col("a").alias("token"), F.col("b").alias("node"))
+    first = members.where("place = 0")
+    return pairs, first.select(F.col("a").alias("token"), F.col("b").alias("node"), "least")
+
+
+def _merged_groups(members: DataFrame) -> DataFrame:
+    """(grp, node, n): members of large groups and the size of their group, groups of about the same nodes as one.
+
+    The copies of one text share most of their prefixes, so that each of them lies in dozens of groups of
+    nearly the same nodes. Groups with the same least node become one if together they have at most twice the
+    nodes of the largest of them. All pairs of a group stay in one group.
+    """
+    tokens = members.groupBy("token").agg(F.first("least").alias("least"), F.count(F.lit(1)).alias("n"))
+    largest = tokens.groupBy("least").agg(F.max("n").alias("largest"))
+    together = members.select("least", "node").distinct().groupBy("least").agg(F.count(F.lit(1)).alias("all"))
+    joined = together.join(largest, "least").where(F.col("all") <= 2 * F.col("largest")).select("least", "all")
+    group = F.when(F.col("all").isNull(), F.col("token")).otherwise(F.col("least")).alias("grp")
+    names = tokens.join(joined, "least", "left").select("token", group, F.coalesce("all", "n").alias("n"))
+    return members.select("token", "node").join(names, "token").select("grp", "node", "n").distinct()
 
 
 def _filter_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
@@ -275,13 +322,13 @@ def _filter_members(members: DataFrame, maps: DataFrame, percent: int, tasks: in
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         crossing = key[1].as_py() != key[2].as_py()
-        rows = rows.sort_by("token")
-        token, node, size, block = (rows.column(c).to_numpy() for c in ("token", "node", "size", "block"))
+        rows = rows.sort_by("grp")
+        group, node, size, block = (rows.column(c).to_numpy() for c in ("grp", "node", "size", "block"))
         maps = [np.frombuffer(b, np.uint8) for b in rows.column("bits").to_pylist()]
         width = np.array([len(m) for m in maps])
-        cuts = np.flatnonzero(np.diff(token)) + 1
+        cuts = np.flatnonzero(np.diff(group)) + 1
         out = []
-        for start, stop in zip(np.append(0, cuts), np.append(cuts, len(token)), strict=True):
+        for start, stop in zip(np.append(0, cuts), np.append(cuts, len(group)), strict=True):
             for wide in np.unique(width[start:stop]):  # widths of sizes that can link differ by one step at most
                 at = width[start:stop]
                 own = start + np.flatnonzero((at == wide) | (at == 2 * wide))
@@ -301,13 +348,13 @@ def _filter_members(members: DataFrame, maps: DataFrame, percent: int, tasks: in
         found = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
-    counts = members.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(counts, "token").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    placed = _merged_groups(members).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # groups of one block share tasks, by the hash of their token
-    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("token"), F.lit(tasks))).otherwise(F.col("token"))
+    # groups of one block share tasks, by the hash of their name
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("grp"), F.lit(tasks))).otherwise(F.col("grp"))
     low, high = F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high")
-    placed = placed.select("token", "node", "block", task.alias("task"), low, high)
+    placed = placed.select("grp", "node", "block", task.alias("task"), low, high)
     joined = placed.join(maps, "node").groupBy("task", "low", "high")
     return joined.applyInArrow(run, "a long, b long")
 

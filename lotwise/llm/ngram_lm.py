@@ -26,7 +26,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import bound_batches, gathered, mix64, shuffle_partitions, stored, string_hashes, word_lists
+from lotwise.llm.common import (
+    bound_batches,
+    expanded,
+    gathered,
+    mix64,
+    segments,
+    shuffle_partitions,
+    squeezed,
+    stored,
+    string_hashes,
+    word_lists,
+)
 from lotwise.llm.elias_fano import Trie, quantise, restore
 
 FREQUENT = (1 << 20) - 1
@@ -172,26 +183,17 @@ def _vocabulary(unigrams: DataFrame, documents: int, partitions: int) -> Vocabul
     return Vocabulary(total, int(distinct), documents, hashes[order], counts, shards)
 
 
-def _with_kinds(vocabulary: Vocabulary, source: DataFrame) -> Vocabulary:
-    """The vocabulary with the distinct successors of each context that is dealt in parts.
+def _successors(vocabulary: Vocabulary, split: np.ndarray, source: DataFrame) -> DataFrame:
+    """Messages (shard, codes) of the distinct successors that a task met of each context of ``split``.
 
-    A successor is one number of the context's place and the low bits of the word's hash; each
-    is counted once, in Spark. Only the counts of the contexts, at most 4 * shards, are collected.
+    A code is the context's place and the low bits of the word's hash. A context's codes are dealt over as many
+    shards as it has parts; a code is always sent to the same shard.
     """
-    contexts = np.append(vocabulary.hashes, np.uint64(BEGIN))
-    split = np.unique(contexts[vocabulary.parts(contexts) > 1])
-    if len(split) == 0:
-        return vocabulary
+    parts = vocabulary.parts(split)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
         waiting = 0
-
-        def flush() -> pa.RecordBatch:
-            codes = np.unique(np.concatenate(kept))
-            kept.clear()
-            return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64))], ["code"])
-
         for batch in gathered(batches, "text", SLICE_BYTES, SLICE_ROWS):
             tokens = Tokens.of(batch.column("text"))
             at = np.minimum(np.searchsorted(split, tokens.hashes), len(split) - 1)
@@ -200,14 +202,46 @@ def _with_kinds(vocabulary: Vocabulary, source: DataFrame) -> Vocabulary:
             kept.append(np.unique(at[tokens.context[own]].astype(np.uint64) << np.uint64(WORD_BITS) | low))
             waiting += len(kept[-1])
             if waiting > 2_000_000:
-                yield flush()
-                waiting = 0
-        if kept:
-            yield flush()
+                yield deal(np.unique(np.concatenate(kept)))
+                kept, waiting = [], 0
+        if waiting:
+            yield deal(np.unique(np.concatenate(kept)))
+
+    def deal(codes: np.ndarray) -> pa.RecordBatch:
+        place = (codes >> np.uint64(WORD_BITS)).astype(np.int64)
+        part = (codes >> np.uint64(24)).astype(np.int64) & (np.minimum(parts[place], 1 << WORD_BITS - 24) - 1)
+        with np.errstate(over="ignore"):
+            mixed = mix64(split[place] + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        shard = (mixed % np.uint64(vocabulary.shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        cells = [
+            (number, squeezed(np.diff(codes[order[a:b]], prepend=np.uint64(0)).tobytes()))
+            for number, a, b in segments(shard[order])
+        ]
+        numbers, packed = zip(*cells, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(packed, pa.binary())], ["shard", "codes"])
+
+    return source.where(~F.col("held")).select("text").mapInArrow(run, "shard int, codes binary")
 
-    codes = source.where(~F.col("held")).select("text").mapInArrow(run, "code long").distinct()
-    place = F.shiftrightunsigned("code", WORD_BITS).cast("int")
-    counted = codes.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+
+def _with_kinds(vocabulary: Vocabulary, source: DataFrame) -> Vocabulary:
+    """The vocabulary with the distinct successors of each context that is dealt in parts.
+
+    Each successor is counted once, in the one shard it is sent to. Only the counts of the contexts, at most
+    4 * shards, are collected.
+    """
+    contexts = np.append(vocabulary.hashes, np.uint64(BEGIN))
+    split = np.unique(contexts[vocabulary.parts(contexts) > 1])
+    if len(split) == 0:
+        return vocabulary
+
+    def count(table: pa.Table) -> pa.Table:
+        codes = [np.cumsum(np.frombuffer(expanded(cell), np.uint64)) for cell in table.column("codes").to_pylist()]
+        places, times = np.unique(np.unique(np.concatenate(codes)) >> np.uint64(WORD_BITS), return_counts=True)
+        return pa.table({"place": places.astype(np.int32), "n": times.astype(np.int64)})
+
+    counts = _successors(vocabulary, split, source).groupBy("shard").applyInArrow(count, "place int, n long")
+    counted = counts.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     kinds = np.zeros(len(split), np.int64)
     kinds[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
     return replace(vocabulary, split=split, kinds=kinds)
@@ -224,18 +258,8 @@ def _unpack_places(packed: np.ndarray) -> np.ndarray:
     return wide.view(np.uint32).ravel().astype(np.int64)
 
 
-def _squeezed(data: bytes) -> bytes:
-    """Compressed, after its length; messages are written, shuffled and read more than once."""
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if data else b""
-
-
-def _expanded(cell: bytes) -> bytes:
-    size = int.from_bytes(cell[:8], "little")
-    return pa.decompress(cell[8:], size, codec="zstd", asbytes=True) if size else b""
-
-
 def _message(kind: int, shard: int, *columns: np.ndarray) -> tuple:
-    filled = [_squeezed(c.tobytes()) for c in columns]
+    filled = [squeezed(c.tobytes()) for c in columns]
     return (kind, shard, *filled, *[b""] * (5 - len(filled)))
 
 
@@ -245,15 +269,6 @@ def _batch(messages: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], NAMES)
 
 
-def _segments(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(key, start, stop) of the runs of a sorted array."""
-    cuts = np.flatnonzero(np.diff(keys)) + 1
-    starts, stops = np.append(0, cuts), np.append(cuts, len(keys))
-    for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
-        if stop > start:
-            yield int(keys[start]), start, stop
-
-
 def _occurrences(source: DataFrame, vocabulary: Vocabulary, row_shards: int) -> DataFrame:
     """Messages to the shards of contexts, and one for the rows of each slice.
 
@@ -285,10 +300,10 @@ def _occurrences(source: DataFrame, vocabulary: Vocabulary, row_shards: int) ->
             np.bincount(tokens.doc, base[tokens.word], size),
         )
         order = np.argsort(row_shard, kind="stable")
-        for shard, start, stop in _segments(row_shard[order]):
+        for shard, start, stop in segments(row_shard[order]):
             own = order[start:stop]
             names = batch.select(["id", "held"]).take(pa.array(own))
-            yield (*_message(ROWS, shard, rows[own], *(column[own] for column in sums))[:6], _squeezed(_packed(names)))
+            yield (*_message(ROWS, shard, rows[own], *(column[own] for column in sums))[:6], squeezed(_packed(names)))
         # (shard, context, word) in one number: places fit 21 bits, as a slice has fewer words
         parts = vocabulary.parts(tokens.hashes)[tokens.context]
         part = (tokens.hashes[tokens.word] >> np.uint64(40)).astype(np.int64) & (parts - 1)
@@ -305,7 +320,7 @@ def _occurrences(source: DataFrame, vocabulary: Vocabulary, row_shards: int) ->
         mask = (1 << wide) - 1
         word, context = pair & mask, (pair >> wide) & mask
         trained = np.add.reduceat(~held[doc], starts, dtype=np.int64) if len(starts) else starts
-        for number, a, b in _segments(pair >> (2 * wide)):
+        for number, a, b in segments(pair >> (2 * wide)):
             begin, end = starts[a], starts[b - 1] + times[b - 1]
             new = np.flatnonzero(np.append(True, np.diff(context[a:b]) != 0))
             own, listed = word[a:b], place[word[a:b]]
@@ -331,18 +346,18 @@ def _by_row_shard(kind: int, row_shards: int, rows: np.ndarray, *values: np.ndar
     """Messages to the shards of sorted rows; rows are sent as differences."""
     shard = (mix64(rows) % np.uint64(row_shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    for number, a, b in _segments(shard[order]):
+    for number, a, b in segments(shard[order]):
         own = order[a:b]
         yield _message(kind, number, np.diff(rows[own], prepend=0), *(value[own] for value in values))
 
 
 def _rows_of(table: pa.Table) -> np.ndarray:
-    parts = [np.cumsum(np.frombuffer(_expanded(a), np.int64)) for a in table.column("a").to_pylist()]
+    parts = [np.cumsum(np.frombuffer(expanded(a), np.int64)) for a in table.column("a").to_pylist()]
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def _column(table: pa.Table, name: str, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(map(_expanded, table.column(name).to_pylist())), dtype)
+    return np.frombuffer(b"".join(map(expanded, table.column(name).to_pylist())), dtype)
 
 
 def _look_up(
@@ -392,12 +407,12 @@ def _score_shard(vocabulary: Vocabulary, row_shards: int, discount: float):
     def answer(table: pa.Table) -> Iterator[tuple]:
         contexts, times, trained, rows = [], [], [], []
         for a, d, e in zip(*(table.column(c).to_pylist() for c in "ade"), strict=True):
-            hashes, runs = np.frombuffer(_expanded(a), np.int64).reshape(2, -1)
+            hashes, runs = np.frombuffer(expanded(a), np.int64).reshape(2, -1)
             contexts.append(np.repeat(hashes, runs))
-            pair = np.frombuffer(_expanded(d), np.uint32).reshape(2, -1)
+            pair = np.frombuffer(expanded(d), np.uint32).reshape(2, -1)
             times.append(pair[0])
             trained.append(pair[1])
-            places = np.frombuffer(_expanded(e), np.uint16)
+            places = np.frombuffer(expanded(e), np.uint16)
             rows.append(places[4:] + places[:4].view(np.int64)[0])
         context = np.concatenate(contexts).view(np.uint64)
         times, trained, rows = np.concatenate(times), np.concatenate(trained), np.concatenate(rows)
@@ -425,7 +440,7 @@ def _score_shard(vocabulary: Vocabulary, row_shards: int, discount: float):
         ends = np.cumsum(times)
         to = word[left].view(np.int64) % vocabulary.shards  # as pmod does
         order = left[np.argsort(to, kind="stable")]
-        for number, a, b in _segments(np.sort(to)):
+        for number, a, b in segments(np.sort(to)):
             entry = order[a:b]
             sizes = times[entry]
             picks = np.arange(sizes.sum()) + np.repeat(ends[entry] - sizes - np.cumsum(sizes) + sizes, sizes)
@@ -484,7 +499,7 @@ def _finish(key: tuple, table: pa.Table) -> pa.Table:
     score = np.bincount(np.searchsorted(rows, _rows_of(scores)), _column(scores, "b", np.float64), len(rows))
     at = np.searchsorted(rows, _rows_of(counts))
     known, sums = (np.bincount(at, _column(counts, name, np.float64), len(rows)) for name in ("b", "c"))
-    names = pa.concat_tables([pa.ipc.open_stream(_expanded(e)).read_all() for e in base.column("e").to_pylist()])
+    names = pa.concat_tables([pa.ipc.open_stream(expanded(e)).read_all() for e in base.column("e").to_pylist()])
     columns = {
         "n_tokens": _column(base, "b", np.int64)[order],
         "n_known": (known + _column(base, "c", np.int64)[order]).astype(np.int64),

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lotwise.llm import elias_fano, jaccard_join, ngram_lm, raking
@@ -128,6 +129,20 @@ def shingles(text, width):
     return frozenset(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
 
 
+def test_successors_of_split_contexts_travel_in_few_messages(spark):
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(f"hot {word}" for word in words[i::3]) for i in range(3)] * 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    source = ngram_lm._source(docs, "doc_id", "text", F.lit(False))
+    vocabulary = ngram_lm._vocabulary(ngram_lm._unigrams(source), len(texts), 4)
+    hot = np.array([xxhash.xxh64_intdigest(b"hot", 0)], np.uint64)
+    assert vocabulary.parts(hot)[0] > 1
+    sent = ngram_lm._successors(vocabulary, hot, source).collect()
+    assert 1 < len(sent) <= 4 * vocabulary.shards  # was one row for each successor and task: 400 or more
+    known = ngram_lm._with_kinds(vocabulary, source)
+    assert known.split_kinds(hot)[0] == 300
+
+
 def jaccard_brute(texts, width, percent):
     sets = {i: shingles(t, width) for i, t in texts.items()}
     parent = {i: i for i in texts}
@@ -189,6 +204,42 @@ def test_join_of_one_large_group(spark, monkeypatch):
     assert {r.id: (r.n_shingles, r.component_id) for r in rows} == jaccard_brute(texts, 4, 85)
 
 
+def near_copies(spark, copies):
+    random.seed(14)
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for i in range(copies):
+        copy = list(base)
+        for _ in range(3):
+            copy[random.randrange(400)] = f"x{i}"
+        texts.append(" ".join(copy))
+    return spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(4)
+
+
+def test_prefixes_travel_in_few_messages(spark):
+    docs = near_copies(spark, 60)
+    classes = np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8)
+    sent = jaccard_join._postings(docs, classes, 4, 85, jaccard_join.ORDERS, 5).collect()
+    assert len(sent) <= 4 * 2 * 5  # was one row for each prefix token: about 7,000
+
+
+def test_groups_of_the_same_nodes_are_one(spark):
+    """A set whose prefix lies in many large groups goes to a few of them, and no pair of a group is lost."""
+    docs = near_copies(spark, 60)
+    classes = np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8)
+    sent = jaccard_join._postings(docs, classes, 4, 85, jaccard_join.ORDERS, 5)
+    _, members = jaccard_join._met(sent, 85, 2)
+    tokens, groups = collections.defaultdict(set), collections.defaultdict(set)
+    for r in members.collect():
+        tokens[r.token].add(r.node)
+    for r in jaccard_join._merged_groups(members).collect():
+        groups[r.grp].add(r.node)
+        assert r.n >= 2
+    assert all(any(nodes <= group for group in groups.values()) for nodes in tokens.values())
+    # was one bitmap for each token and node
+    assert 5 * sum(map(len, groups.values())) < sum(map(len, tokens.values()))
+
+
 def test_join_of_odd_documents(odd_documents, no_documents):
     rows = jaccard_join.jaccard_classes(odd_documents).collect()
     assert len(rows) == odd_documents.count()
