@@ -154,8 +154,8 @@ def rake_bounded(
             )
             factors = sums.join(_small(goal), f"_{dimension}").select(f"_{dimension}", factor.alias("factor"))
             table = table.join(_small(factors), f"_{dimension}").withColumn("weight", F.col("weight") * F.col("factor"))
-            table = table.drop("factor")
-        table = stored(table, "cells")
+            # written for each dimension: sums of sums would double the plan each time, and the driver holds it
+            table = stored(table.drop("factor"), "cells")
         worst = None
         for dimension, goal in goals.items():
             now = table.groupBy(f"_{dimension}").agg(F.sum(F.least("weight", "tokens")).alias("now"))
