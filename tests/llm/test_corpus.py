@@ -372,3 +372,21 @@ def test_a_rare_document_does_not_shrink_the_sample(spark):
         after = kept([*rows, rare])
         assert after[9999] == pytest.approx(1)
         assert max(abs(after[i] - p) for i, p in before.items()) < 0.01
+
+
+def test_rounds_of_raking_have_small_plans(spark, monkeypatch):
+    rows = [(f"a{i % 2}", f"b{i % 3}", f"c{i % 4}", float(i + 1)) for i in range(12)]
+    cell_table = spark.createDataFrame(rows, "_a string, _b string, _c string, tokens double")
+    targets = {
+        d: spark.createDataFrame([(f"{d}{i}", 1.0 / n) for i in range(n)], "value string, share double")
+        for d, n in (("a", 2), ("b", 3), ("c", 4))
+    }
+    leaves, stored = [], raking.stored
+
+    def counted(df, label):
+        leaves.append(df._jdf.queryExecution().analyzed().collectLeaves().size())
+        return stored(df, label)
+
+    monkeypatch.setattr(raking, "stored", counted)
+    raking.rake_bounded(cell_table, targets, 0.5, rounds=1)
+    assert max(leaves) <= 4  # was 15: doubled by each dimension
