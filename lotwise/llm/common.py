@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,9 @@ from pyspark.sql.types import StructType
 from lotwise.session import scratch_dir
 
 
+LARGE_GROUP = 1 << 20
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether a row is kept out of training; a null id is never trained on."""
     fold = F.crc32(doc_id.cast("string").cast("binary")) % modulus
@@ -96,6 +100,41 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, ro
         yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, as workers live on between tasks with all they have ever held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def giving_back(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``; the memory it has freed is returned at the end of the task."""
+
+    def whole(batches: Batches) -> Batches:
+        yield from run(batches)
+        _give_back()
+
+    return whole
+
+
+def giving_back_group(run: Callable[[tuple, pa.Table], pa.Table]) -> Callable[[tuple, pa.Table], pa.Table]:
+    """``run`` for ``applyInArrow``; the memory it has freed is returned after each group of some size."""
+
+    def whole(key: tuple, group: pa.Table) -> pa.Table:
+        large = group.nbytes > LARGE_GROUP
+        found = run(key, group)
+        del group
+        if large:
+            _give_back()
+        return found
+
+    return whole
+
+
 def segments(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(key, start, stop) of the runs of a sorted array."""
     cuts = np.flatnonzero(np.diff(keys)) + 1

@@ -8,6 +8,11 @@ import tempfile
 import numpy as np
 
 CHUNK = 1 << 16
+# place of each byte's first, second, ... bit that is set; 8 if there are fewer
+SET_BITS = np.full((256, 8), 8, np.uint8)
+for _byte in range(256):
+    _set = [bit for bit in range(8) if _byte >> bit & 1]
+    SET_BITS[_byte, : len(_set)] = _set
 
 
 def _pack(values: np.ndarray, bits: int) -> np.ndarray:
@@ -67,12 +72,13 @@ class EliasFano:
 
     def _place(self, rank: np.ndarray, before: np.ndarray, word: np.ndarray, want_one: bool) -> np.ndarray:
         """Position of the bit with ``rank`` given the count before its word."""
-        bits = np.unpackbits(self.high[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        if not want_one:
-            bits = 1 - bits
-        seen = np.cumsum(bits, axis=1, dtype=np.uint8)
-        inside = (seen <= (rank - before).astype(np.uint8)[:, None]).sum(1)
-        return word * 64 + inside
+        octets = (self.high[word] if want_one else ~self.high[word]).view(np.uint8).reshape(-1, 8)
+        through = np.cumsum(np.bitwise_count(octets), axis=1, dtype=np.uint8)
+        left = (rank - before).astype(np.uint8)
+        octet = np.minimum((through <= left[:, None]).sum(1), 7)
+        row = np.arange(len(word))
+        left -= np.where(octet > 0, through[row, octet - 1], np.uint8(0))
+        return word * 64 + octet * 8 + SET_BITS[octets[row, octet], np.minimum(left, 7)]
 
     def _select_one(self, rank: np.ndarray) -> np.ndarray:
         word = np.searchsorted(self.ones, rank, side="right") - 1
@@ -171,7 +177,11 @@ class Trie:
 
     def find(self, owner: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(probability of each word after its context, 0 if unseen; back-off weight of the context)."""
-        first, stop = self.pointers.access(owner).astype(np.int64), self.pointers.access(owner + 1).astype(np.int64)
+        if len(owner) > len(self.contexts):
+            bounds = self.pointers.access(np.arange(len(self.contexts) + 1)).astype(np.int64)
+            first, stop = bounds[owner], bounds[owner + 1]
+        else:
+            first, stop = (self.pointers.access(at).astype(np.int64) for at in (owner, owner + 1))
         keys = owner.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)
         at = self.successors.successor(first, stop, keys)
         found = at < stop

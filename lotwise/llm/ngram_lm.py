@@ -30,6 +30,8 @@ from lotwise.llm.common import (
     bound_batches,
     expanded,
     gathered,
+    giving_back,
+    giving_back_group,
     mix64,
     segments,
     shuffle_partitions,
@@ -43,8 +45,10 @@ from lotwise.llm.elias_fano import Trie, quantise, restore
 FREQUENT = (1 << 20) - 1
 SLICE_BYTES = 5 << 20
 SLICE_ROWS = 65_535
-STEPS = 4  # a shard's contexts are worked off in so many steps
+STEPS = 8  # a shard's contexts are worked off in so many steps
 SHARD_TOKENS = 2_000_000
+WAITING = 500_000  # words of several slices that a task counts together
+SENT_ROWS = 1 << 16
 MOST_PARTS = 1 << 24
 WORD_BITS = 42  # of a word's hash, in the numbers that distinct successors are counted by
 DISCOUNT = 0.75
@@ -105,25 +109,31 @@ def _unigrams(source: DataFrame) -> DataFrame:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         waiting = 0
 
-        def flush() -> pa.RecordBatch:
-            hashes, place = np.unique(np.concatenate([h for h, _ in kept]), return_inverse=True)
-            counts = np.bincount(place, np.concatenate([n for _, n in kept])).astype(np.int64)
+        def flush() -> Iterator[pa.RecordBatch]:
+            hashes, counts = (np.concatenate(part) for part in zip(*kept, strict=True))
             kept.clear()
-            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["hash", "n"])
+            order = np.argsort(hashes)
+            hashes, counts = hashes[order], counts[order]
+            starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+            hashes, counts = hashes[starts].view(np.int64), np.add.reduceat(counts, starts)
+            # small batches, as the JVM holds each whole beside its heap
+            for at in range(0, len(hashes), SENT_ROWS):
+                own = slice(at, at + SENT_ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[own]), pa.array(counts[own])], ["hash", "n"])
 
         for batch in gathered(batches, "text", SLICE_BYTES, SLICE_ROWS):
             tokens = Tokens.of(batch.column("text"))
             counts = np.bincount(tokens.word, minlength=len(tokens.hashes))
             kept.append((tokens.hashes[counts > 0], counts[counts > 0]))
             waiting += int((counts > 0).sum())
-            if waiting > 2_000_000:
-                yield flush()
+            if waiting > WAITING:
+                yield from flush()
                 waiting = 0
         if kept:
-            yield flush()
+            yield from flush()
 
     train = source.where(~F.col("held")).select("text")
-    return train.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return train.mapInArrow(giving_back(run), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -163,6 +173,12 @@ class Vocabulary:
         share = self.context_counts(hashes) * (4.0 * self.shards / max(self.tokens, 1))
         return np.minimum(2 ** np.ceil(np.log2(np.maximum(share, 1.0))).astype(np.int64), MOST_PARTS)
 
+    def dealt(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether each context is dealt in parts."""
+        if len(self.split) == 0:
+            return np.zeros(len(hashes), bool)
+        return self.split[np.minimum(np.searchsorted(self.split, hashes), len(self.split) - 1)] == hashes
+
     def split_kinds(self, hashes: np.ndarray) -> np.ndarray:
         """Number of distinct successors of contexts that are dealt in parts; 0 for any other."""
         if len(self.split) == 0:
@@ -221,7 +237,7 @@ def _successors(vocabulary: Vocabulary, split: np.ndarray, source: DataFrame) ->
         numbers, packed = zip(*cells, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(packed, pa.binary())], ["shard", "codes"])
 
-    return source.where(~F.col("held")).select("text").mapInArrow(run, "shard int, codes binary")
+    return source.where(~F.col("held")).select("text").mapInArrow(giving_back(run), "shard int, codes binary")
 
 
 def _with_kinds(vocabulary: Vocabulary, source: DataFrame) -> Vocabulary:
@@ -334,7 +350,7 @@ def _occurrences(source: DataFrame, vocabulary: Vocabulary, row_shards: int) ->
                 np.append(rows[:1].view(np.uint16), doc[begin:end].astype(np.uint16)),
             )
 
-    return source.mapInArrow(run, MESSAGE)
+    return source.mapInArrow(giving_back(run), MESSAGE)
 
 
 def _sum_rows(rows: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -365,9 +381,11 @@ def _look_up(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Discounted probability and back-off weight of each entry, from the trie of all of them."""
     # one context's parts are separate contexts
-    parts = vocabulary.parts(context)
-    part = (word >> np.uint64(40)).astype(np.int64) & (parts - 1)
+    part = np.zeros(len(context), np.int64)
+    in_parts = np.flatnonzero(vocabulary.dealt(context))
+    part[in_parts] = (word[in_parts] >> np.uint64(40)).astype(np.int64) & (vocabulary.parts(context[in_parts]) - 1)
     level, owner = np.unique(context ^ mix64(part.astype(np.uint64)), return_inverse=True)
+    del part, in_parts
     low = word & np.uint64(0xFFFFFFFF)
     pair, place = np.unique(owner.astype(np.uint64) << np.uint64(32) | low, return_inverse=True)
     count = np.bincount(place, trained, len(pair))
@@ -375,7 +393,7 @@ def _look_up(
     first = np.zeros(len(level), np.int64)
     first[owner] = np.arange(len(owner))
     own = np.bincount(of, count, len(level))
-    dealt = parts[first] > 1
+    dealt = vocabulary.dealt(context[first])
     whole = np.where(dealt, vocabulary.context_counts(context[first]), own)
     seen = count > 0
     kinds = np.bincount(of[seen], minlength=len(level))
@@ -414,7 +432,9 @@ def _score_shard(vocabulary: Vocabulary, row_shards: int, discount: float):
             trained.append(pair[1])
             places = np.frombuffer(expanded(e), np.uint16)
             rows.append(places[4:] + places[:4].view(np.int64)[0])
+        # a shard has millions of tokens: its arrays go as soon as they have been used
         context = np.concatenate(contexts).view(np.uint64)
+        del contexts
         times, trained, rows = np.concatenate(times), np.concatenate(trained), np.concatenate(rows)
         listed = _unpack_places(_column(table, "b", np.uint8))
         rare = listed == FREQUENT
@@ -422,17 +442,19 @@ def _score_shard(vocabulary: Vocabulary, row_shards: int, discount: float):
         word[~rare] = vocabulary.hashes[listed[~rare]]
         word[rare] = _column(table, "c", np.uint64)
         chance, weight = np.zeros(len(word)), np.zeros(len(word))
-        step = (context >> np.uint64(32)) % np.uint64(STEPS)
+        step = ((context >> np.uint64(32)) % np.uint64(STEPS)).astype(np.uint8)
         for number in range(STEPS):
             own = np.flatnonzero(step == number)
             if len(own):
                 chance[own], weight[own] = _look_up(vocabulary, discount, context[own], word[own], trained[own])
-        score = np.zeros(len(listed))
+        del context, trained, step
         plain = ~rare
-        score[plain] = np.log10(chance[plain] + weight[plain] * vocabulary.unigram(vocabulary.counts[listed[plain]]))
-        known = np.repeat(plain, times)
-        sums = _sum_rows(rows[known], np.repeat(score[plain], times[plain]))
+        score = np.log10(chance[plain] + weight[plain] * vocabulary.unigram(vocabulary.counts[listed[plain]]))
+        del listed
+        sums = _sum_rows(rows[np.repeat(plain, times)], np.repeat(score, times[plain]))
+        del score
         yield from _by_row_shard(SCORES, row_shards, *sums)
+        del sums
         left = np.flatnonzero(rare)
         if len(left) == 0:
             return
@@ -531,7 +553,7 @@ def score(
     messages = _occurrences(source, vocabulary, partitions)
     group = ("shard", "kind")
     answers = stored(
-        messages.groupBy(*group).applyInArrow(_score_shard(vocabulary, partitions, discount), MESSAGE), "answers"
+        messages.groupBy(*group).applyInArrow(giving_back_group(_score_shard(vocabulary, partitions, discount)), MESSAGE), "answers"
     )
     counts = unigrams.withColumn("shard", F.pmod("hash", F.lit(vocabulary.shards)).cast("int"))
     rare = answers.where(F.col("kind") == RARE).groupBy("shard")
@@ -541,7 +563,7 @@ def score(
         answers.where(F.col("kind") != RARE)
         .union(finished)
         .groupBy("shard")
-        .applyInArrow(_finish, f"id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
+        .applyInArrow(giving_back_group(_finish), f"id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
     )
     whole = float(np.log10(vocabulary.whole))
     return sums.select(

@@ -1,0 +1,80 @@
+"""What a task sends at once, and what a worker keeps when a task is over."""
+
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from lotwise.llm import common, ngram_lm
+from lotwise.llm.elias_fano import EliasFano
+
+
+class Taken(Exception):
+    pass
+
+
+class Source:
+    """Stands for a DataFrame and keeps the function that its tasks would run."""
+
+    columns = ["text"]
+
+    def where(self, condition):
+        return self
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        raise Taken
+
+
+def taken(make) -> list[pa.RecordBatch]:
+    source = Source()
+    with pytest.raises(Taken):
+        make(source)
+    words = [f"w{i % 4000:05d}" for i in range(24_000)]
+    texts = [" ".join(words[i : i + 40]) + f" own{i}" for i in range(0, len(words), 40)]
+    return list(source.run(iter([pa.RecordBatch.from_pydict({"text": texts[i : i + 100]}) for i in range(0, 600, 100)])))
+
+
+def test_word_counts_leave_a_task_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "SENT_ROWS", 1000, raising=False)
+    batches = taken(lambda source: ngram_lm._unigrams(source))
+    assert len(batches) > 1 and max(batch.num_rows for batch in batches) <= 1000
+    rows = pa.Table.from_batches(batches)
+    assert sum(rows.column("n").to_pylist()) == 24_000 + 600 + 600  # words, own words and ends
+    assert len(set(rows.column("hash").to_pylist())) == 4000 + 600 + 1
+
+
+def test_word_counts_are_sent_before_many_words_wait(spark, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "WAITING", 100, raising=False)
+    monkeypatch.setattr(ngram_lm, "SLICE_BYTES", 1000)
+    batches = taken(lambda source: ngram_lm._unigrams(source))
+    assert len(batches) > 10
+    assert sum(pa.Table.from_batches(batches).column("n").to_pylist()) == 24_000 + 600 + 600
+
+
+def test_workers_return_freed_memory(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "_give_back", lambda: calls.append(1))
+    rows = common.giving_back(lambda batches: (batch * 2 for batch in batches))(iter([1, 2]))
+    assert next(rows) == 2 and not calls
+    assert list(rows) == [4] and len(calls) == 1
+    group = common.giving_back_group(lambda key, table: table)
+    assert group((1,), SimpleNamespace(nbytes=10)).nbytes == 10 and len(calls) == 1
+    assert group((1,), SimpleNamespace(nbytes=common.LARGE_GROUP + 1)) and len(calls) == 2
+
+
+@pytest.mark.parametrize("top", [1, 70, 10**6, 2**60])
+def test_sequences_are_searched_as_sorted_arrays(top):
+    random = np.random.default_rng(top % 97)
+    values = np.sort(random.integers(0, top, 3000).astype(np.uint64))
+    sequence = EliasFano.build(values)
+    assert (sequence.access(np.arange(3000)) == values).all()
+    wanted = random.integers(0, top + 2, 1000).astype(np.uint64)
+    found = sequence.successor(np.zeros(1000, np.int64), np.full(1000, 3000), wanted)
+    assert (found == np.searchsorted(values, wanted)).all()
