@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lotwise.llm.common import bound_batches, extended, slices, texts
+from lotwise.llm.common import bound_batches, extended, giving_back, slices, texts
 
 LEAF_BYTES = 24
 CACHED_PIECES = 1 << 18
@@ -155,7 +155,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, ids])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept).mapInArrow(giving_back(run), schema)
 
 
 def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -178,4 +178,4 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded:
             arrays = [*batch.columns, joined.cast(pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, decoded])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept).mapInArrow(giving_back(run), schema)

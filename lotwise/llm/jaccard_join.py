@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from lotwise.llm.common import (
     bound_batches,
     expanded,
+    giving_back,
+    giving_back_group,
     mix64,
     segments,
     shuffle_partitions,
@@ -51,6 +53,7 @@ SMALL_GROUP = 16
 BLOCK = 512
 COLUMNS = 8192
 POSTINGS = 1 << 20  # of each order, dealt to their shards at once
+SENT_BYTES = 4 << 20
 MAP_BITS = 23
 ORDERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -142,7 +145,7 @@ def _scanned(source: DataFrame, width: int) -> DataFrame:
             arrays = [*empty, pa.array(range(len(parts)), pa.int32()), pa.array(parts)]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return source.mapInArrow(run, f"id {kind}, size long, node long, bits binary, piece int, counts binary")
+    return source.mapInArrow(giving_back(run), f"id {kind}, size long, node long, bits binary, piece int, counts binary")
 
 
 def frequency_classes(scanned: DataFrame) -> np.ndarray:
@@ -194,13 +197,13 @@ def _postings(
                     own.append((np.partition(ranked, length - 1)[:length].copy(), node, len(found)))
                 waiting += length
                 if waiting >= POSTINGS:
-                    yield deal(kept)
+                    yield from deal(kept)
                     kept, waiting = [[] for _ in orders], 0
         if waiting:
-            yield deal(kept)
+            yield from deal(kept)
 
-    def deal(kept: list[list[tuple[np.ndarray, int, int]]]) -> pa.RecordBatch:
-        messages = []
+    def deal(kept: list[list[tuple[np.ndarray, int, int]]]) -> Iterator[pa.RecordBatch]:
+        messages, held = [], 0
         for place, sets in enumerate(kept):
             lengths = [len(first) for first, _, _ in sets]
             token = mix64(np.concatenate([first for first, _, _ in sets]))
@@ -213,11 +216,21 @@ def _postings(
                 tokens = np.diff(key[start:stop] & np.uint64(0xFFFFFFFF), prepend=np.uint64(0)).astype(np.uint32)
                 cells = [squeezed(x.tobytes()) for x in (tokens, node[start:stop], size[start:stop])]
                 messages.append((shard, place, *cells))
+                held += sum(map(len, cells))
+                if held >= SENT_BYTES:  # the JVM holds each batch whole beside its heap
+                    yield batch_of(messages)
+                    messages, held = [], 0
+        if messages:
+            yield batch_of(messages)
+
+    def batch_of(messages: list[tuple]) -> pa.RecordBatch:
         kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
         arrays = [pa.array(c, k) for c, k in zip(zip(*messages, strict=True), kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, ["shard", "place", "token", "node", "size"])
 
-    return source.select("text").mapInArrow(run, "shard int, place int, token binary, node binary, size binary")
+    return source.select("text").mapInArrow(
+        giving_back(run), "shard int, place int, token binary, node binary, size binary"
+    )
 
 
 def _meet(percent: int):
@@ -263,7 +276,7 @@ def _met(postings: DataFrame, percent: int, orders: int) -> tuple[DataFrame, Dat
     nodes stand in large groups of that order.
     """
     schema = "place int, kind int, a long, b long, least long"
-    met = stored(postings.groupBy("shard", "place").applyInArrow(_meet(percent), schema), "met")
+    met = stored(postings.groupBy("shard", "place").applyInArrow(giving_back_group(_meet(percent)), schema), "met")
     members = met.where("kind = 1")
     pairs = met.where("kind = 0 and place = 0").select("a", "b").distinct()
     for place in range(1, orders):
@@ -314,7 +327,7 @@ def _filter_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     def side(name: str) -> DataFrame:
         return maps.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("bits").alias(f"bits_{name}"))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(giving_back(run), "a long, b long")
 
 
 def _filter_members(members: DataFrame, maps: DataFrame, percent: int, tasks: int) -> DataFrame:
@@ -356,7 +369,7 @@ def _filter_members(members: DataFrame, maps: DataFrame, percent: int, tasks: in
     low, high = F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high")
     placed = placed.select("grp", "node", "block", task.alias("task"), low, high)
     joined = placed.join(maps, "node").groupBy("task", "low", "high")
-    return joined.applyInArrow(run, "a long, b long")
+    return joined.applyInArrow(giving_back_group(run), "a long, b long")
 
 
 def overlaps(sets: Sequence[np.ndarray]) -> np.ndarray:
@@ -432,7 +445,7 @@ def _likely(source: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(flags[batch.column("spot").to_numpy()])).select(["id", "text"])
 
-    return source.withColumn("spot", spot).mapInArrow(run, source.schema)
+    return source.withColumn("spot", spot).mapInArrow(giving_back(run), source.schema)
 
 
 def jaccard_classes(
@@ -489,7 +502,7 @@ def jaccard_classes(
             F.greatest("block", "with").alias("high"),
         )
         .groupBy("task", "low", "high")
-        .applyInArrow(_verify(width, percent), "a long, b long")
+        .applyInArrow(giving_back_group(_verify(width, percent)), "a long, b long")
     )
     linked = components(links).select("node", F.col("component").alias("cls"))
     members = rows.join(linked, "node", "left")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import bound_batches, extended, slices, texts
+from lotwise.llm.common import bound_batches, extended, giving_back, slices, texts
 
 BUCKETS = 1 << 15
 BATCH_BYTES = 1 << 20
@@ -181,7 +181,7 @@ def _gram_rows(languages: list[str], docs: DataFrame, text: str, lang: str) -> D
             ["k", "bucket", "n"],
         )
 
-    return docs.mapInArrow(run, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(giving_back(run), "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
@@ -253,4 +253,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             arrays = [*batch.columns, pa.array(spans, of), pa.array(predicted, pa.string()), pa.array(shares)]
             yield pa.RecordBatch.from_arrays(arrays, [*kept, *added])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept).mapInArrow(giving_back(run), schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import bound_batches, extended, slices, texts
+from lotwise.llm.common import bound_batches, extended, giving_back, slices, texts
 
 # A word may begin with one character that stands for a letter.
 WORD = re.compile(r"[*@$0-9]?[^\W\d_]+(?:['’*@$0-9][^\W\d_]+)*")
@@ -206,7 +206,7 @@ def learn_lexicon(
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     strongest = (
-        labelled.mapInArrow(run, "term string, clean long, toxic long")
+        labelled.mapInArrow(giving_back(run), "term string, clean long, toxic long")
         .groupBy("term")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where((F.col("toxic") >= least_docs) & (F.col("toxic") >= toxic / 2000) & (odds >= least_odds))
@@ -289,7 +289,7 @@ def hits(docs: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "hit
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, of)], [*kept, name])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept).mapInArrow(giving_back(run), schema)
 
 
 def kind_counts(found: Column) -> list[Column]:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lotwise.llm import common, ngram_lm
+from lotwise.llm import common, jaccard_join, ngram_lm
 from lotwise.llm.elias_fano import EliasFano
 
 
@@ -58,6 +58,18 @@ def test_word_counts_are_sent_before_many_words_wait(spark, monkeypatch):
     assert sum(pa.Table.from_batches(batches).column("n").to_pylist()) == 24_000 + 600 + 600
 
 
+def test_prefixes_leave_a_task_in_small_batches(monkeypatch):
+    def sent() -> list[pa.RecordBatch]:
+        classes = np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8)
+        return taken(lambda source: jaccard_join._postings(source, classes, 4, 80, jaccard_join.ORDERS, 16))
+
+    whole = pa.Table.from_batches(sent())
+    monkeypatch.setattr(jaccard_join, "SENT_BYTES", 5000, raising=False)
+    batches = sent()
+    assert len(batches) > 1 and max(batch.nbytes for batch in batches) < 20_000
+    assert pa.Table.from_batches(batches).to_pylist() == whole.to_pylist()
+
+
 def test_workers_return_freed_memory(monkeypatch):
     calls = []
     monkeypatch.setattr(common, "_give_back", lambda: calls.append(1))
