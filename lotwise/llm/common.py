@@ -31,6 +31,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sort_joined(df: DataFrame) -> DataFrame:
+    """One side of a join that rounds repeat: joined by sorting.
+
+    It would be broadcast otherwise, and the driver would hold every round's copies until they
+    are collected.
+    """
+    return df.hint("merge")
+
+
 def extended(df: DataFrame, ddl: str) -> StructType:
     """Schema of ``df`` followed by more columns."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

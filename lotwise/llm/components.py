@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import stored
+from lotwise.llm.common import sort_joined, stored
 
 
 def _star(edges: DataFrame, keep_larger: bool) -> DataFrame:
@@ -15,7 +15,7 @@ def _star(edges: DataFrame, keep_larger: bool) -> DataFrame:
     that a node with very many edges is split like any other skewed join.
     """
     lowest = edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")).withColumnRenamed("a", "_a")
-    linked = edges.join(lowest, F.col("a") == F.col("_a"))
+    linked = edges.join(sort_joined(lowest), F.col("a") == F.col("_a"))
     if keep_larger:
         pairs = linked.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import stored
+from lotwise.llm.common import sort_joined, stored
 
 MISSING = "\u0000missing"
 
@@ -29,15 +29,6 @@ def _value(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(MISSING))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """One side of a join that rounds repeat: joined by sorting.
-
-    It would be broadcast otherwise, and the driver would hold every round's copies until they
-    are collected.
-    """
-    return df.hint("merge")
-
-
 def cells(docs: DataFrame, dimensions: Sequence[str], weight: str) -> DataFrame:
     """(dimensions, tokens): summed weights; a null value is a category of its own."""
     keyed = docs.select(*[_value(d).alias(f"_{d}") for d in dimensions], F.col(weight).alias("_w"))
@@ -136,7 +127,12 @@ def rake_bounded(
         table = table.join(known, f"_{dimension}", "left_semi")
     table = stored(table.withColumn("weight", F.col("tokens") * rate), "cells")
     kept = min(rate * (cell_table.agg(F.sum("tokens")).first()[0] or 0.0), table.agg(F.sum("tokens")).first()[0] or 0.0)
-    goals = {d: _bounded_goals(table, d, wanted, kept, rounds) for d, wanted in targets.items()}
+    goals = {d: f"goal{i}" for i, d in enumerate(targets)}
+    for dimension, wanted in targets.items():
+        bounds = _bounded_goals(table, dimension, wanted, kept, rounds)
+        table = table.join(sort_joined(bounds.withColumnRenamed("goal", goals[dimension])), f"_{dimension}")
+    # cells carry their goals, so that no round joins them again
+    table = stored(table, "cells")
     full = F.col("weight") >= F.col("tokens")
     by_all = F.col("goal") / F.col("every")
     # a Newton step towards the factor that meets the goal; neither quotient is above that factor
@@ -145,23 +141,26 @@ def rake_bounded(
         .when(F.col("goal") >= F.col("fixed") * (1 - 1e-9), 1.0)
         .otherwise(by_all)
     )
-    for _ in range(rounds):
+    # a cell's value and goal in each dimension, so that all shares are summed at once
+    places = [
+        F.struct(F.lit(d).alias("dimension"), F.col(f"_{d}").cast("string").alias("value"), F.col(g).alias("goal"))
+        for d, g in goals.items()
+    ]
+    for _ in range(rounds if goals else 0):
         for dimension, goal in goals.items():
             sums = table.groupBy(f"_{dimension}").agg(
                 F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("fixed"),
                 F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("free"),
                 F.sum("weight").alias("every"),
+                F.max(goal).alias("goal"),
             )
-            factors = sums.join(_small(goal), f"_{dimension}").select(f"_{dimension}", factor.alias("factor"))
-            table = table.join(_small(factors), f"_{dimension}").withColumn("weight", F.col("weight") * F.col("factor"))
+            factors = sums.select(f"_{dimension}", factor.alias("factor"))
+            table = table.join(sort_joined(factors), f"_{dimension}").withColumn("weight", F.col("weight") * F.col("factor"))
             # written for each dimension: sums of sums would double the plan each time, and the driver holds it
             table = stored(table.drop("factor"), "cells")
-        worst = None
-        for dimension, goal in goals.items():
-            now = table.groupBy(f"_{dimension}").agg(F.sum(F.least("weight", "tokens")).alias("now"))
-            off = now.join(_small(goal), f"_{dimension}").select(F.abs(F.col("now") - F.col("goal")).alias("off"))
-            worst = off if worst is None else worst.union(off)
-        error = worst.agg(F.max("off")).first()[0] if worst is not None else None
+        placed = table.select(F.least("weight", "tokens").alias("now"), F.inline(F.array(*places)))
+        sums = placed.groupBy("dimension", "value").agg(F.sum("now").alias("now"), F.max("goal").alias("goal"))
+        error = sums.agg(F.max(F.abs(F.col("now") - F.col("goal")))).first()[0]
         if error is None or error <= tolerance * kept:
             break
     names = [c for c in cell_table.columns if c != "tokens"]

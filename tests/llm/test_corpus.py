@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from lotwise.llm import components as components_of
 from lotwise.llm import elias_fano, jaccard_join, ngram_lm, raking
 from lotwise.llm.common import held_out
 
@@ -390,3 +391,37 @@ def test_rounds_of_raking_have_small_plans(spark, monkeypatch):
     monkeypatch.setattr(raking, "stored", counted)
     raking.rake_bounded(cell_table, targets, 0.5, rounds=1)
     assert max(leaves) <= 4  # was 15: doubled by each dimension
+
+
+def test_a_round_of_raking_has_few_shuffles(spark, monkeypatch):
+    rows = [(f"a{i % 2}", f"b{i % 3}", f"c{i % 4}", float(i + 1)) for i in range(12)]
+    cell_table = spark.createDataFrame(rows, "_a string, _b string, _c string, tokens double")
+    targets = {
+        d: spark.createDataFrame([(f"{d}{i}", 1.0 / n) for i in range(n)], "value string, share double")
+        for d, n in (("a", 2), ("b", 3), ("c", 4))
+    }
+    shuffles, stored = [], raking.stored
+
+    def counted(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        shuffles.append(plan.count("Exchange hashpartitioning") if "factor" in plan else 0)
+        return stored(df, label)
+
+    monkeypatch.setattr(raking, "stored", counted)
+    raking.rake_bounded(cell_table, targets, 0.5, rounds=1)
+    assert 0 < sum(shuffles) <= 6  # two for each dimension; the goals took a third
+
+
+def test_rounds_of_components_broadcast_nothing(spark, monkeypatch):
+    plans, stored = [], components_of.stored
+
+    def kept(df, label):
+        plans.append(df._jdf.queryExecution())
+        return stored(df, label)
+
+    monkeypatch.setattr(components_of, "stored", kept)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 9)], "x long, y long")
+    found = {r.node: r.component for r in components_of.components(edges).collect()}
+    assert found == {i: 1 for i in range(1, 10)}
+    joins = [line for plan in plans for line in plan.executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
