@@ -92,7 +92,7 @@ def comparables(asked: DataFrame, index: ComparablesIndex) -> DataFrame:
     model, year = F.col("_m"), F.col("_y")
     keyed = chosen.select(model.alias("_asked_m"), year.alias("_asked_y"), *set_key(model, year))
     keyed = through_table(keyed, "chosen-sets")
-    stats = set_medians(keyed.select(*SET).distinct(), prices, names, matches, brands)
+    stats = through_table(set_medians(keyed.select(*SET).distinct(), prices, names, matches, brands), "set-medians")
     found = salted_lookup(keyed, stats, SET, spread_by="_asked_m", salts=_SALTS)
     asked_for = [F.col("_asked_m").alias("_m"), F.col("_asked_y").alias("_y")]
     return found.select("_b", *asked_for, "_tier", "_median", "_ref_year", "_size")

@@ -9,8 +9,9 @@ mileage.
 Plan: the market is counted per (brand, model, year, price) once (:func:`market_index`).
 Set sizes come from the much smaller (brand, model, year) counts, so the medians are only
 computed for the sets that some request really uses, once per distinct set, by value-sliced
-exact quantiles. The two results that many branches start from, the index and the chosen
-sets, go through scratch tables.
+exact quantiles. The results that many branches start from, the index and the chosen
+sets, go through scratch tables, and so do the medians, so that all work on the market is done when
+the estimates are returned.
 """
 
 from __future__ import annotations
@@ -164,7 +165,7 @@ def comparables(asked: DataFrame, counts: DataFrame) -> DataFrame:
         ),
         "chosen-sets",
     )
-    stats = set_medians(keyed.select(*SET).distinct(), counts, slices, matches)
+    stats = through_table(set_medians(keyed.select(*SET).distinct(), counts, slices, matches), "set-medians")
     # one brand's set can serve a large share of what was asked
     return salted_lookup(keyed, stats, SET, spread_by="_asked_m").select(
         "_b", F.col("_asked_m").alias("_m"), F.col("_asked_y").alias("_y"), "_tier", "_median", "_ref_year", "_size"

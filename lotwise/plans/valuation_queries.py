@@ -9,7 +9,7 @@ from lotwise.operators.cleaning import reject_requests
 from lotwise.operators.valuation import value_requests
 from lotwise.plans.listing_view import AS_OF_YEAR, CLEAN_SQL, RULES, clean_listings
 from lotwise.plans.registry import query, table
-from lotwise.session import scratch_dir
+from lotwise.session import scratch_dir, spread_shuffles
 
 # Requested model by kind of request. Part names are "<adjective> <noun>".
 _KINDS = ("exact", "brand_model", "brand", "prior")
@@ -120,11 +120,17 @@ def _market(spark, folder):
     return clean_listings(spark, folder, ["vehicle_brand", "vehicle_model", "vehicle_model_year", "price"])
 
 
+def _market_rows(spark, folder):
+    """Number of raw listings, from the files' footers."""
+    return table(spark, folder, "lineitem").count()
+
+
 def _estimates(spark, folder, kind):
     asked = _requests(spark, folder)
     if kind:
         asked = asked.filter(F.col("kind") == kind)
-    return value_requests(asked, _market(spark, folder), AS_OF_YEAR).select("request_id", *_OUTPUT)
+    with spread_shuffles(spark, _market_rows(spark, folder)):
+        return value_requests(asked, _market(spark, folder), AS_OF_YEAR).select("request_id", *_OUTPUT)
 
 
 def _register(name: str, kind: str | None) -> None:
@@ -143,10 +149,11 @@ _register("value_batch", None)
 @query("value_indexed", f"{_ESTIMATE_SQL} SELECT request_id, {', '.join(_OUTPUT)} FROM estimates")
 def _value_indexed(spark, folder):
     """Two batches of requests from one index."""
-    index = comparables_index.build(_market(spark, folder), scratch_dir(spark, "comparables"), buckets=8)
     asked, model_kinds = _requests(spark, folder), F.col("kind").isin("exact", "brand_model")
     batches = [asked.filter(model_kinds), asked.filter(~model_kinds)]
-    first, second = [comparables_index.value_indexed(batch, index, AS_OF_YEAR).select("request_id", *_OUTPUT) for batch in batches]
+    with spread_shuffles(spark, _market_rows(spark, folder)):
+        index = comparables_index.build(_market(spark, folder), scratch_dir(spark, "comparables"), buckets=8)
+        first, second = [comparables_index.value_indexed(batch, index, AS_OF_YEAR).select("request_id", *_OUTPUT) for batch in batches]
     return first.unionByName(second)
 
 

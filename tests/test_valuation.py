@@ -1,12 +1,16 @@
 """Estimates against a request-by-request evaluation in plain Python."""
 
 import random
+import re
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
+from lotwise.operators import valuation
 from lotwise.operators.cleaning import Rules
 from lotwise.operators.valuation import answer_requests, market_index, value_requests
+from lotwise.session import spread_shuffles
 
 AS_OF = 2026
 REQUEST = (
@@ -136,3 +140,34 @@ def test_invalid_requests_get_a_reason_instead_of_a_price(spark):
         3: ("negative_mileage", True),
         4: ("missing_brand", True),
     }
+
+
+def test_partitions_behind_a_shuffle_follow_the_rows(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name, None)
+
+    def started(rows):
+        """Partitions that the shuffle of a grouping starts with."""
+        with spread_shuffles(spark, rows, task_rows=100):
+            counts = spark.range(rows).groupBy((F.col("id") % 97).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+            counts.collect()
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        return int(re.search(r"hashpartitioning\(k#\d+L?, (\d+)\)", plan).group(1))
+
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert started(100) == own
+    assert started(100 * 10 * own) == 10 * own + 1
+    assert spark.conf.get(name, None) == before
+    with pytest.raises(ValueError), spread_shuffles(spark, 10**6, task_rows=1):
+        raise ValueError
+    assert spark.conf.get(name, None) == before
+
+
+def test_medians_are_stored_before_estimates_are_returned(spark, monkeypatch):
+    stored, whole = [], valuation.through_table
+    monkeypatch.setattr(valuation, "through_table", lambda df, label: stored.append(label) or whole(df, label))
+    market = spark.createDataFrame([("Toyota", "Camry", 2000, 9000.0)] * 3, MARKET)
+    asked = spark.createDataFrame([("toyota", "camry", 2000)], "_b string, _m string, _y int")
+    found = valuation.comparables(asked, valuation.market_index(market)).collect()
+    assert [(row._tier, row._median, row._size) for row in found] == [(1, 9000.0, 3)]
+    assert stored == ["chosen-sets", "set-medians"]
