@@ -152,7 +152,7 @@ def test_partitions_behind_a_shuffle_follow_the_rows(spark):
             counts = spark.range(rows).groupBy((F.col("id") % 97).alias("k")).agg(F.count(F.lit(1)).alias("n"))
             counts.collect()
         plan = counts._jdf.queryExecution().executedPlan().toString()
-        return int(re.search(r"hashpartitioning\(k#\d+L?, (\d+)\)", plan).group(1))
+        return int(re.search(r"hashpartitioning\(\w+#\d+L?, (\d+)\)", plan).group(1))
 
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert started(100) == own
