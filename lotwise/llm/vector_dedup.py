@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import extended, stored
+from lotwise.llm.common import extended, sort_joined, stored
 from lotwise.llm.components import components
 
 BLOCK = 1024
@@ -149,7 +149,9 @@ def near_duplicates(
     met = reps.select("rep", "copies", "v", "codes", "dim", F.posexplode("codes").alias("place", "code"))
     sizes = met.groupBy("place", "dim", "code").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     sizes = sizes.select(F.col("place").alias("p"), F.col("dim").alias("d"), F.col("code").alias("c"), "size")
-    met = met.join(sizes, (F.col("place") == F.col("p")) & (F.col("dim") == F.col("d")) & (F.col("code") == F.col("c")))
+    # sizes, links and classes grow with the vectors, and Spark sizes them by compressed files: none is broadcast
+    bucket = (F.col("place") == F.col("p")) & (F.col("dim") == F.col("d")) & (F.col("code") == F.col("c"))
+    met = met.join(sort_joined(sizes), bucket)
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     met = met.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     met = met.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -164,8 +166,8 @@ def near_duplicates(
     roots = components(found.where("other is not null").select("rep", "other"))
     classes = (
         reps.select("digest", "rep", "copies")
-        .join(near, "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(sort_joined(near), "rep", "left")
+        .join(sort_joined(roots.withColumnRenamed("node", "rep")), "rep", "left")
         .select(
             "digest",
             (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
@@ -175,7 +177,7 @@ def near_duplicates(
     usable_digest = F.when(F.col("id").isNotNull(), F.col("digest"))
     return (
         rows.select("id", usable_digest.alias("digest"))
-        .join(classes, "digest", "left")
+        .join(sort_joined(classes), "digest", "left")
         .select(
             "id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

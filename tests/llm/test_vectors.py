@@ -82,6 +82,22 @@ def test_near_duplicates_of_nothing(spark):
     assert rows == {(None, 0, False), (3, 1, True)}
 
 
+def test_nothing_that_grows_with_the_vectors_is_broadcast(spark, monkeypatch):
+    plans, write = [], vector_dedup.stored
+
+    def noted(df, label):
+        plans.append(df)
+        return write(df, label)
+
+    monkeypatch.setattr(vector_dedup, "stored", noted)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors(80, 8, 9))]
+    found = vector_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert found.count() == 80
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in [*plans, found]]
+    assert len(plans) == 4 and sum("SortMergeJoin" in plan for plan in plans) == 2
+    assert not any("Broadcast" in plan for plan in plans)
+
+
 def test_tables_follow_the_recall():
     bits, tables = vector_dedup.table_shape(1 << 20, 0.9, 0.999)
     meet = (1 - np.arccos(0.9) / np.pi) ** bits
