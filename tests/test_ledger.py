@@ -57,3 +57,13 @@ def test_changes_take_out_what_they_replace(spark, tmp_path):
     assert book.groups(spark).collect() == []
     book.add(spark.createDataFrame([(5.0, 1), (5.0, -1)], "price double, sign int"), 0)
     assert book.counts(spark).collect() == []
+
+
+def test_the_keys_of_a_batch_are_not_broadcast(spark, tmp_path):
+    root, schema = str(tmp_path / "store"), "listing_id string, price double"
+    bucket_store.upsert(spark.createDataFrame([("1", 1.0), ("2", 2.0), (None, 3.0)], schema), root, layout=bucket_store.Layout(2))
+    found = bucket_store.changes(spark.createDataFrame([("2", 9.0), (None, 8.0), ("4", 7.0)], schema), root)
+    signs = sorted((r.listing_id or "", r.price, r.sign) for r in found.collect())
+    assert signs == [("", 3.0, -1), ("", 8.0, 1), ("2", 2.0, -1), ("2", 9.0, 1), ("4", 7.0, 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
